@@ -5,7 +5,7 @@ C6, C7, C8, E2, D1, D2.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -48,13 +48,23 @@ INT_METRICS_OUT = (
 def int_team_game_metrics(stg: DataFrame, details: DataFrame, keys_unique: bool = True) -> DataFrame:
     """D1 + D2 model: complete scored rows, competition attached, C7/C8 added.
 
-    D1 is written as a left-semi join: the complete-match set is unique on
-    ``match_id``, so the reference's inner join can never duplicate rows.
+    D1: with ``keys_unique`` (input is F1 output) a count window; otherwise a
+    left-semi join to E2 (the complete-match set is unique on ``match_id``, so
+    the reference's inner join can never duplicate rows).
     D2 is a left join; AQE turns it into a broadcast only when the measured
     details side is under the broadcast threshold, else sort-merge.
     """
     scored = scored_rows(stg)
-    kept = scored.join(complete_matches(scored, keys_unique), "match_id", "left_semi")
+    if keys_unique:
+        # After F1 a match holds one row per team, so a count window over
+        # match_id is the same set as the reference's aggregate + join, in one
+        # pass and one shuffle; the data then stays partitioned by match_id
+        # for the details join (only the details side moves).
+        w = Window.partitionBy("match_id")
+        kept = (scored.withColumn("_n", F.count(F.lit(1)).over(w))
+                      .where(F.col("_n") == 2).drop("_n"))
+    else:
+        kept = scored.join(complete_matches(scored), "match_id", "left_semi")
     det = details.select("match_id", "competition_id", "competition_name")
     enriched = kept.join(det, "match_id", "left")
     return enriched.select(

@@ -16,13 +16,18 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 
 from tryline.operators import marts, metrics, staging
+from tryline.session import ensure_checkpoint_dir
+from tryline.sinks.writers import materialize
 from tryline.sources.fixtures import TIE_BREAKS, RawTables
 
 
 class MartBuild:
     def __init__(self, raw: RawTables, split: Column | None | str = "month",
-                 tie_breaks: tuple[str, ...] = TIE_BREAKS):
+                 tie_breaks: tuple[str, ...] = TIE_BREAKS, cut: bool = True):
         self.raw = raw
+        self.cut = cut
+        if cut:
+            ensure_checkpoint_dir(raw.spark)
         self.split = marts.month_split() if split == "month" else split
         self.tie_breaks = tie_breaks
 
@@ -48,7 +53,13 @@ class MartBuild:
 
     @cached_property
     def fct_team_performance(self) -> DataFrame:
-        return marts.fct_team_performance(self.int_team_game_metrics, split=self.split)
+        src = self.int_team_game_metrics
+        if self.split is not None and self.cut:
+            # the split rolling window reads its input twice (rows and piece
+            # tails); writing it once to the shared checkpoint folder keeps the
+            # upstream shuffles from running twice and cuts lineage
+            src = materialize(self.raw.spark, src, "int_team_game_metrics")
+        return marts.fct_team_performance(src, split=self.split)
 
     @cached_property
     def vw_league_score_difference_timeseries(self) -> DataFrame:

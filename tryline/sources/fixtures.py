@@ -7,10 +7,9 @@ query built on them -- grow with the inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tryline.operators.staging import keep_first
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -55,37 +54,36 @@ def team_stats_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                       *TIE_BREAKS))
 
 
-def opponents(lines: DataFrame) -> DataFrame:
-    """(match_id, team_id) -> the other team when the match has exactly two
-    teams after the keep-latest dedupe.
-
-    Built with one partial aggregate per match (count, lowest and highest team
-    by id) instead of a self-join, so no pairs are generated and a hot match
-    is combined map-side.
+def raw_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw.team_stats: every line, plus the other team's id, name and score
+    when the match has exactly two teams after the keep-latest dedupe.
+
+    One hash shuffle on match_id serves everything: the latest-line flag
+    (window per team and match), the per-match team count and the lowest /
+    highest team (window per match), with no self-join. A match here is one
+    order, so a window group is bounded by the lines of one order. The output
+    stays partitioned by match_id, which the staging dedupe and the
+    completeness filter downstream reuse without another shuffle.
     """
+    lines = team_stats_lines(spark, sf_dir).repartition("match_id")
     order = [F.col("game_date").desc()] + [F.col(c).asc() for c in TIE_BREAKS]
-    latest = keep_first(lines, ["team_id", "match_id"], order)
-    side = F.struct("team_id", "team", "score")
-    per_match = (latest.groupBy("match_id")
-                       .agg(F.count(F.lit(1)).alias("n"),
-                            F.min_by(side, F.col("team_id")).alias("lo"),
-                            F.max_by(side, F.col("team_id")).alias("hi"))
-                       .where(F.col("n") == 2))
-
-    def pick(me: str, other: str):
-        return F.struct(F.col(f"{me}.team_id").alias("team_id"),
-                        F.col(f"{other}.team_id").alias("team_vs_id"),
-                        F.col(f"{other}.team").alias("team_vs"),
-                        F.col(f"{other}.score").alias("team_vs_score"))
-
-    return (per_match.select("match_id", F.explode(F.array(pick("lo", "hi"), pick("hi", "lo"))).alias("o"))
-                     .select("match_id", "o.*"))
-
-
-def raw_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """raw.team_stats: every line, opponent columns attached where known."""
-    lines = team_stats_lines(spark, sf_dir)
-    return lines.join(opponents(lines), ["match_id", "team_id"], "left")
+    latest = F.row_number().over(Window.partitionBy("match_id", "team_id").orderBy(*order)) == 1
+    side = F.when(F.col("_latest"), F.struct("team_id", "team", "score"))
+    w_match = Window.partitionBy("match_id")
+    with_sides = lines.withColumn("_latest", latest).select(
+        "*",
+        F.count(side).over(w_match).alias("_n"),
+        F.min(side).over(w_match).alias("_lo"),
+        F.max(side).over(w_match).alias("_hi"),
+    )
+    other = F.when(F.col("_n") == 2,
+                   F.when(F.col("team_id") == F.col("_lo.team_id"), F.col("_hi")).otherwise(F.col("_lo")))
+    return with_sides.select(
+        *lines.columns,
+        other["team_id"].alias("team_vs_id"),
+        other["team"].alias("team_vs"),
+        other["score"].alias("team_vs_score"),
+    )
 
 
 def raw_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
