@@ -37,8 +37,8 @@ def try_date(x: str | Column) -> Column:
     """
     text = F.trim(strip_dot_zero(x))
     return F.coalesce(
-        F.try_to_date(text, F.lit("yyyyMMdd")),
-        F.try_to_date(text, F.lit("yyyy-MM-dd")),
+        F.try_to_date(text, "yyyyMMdd"),
+        F.try_to_date(text, "yyyy-MM-dd"),
         F.to_date(F.try_to_timestamp(text)),
     )
 

@@ -150,9 +150,10 @@ vw_league_margin_categorical AS (
 )"""
 
 
-def with_models(body: str) -> str:
-    """Wrap a final SELECT with the adapter and model CTEs."""
-    return f"WITH {RAW_CTES},{MODEL_CTES}\n{body}"
+def with_models(body: str, extra_ctes: str = "") -> str:
+    """Wrap a final SELECT with the adapter and model CTEs (+ ``extra_ctes``)."""
+    extra = f",{extra_ctes}" if extra_ctes else ""
+    return f"WITH {RAW_CTES},{MODEL_CTES}{extra}\n{body}"
 
 
 def with_raw(body: str) -> str:
