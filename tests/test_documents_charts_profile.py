@@ -117,3 +117,18 @@ def test_entry_smoke(spark, key):
     assert df.columns == ["league_name", "matches", "avg_match_margin", "median_match_margin"]
     assert df.count() == 3
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_daily_pipeline(spark, tmp_path):
+    from tryline.plans.pipeline import run_daily
+    from tryline.sources.fixtures import RawTables
+    res = run_daily(spark, RawTables(spark, "/root/testdata/sf0.001"), str(tmp_path / "marts"),
+                    str(tmp_path / "charts"), "20260420", source="auto", max_teams=3)
+    assert res.source == "mart"
+    assert res.report.where("failures > 0").count() == 0
+    assert spark.read.parquet(str(tmp_path / "charts/league_margin_categorical")).count() == 3
+    summary = {r["metric"]: r["n"] for r in res.summary.collect()}
+    assert summary["categorical_rows"] == 3 and summary["timeseries_rows"] == 428
+    local = run_daily(spark, RawTables(spark, "/root/testdata/sf0.001"), str(tmp_path / "marts2"),
+                      str(tmp_path / "charts2"), "20260420", source="local")
+    assert local.source == "local" and local.categorical.count() == 4

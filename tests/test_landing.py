@@ -84,6 +84,8 @@ def test_sinks(spark, tmp_path):
 
 def test_available_now_incremental_upsert(spark, tmp_path):
     from tryline.streaming.incremental import incremental_details_run
+    import uuid
+    stream = f"test-{uuid.uuid4().hex}"
     landing, table = tmp_path / "landing", tmp_path / "table"
     landing.mkdir()
     cols = [f.name for f in RAW_MATCH_DETAILS.fields]
@@ -95,11 +97,11 @@ def test_available_now_incremental_upsert(spark, tmp_path):
         pdf.to_parquet(landing / name)
 
     land("match_details_20240101.parquet", [("m1", "2024-01-01", 2024, "c1", "A"), ("m2", "2024-01-02", 2024, "c1", "A")])
-    v1 = incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=f"t{tmp_path.name}")
+    v1 = incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=stream)
     assert spark.read.parquet(v1).count() == 2
     land("match_details_20240201.parquet", [("m2", "2024-01-02", 2024, "c1", "CHANGED"), ("m3", "2024-02-01", 2024, "c2", "B")])
-    v2 = incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=f"t{tmp_path.name}")
+    v2 = incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=stream)
     got = {r["match_id"]: r["competition_name"] for r in spark.read.parquet(v2).collect()}
     assert got == {"m1": "A", "m2": "A", "m3": "B"}  # existing wins (S15)
     # nothing new: the run processes no batch and the table stays
-    assert incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=f"t{tmp_path.name}") == v2
+    assert incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=stream) == v2

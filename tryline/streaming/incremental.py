@@ -59,9 +59,10 @@ def upsert_batches(spark: SparkSession, table_path: str, key: str, prefer: str =
 
 
 def latest_version(spark: SparkSession, table_path: str) -> str | None:
+    """Newest complete version (its write left a ``_SUCCESS`` marker)."""
     from tryline.sources.files import list_files
-    versions = list_files(spark, table_path, "v=*")
-    return versions[-1] if versions else None
+    done = list_files(spark, table_path, "v=*/_SUCCESS")
+    return done[-1].rsplit("/", 1)[0] if done else None
 
 
 def incremental_details_run(spark: SparkSession, landing: str, schema: T.StructType, table: str,
