@@ -24,18 +24,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def _blank_to_null(c: Column) -> Column:
-    # An empty id (absent key in the landed data) is treated as missing
-    return F.nullif(c, F.lit(""))
-
-
 def stg_team_stats_projection(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """C1 + C4: 13 typed columns with the staging names (+ pass-through ``keep``)."""
     gd = F.col("game_date").cast("date")
     return raw.select(
-        _blank_to_null(F.col("team_id").cast("string")).alias("team_id"),
+        F.col("team_id").cast("string").alias("team_id"),
         F.col("team").cast("string").alias("team_name"),
-        _blank_to_null(F.col("match_id").cast("string")).alias("match_id"),
+        F.col("match_id").cast("string").alias("match_id"),
         F.col("team_vs_id").cast("string").alias("opponent_team_id"),
         F.col("team_vs").cast("string").alias("opponent_team_name"),
         gd.alias("game_date"),
@@ -51,10 +46,17 @@ def stg_team_stats_projection(raw: DataFrame, keep: Sequence[str] = ()) -> DataF
 
 
 def null_key_filter(df: DataFrame, keys: Sequence[str] = ("game_date", "team_id", "match_id")) -> DataFrame:
-    """Drop rows with a NULL in any key column (pushed to the scan)."""
+    """Drop rows with a NULL in any key column (pushed to the scan).
+
+    An empty id (an absent key in landed data, SURVEY S10) counts as missing.
+    Keys are filtered, not rewritten, so an existing hash partitioning on them
+    still satisfies the dedupe and the per-match steps downstream.
+    """
     cond = None
     for k in keys:
         c = F.col(k).isNotNull()
+        if dict(df.dtypes).get(k) == "string":
+            c = c & (F.col(k) != "")
         cond = c if cond is None else cond & c
     return df.where(cond)
 
@@ -80,13 +82,14 @@ def stg_team_stats(raw: DataFrame, tie_breaks: Sequence[str] = ()) -> DataFrame:
 
 def stg_match_details(raw: DataFrame) -> DataFrame:
     """Five typed columns, rows without a match id dropped."""
-    return raw.select(
-        _blank_to_null(F.col("match_id").cast("string")).alias("match_id"),
+    typed = raw.select(
+        F.col("match_id").cast("string").alias("match_id"),
         F.col("game_date").cast("date").alias("game_date"),
         F.col("season").cast("bigint").alias("season"),
         F.col("competition_id").cast("string").alias("competition_id"),
         F.col("competition_name").cast("string").alias("competition_name"),
-    ).where(F.col("match_id").isNotNull())
+    )
+    return null_key_filter(typed, ("match_id",))
 
 
 def stg_teams(raw: DataFrame) -> DataFrame:

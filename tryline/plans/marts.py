@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 
 from tryline.operators import marts, metrics, staging
+from tryline.schemas import FCT_COLUMNS
 from tryline.session import ensure_checkpoint_dir
 from tryline.sinks.writers import materialize
 from tryline.sources.fixtures import TIE_BREAKS, RawTables
@@ -61,16 +62,30 @@ class MartBuild:
             src = materialize(self.raw.spark, src, "int_team_game_metrics")
         return marts.fct_team_performance(src, split=self.split)
 
+    @cached_property
+    def fct_core(self) -> DataFrame:
+        """The fact without its three rolling means: same rows, same other
+        columns, still hash-partitioned by match_id. Consumers that never read
+        the rolling means (the views, tiles, tests) use it, so they skip the
+        rolling windows -- the pruning Catalyst does by itself for a plain
+        window but cannot do through the split window's stitching join."""
+        return self.int_team_game_metrics.select(*[c for c in FCT_COLUMNS if not c.endswith("_rolling_5")])
+
     @cached_property
     def vw_league_score_difference_timeseries(self) -> DataFrame:
-        return marts.vw_league_score_difference_timeseries(self.fct_team_performance)
+        return marts.vw_league_score_difference_timeseries(self.fct_core)
 
     @cached_property
     def vw_league_margin_categorical(self) -> DataFrame:
-        return marts.vw_league_margin_categorical(self.fct_team_performance)
+        return marts.vw_league_margin_categorical(self.fct_core)
 
-    def models(self) -> dict[str, DataFrame]:
+    def models(self, core_fact: bool = True) -> dict[str, DataFrame]:
+        """Every model by name; with ``core_fact`` the fact entry is the core
+        (enough for all declared tests, which never read rolling means)."""
         names = ("stg_teams", "stg_team_stats", "stg_match_details", "int_team_game_metrics",
                  "dim_teams", "fct_team_performance", "vw_league_score_difference_timeseries",
                  "vw_league_margin_categorical")
-        return {n: getattr(self, n) for n in names}
+        out = {n: getattr(self, n) for n in names if not (core_fact and n == "fct_team_performance")}
+        if core_fact:
+            out["fct_team_performance"] = self.fct_core
+        return out
