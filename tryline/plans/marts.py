@@ -89,3 +89,20 @@ class MartBuild:
         if core_fact:
             out["fct_team_performance"] = self.fct_core
         return out
+
+    def materialized_models(self) -> dict[str, DataFrame]:
+        """Build then test, as the reference does: the table-like models are
+        written once to the shared folder and re-read, and the views are
+        rebuilt lazily on the written fact core. Checks that each need their
+        own pass then scan small parquet files instead of recomputing the
+        staging chain once per check."""
+        spark = self.raw.spark
+        out: dict[str, DataFrame] = {}
+        for name in ("stg_teams", "stg_team_stats", "stg_match_details", "dim_teams"):
+            out[name] = materialize(spark, getattr(self, name), name)
+        core = materialize(spark, self.fct_core, "fct_core")
+        out["int_team_game_metrics"] = core.drop()
+        out["fct_team_performance"] = core
+        out["vw_league_score_difference_timeseries"] = marts.vw_league_score_difference_timeseries(core)
+        out["vw_league_margin_categorical"] = marts.vw_league_margin_categorical(core)
+        return out

@@ -94,7 +94,7 @@ SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (
 
 @register("j6_quality_report", _report_sql())
 def j6(spark, sf):
-    return quality.quality_report(marts_for(spark, sf).models())
+    return quality.quality_report(marts_for(spark, sf).materialized_models())
 
 
 @register("e17_teams_per_match", with_models("""
