@@ -128,7 +128,7 @@ _TILE_COLS = "game_date, team_name, score_difference, competition_id, competitio
 
 def _tile_query(league):
     def q(spark, sf):
-        return DS.tile(marts_for(spark, sf).fct_team_performance, league)
+        return DS.tile(marts_for(spark, sf).fct_core, league)
     return q
 
 
@@ -140,7 +140,7 @@ for _k, (_league, _pred) in _TILES.items():
     f"count(*) FILTER (WHERE {p}) AS {k.removeprefix('c23_tile_')}_rows" for k, (_, p) in _TILES.items())
     + " FROM fct_team_performance"))
 def e19(spark, sf):
-    fct = marts_for(spark, sf).fct_team_performance
+    fct = marts_for(spark, sf).fct_core
     return fct.agg(*[F.count_if(F.coalesce(tile_filter(league), F.lit(False))).alias(f"{k.removeprefix('c23_tile_')}_rows")
                      for k, (league, _) in _TILES.items()])
 
@@ -150,7 +150,7 @@ SELECT {_TILE_COLS}, match_id FROM fct_team_performance
 WHERE competition_name IN ('Super Rugby Pacific', 'Super Rugby')
 ORDER BY game_date, team_name, match_id LIMIT 200"""))
 def g7(spark, sf):
-    fct = marts_for(spark, sf).fct_team_performance
+    fct = marts_for(spark, sf).fct_core
     return DS.sample(fct.where(tile_filter("Super Rugby Pacific")).select(*_TILE_COLS.split(", "), "match_id"),
                      ["game_date", "team_name", "match_id"], 200)
 
@@ -554,7 +554,7 @@ SELECT team_id, team_name, CAST(date_trunc('month', game_date) AS DATE) AS month
        avg(line_breaks) AS avg_line_breaks, count(*) AS games
 FROM fct_team_performance GROUP BY ALL"""))
 def m1(spark, sf):
-    return extras.monthly_averages(marts_for(spark, sf).fct_team_performance)
+    return extras.monthly_averages(marts_for(spark, sf).fct_core)
 
 
 @register("m2_team_season_averages", with_models("""
@@ -562,7 +562,7 @@ SELECT team_id, team_name, season, avg(territory) AS avg_territory, avg(entries_
        count(*) AS games
 FROM fct_team_performance GROUP BY ALL"""))
 def m2(spark, sf):
-    return extras.team_season_averages(marts_for(spark, sf).fct_team_performance)
+    return extras.team_season_averages(marts_for(spark, sf).fct_core)
 
 
 @register("m4_freshness", with_models(f"""
@@ -573,7 +573,7 @@ FROM (SELECT max(game_date) AS max_game_date, count(*) AS row_count,
       FROM fct_team_performance) t"""))
 def m4(spark, sf):
     run = f"{RUN_DATE[:4]}-{RUN_DATE[4:6]}-{RUN_DATE[6:]}"
-    return extras.freshness(marts_for(spark, sf).fct_team_performance, run, max_age_days=4000, min_rows=1000)
+    return extras.freshness(marts_for(spark, sf).fct_core, run, max_age_days=4000, min_rows=1000)
 
 
 __all__ = ["LEAGUE_RULES"]
