@@ -27,6 +27,24 @@ def complete_matches(scored: DataFrame, keys_unique: bool = False) -> DataFrame:
                   .where(F.col("n_teams") == 2).select("match_id"))
 
 
+def complete_scored_rows(stg: DataFrame, keys_unique: bool = True) -> DataFrame:
+    """C6 + E2 + D1: scored rows of matches with exactly two scored teams.
+
+    With ``keys_unique`` (input is F1 output, one row per team and match) a
+    count window over match_id gives the same rows as the reference's
+    aggregate + join in one pass; the window reuses an existing match_id
+    partitioning, and the output stays partitioned by match_id for the
+    details join. Otherwise the aggregate + left-semi join is used: its
+    distinct count is partial, so copies of a hot match collapse map-side.
+    """
+    scored = scored_rows(stg)
+    if keys_unique:
+        w = Window.partitionBy("match_id")
+        return (scored.withColumn("_n", F.count(F.lit(1)).over(w))
+                      .where(F.col("_n") == 2).drop("_n"))
+    return scored.join(complete_matches(scored), "match_id", "left_semi")
+
+
 def score_difference(score: str = "score", opponent: str = "opponent_score"):
     """C7."""
     return F.col(score) - F.col(opponent)
@@ -54,17 +72,7 @@ def int_team_game_metrics(stg: DataFrame, details: DataFrame, keys_unique: bool
     D2 is a left join; AQE turns it into a broadcast only when the measured
     details side is under the broadcast threshold, else sort-merge.
     """
-    scored = scored_rows(stg)
-    if keys_unique:
-        # After F1 a match holds one row per team, so a count window over
-        # match_id is the same set as the reference's aggregate + join, in one
-        # pass and one shuffle; the data then stays partitioned by match_id
-        # for the details join (only the details side moves).
-        w = Window.partitionBy("match_id")
-        kept = (scored.withColumn("_n", F.count(F.lit(1)).over(w))
-                      .where(F.col("_n") == 2).drop("_n"))
-    else:
-        kept = scored.join(complete_matches(scored), "match_id", "left_semi")
+    kept = complete_scored_rows(stg, keys_unique)
     det = details.select("match_id", "competition_id", "competition_name")
     enriched = kept.join(det, "match_id", "left")
     return enriched.select(

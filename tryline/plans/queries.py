@@ -95,8 +95,7 @@ def e2(spark, sf):
 @register("d1_complete_matches_semi", with_models("""
 SELECT s.* FROM scored_team_games s WHERE s.match_id IN (SELECT match_id FROM complete_matches)"""))
 def d1(spark, sf):
-    scored = metrics.scored_rows(marts_for(spark, sf).stg_team_stats)
-    return scored.join(metrics.complete_matches(scored, keys_unique=True), "match_id", "left_semi")
+    return metrics.complete_scored_rows(marts_for(spark, sf).stg_team_stats)
 
 
 @register("d2_int_team_game_metrics", with_models("SELECT * FROM int_team_game_metrics"))
@@ -121,7 +120,7 @@ def e1(spark, sf):
 SELECT match_id, min(team_name) AS team_name_a, max(team_name) AS team_name_b
 FROM fct_team_performance GROUP BY match_id"""))
 def e3(spark, sf):
-    return marts.match_name_pairs(marts_for(spark, sf).fct_team_performance)
+    return marts.match_name_pairs(marts_for(spark, sf).fct_core)
 
 
 @register("d3_vw_timeseries", with_models("SELECT * FROM vw_league_score_difference_timeseries"))

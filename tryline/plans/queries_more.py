@@ -276,7 +276,10 @@ FROM ({_LOCAL}) r
 JOIN (SELECT match_id, array_to_string(list_slice(list_sort(list_distinct(list(team_name))), 1, 2), ' vs ')
         AS pair_label FROM ({_LOCAL}) r2 GROUP BY match_id) l ON r.match_id = l.match_id"""))
 def c19_local(spark, sf):
-    return charts.local_timeseries(_local_rows(spark, sf))
+    # the rows feed both the label aggregate and the labelled rows: write
+    # them once to the shared folder instead of rebuilding them twice
+    from tryline.sinks.writers import materialize
+    return charts.local_timeseries(materialize(spark, _local_rows(spark, sf), "local_chart_rows"))
 
 
 @register("c14_surrogate_match_id", with_raw("""
