@@ -98,3 +98,27 @@ def test_source_registry_and_selection(spark):
     assert used == "mart"
     with pytest.raises(ValueError):
         files.select_source("bigquery", missing, local)
+
+
+def test_footer_profile_matches_data_profile(spark, tmp_path):
+    from tryline.operators import profile
+    _drifting_files(tmp_path)
+    paths = files.list_files(spark, str(tmp_path))
+    prof = {r["column_name"]: r for r in profile.footer_column_profile(
+        spark, paths, ["score", "territory", "rucks_won", "tries"]).collect()}
+    assert (prof["score"]["files_with_column"], prof["score"]["rows_where_present"],
+            prof["score"]["non_null_rows"]) == (2, 3, 3)
+    assert (prof["territory"]["rows_where_present"], prof["territory"]["non_null_rows"]) == (3, 1)
+    assert prof["rucks_won"]["files_with_column"] == 1 and prof["tries"]["non_null_rows"] == 1
+    assert all(r["total_files"] == 3 and r["stats_complete"] for r in prof.values())
+
+
+def test_per_entity_snapshots(spark, tmp_path):
+    import datetime as dt
+    from tryline.operators.incremental import latest_date_label
+    from tryline.sinks.writers import per_entity_snapshots
+    df = spark.createDataFrame([("t1", dt.date(2024, 1, 5), 1.0), ("t1", dt.date(2024, 2, 1), 2.0),
+                                ("t2", dt.date(2023, 5, 1), 3.0)], "team_id string, game_date date, score double")
+    per_entity_snapshots(df, str(tmp_path / "out"), latest_date_label(df, "20260420"))
+    dirs = sorted(p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").glob("*/*"))
+    assert dirs == ["team_id=t1/latest_date=20240201", "team_id=t2/latest_date=20230501"]

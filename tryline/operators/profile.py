@@ -96,3 +96,58 @@ def file_column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     (only for a reader that already knows the union schema)."""
     aggs = [F.count(F.lit(1)).alias("rows")] + [F.count(F.col(c)).alias(c) for c in columns]
     return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(*aggs)
+
+
+def footer_column_profile(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """E16 from Parquet footers alone: per column, the files having it, the
+    rows of those files and their non-null rows (row-group null counts).
+
+    Footers are read in parallel tasks (``mapInPandas`` over a DataFrame of
+    paths); no data pages are read. A file whose writer left no null counts
+    reports NULL non-null rows for that column (``stats_complete`` = false),
+    so callers can fall back to ``file_column_profile`` for those files.
+    """
+    wanted = list(columns)
+
+    def read(batches):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                pf = pq.ParquetFile(path[len("file:"):] if path.startswith("file:") else path)
+                meta = pf.metadata
+                arrow_types = {f.name: f.type for f in pf.schema_arrow}
+                names = [meta.schema.column(i).path.split(".")[0] for i in range(meta.num_columns)]
+                for c in wanted:
+                    if c not in names:
+                        continue
+                    if pa.types.is_null(arrow_types.get(c, pa.int8())):
+                        # an all-null column is written without statistics
+                        out.append((path, c, meta.num_rows, 0, True))
+                        continue
+                    idx = names.index(c)
+                    non_null, complete = 0, True
+                    for g in range(meta.num_row_groups):
+                        col = meta.row_group(g).column(idx)
+                        st = col.statistics
+                        if st is None or not st.has_null_count:
+                            complete = False
+                            break
+                        non_null += meta.row_group(g).num_rows - st.null_count
+                    out.append((path, c, meta.num_rows, non_null if complete else None, complete))
+            yield pd.DataFrame(out, columns=["path", "column_name", "rows", "non_null", "stats_complete"])
+
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
+    per_file = files.repartition(n).mapInPandas(
+        read, "path string, column_name string, rows long, non_null long, stats_complete boolean")
+    return (per_file.groupBy("column_name")
+                    .agg(F.count(F.lit(1)).alias("files_with_column"),
+                         F.sum("rows").alias("rows_where_present"),
+                         F.sum("non_null").alias("non_null_rows"),
+                         F.bool_and("stats_complete").alias("stats_complete"))
+                    .withColumn("total_files", F.lit(len(paths)).cast("bigint"))
+                    .withColumn("non_null_pct",
+                                F.round(F.col("non_null_rows") * 100.0 / F.col("rows_where_present"), 1)))

@@ -39,6 +39,19 @@ def dated_snapshot(df: DataFrame, root: str, name: str, run_date: str, mode: str
     return path
 
 
+def per_entity_snapshots(df: DataFrame, root: str, labels: DataFrame, key: str = "team_id",
+                         label_col: str = "latest_date", mode: str = "overwrite") -> None:
+    """One output per entity under ``{key}={id}/{label_col}={label}``.
+
+    ``labels`` has one row per entity (E15); joining it back attaches each
+    entity's label to its rows, and entities without rows write nothing.
+    Repartitioning by the key first gives one file per entity.
+    """
+    (df.join(labels.select(key, label_col), key, "inner")
+       .repartition(key)
+       .write.mode(mode).partitionBy(key, label_col).parquet(root))
+
+
 def export_json(df: DataFrame, path: str, order_by: Sequence[str] = (), limit: int | None = None) -> None:
     """Named query result as JSON lines, optionally the first ``limit`` rows
     of a total order (``limit`` is the feature here: a sample export)."""
