@@ -76,7 +76,9 @@ def stg_team_stats(raw: DataFrame, tie_breaks: Sequence[str] = ()) -> DataFrame:
     """
     staged = null_key_filter(stg_team_stats_projection(raw, keep=tie_breaks))
     order = [F.col("game_date").desc()] + [F.col(c).asc() for c in tie_breaks]
-    latest = keep_first(staged, ["team_id", "match_id"], order)
+    # keys listed match-first: the same groups, and the order raw data that is
+    # already partitioned and sorted by match (as landed here) satisfies as is
+    latest = keep_first(staged, ["match_id", "team_id"], order)
     return latest.select(team_game_key().alias("team_game_key"), *STG_TEAM_STATS_OUT[1:])
 
 
