@@ -38,20 +38,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def team_stats_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw team-stats row per lineitem line (before opponents are known)."""
+    """One raw team-stats row per lineitem line, hash partitioned by match.
+
+    The lines are shuffled by match first and the supplier name is joined
+    after the shuffle: the shuffle carries narrow rows, and the join (AQE
+    broadcasts the supplier side only when it measures small) keeps the
+    match partitioning that everything downstream reuses.
+    """
     li = read_table(spark, sf_dir, "lineitem")
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    return (li.join(sup, li.l_suppkey == sup.s_suppkey, "inner")
-              .select(F.col("l_suppkey").cast("string").alias("team_id"),
-                      F.col("s_name").alias("team"),
-                      F.col("l_orderkey").cast("string").alias("match_id"),
-                      F.col("l_shipdate").cast("date").alias("game_date"),
-                      F.col("l_quantity").alias("tries"),
-                      F.col("l_linenumber").cast("double").alias("line_breaks"),
-                      F.round(F.col("l_tax") * 100, 0).alias("22m_entries"),
-                      F.nullif(F.col("l_discount"), F.lit(0.0)).alias("territory"),
-                      F.nullif(F.col("l_quantity"), F.lit(13.0)).alias("score"),
-                      *TIE_BREAKS))
+    by_match = (li.select("l_suppkey", F.col("l_orderkey").cast("string").alias("match_id"), "l_shipdate",
+                          "l_quantity", "l_discount", "l_tax", *TIE_BREAKS)
+                  .repartition("match_id"))
+    return (by_match.join(sup, by_match.l_suppkey == sup.s_suppkey, "inner")
+                    .select(F.col("l_suppkey").cast("string").alias("team_id"),
+                            F.col("s_name").alias("team"),
+                            "match_id",
+                            F.col("l_shipdate").cast("date").alias("game_date"),
+                            F.col("l_quantity").alias("tries"),
+                            F.col("l_linenumber").cast("double").alias("line_breaks"),
+                            F.round(F.col("l_tax") * 100, 0).alias("22m_entries"),
+                            F.nullif(F.col("l_discount"), F.lit(0.0)).alias("territory"),
+                            F.nullif(F.col("l_quantity"), F.lit(13.0)).alias("score"),
+                            *TIE_BREAKS))
 
 
 def raw_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +74,7 @@ def raw_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stays partitioned by match_id, which the staging dedupe and the
     completeness filter downstream reuse without another shuffle.
     """
-    lines = team_stats_lines(spark, sf_dir).repartition("match_id")
+    lines = team_stats_lines(spark, sf_dir)
     order = [F.col("game_date").desc()] + [F.col(c).asc() for c in TIE_BREAKS]
     latest = F.row_number().over(Window.partitionBy("match_id", "team_id").orderBy(*order)) == 1
     side = F.when(F.col("_latest"), F.struct("team_id", "team", "score"))
