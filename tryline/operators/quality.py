@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tryline.functions.leagues import CATEGORICAL_LEAGUES, TIMESERIES_LEAGUES
@@ -135,35 +135,58 @@ def violations(models: dict[str, DataFrame], test: Test) -> DataFrame:
     raise ValueError(test.kind)
 
 
+def _row_condition(t: Test):
+    c = F.col(t.column)
+    return c.isNull() if t.kind == "not_null" else (c.isNotNull() & ~c.isin(*t.values))
+
+
+def _result(t: Test, failures: Column) -> Column:
+    return F.struct(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
+                    F.lit(t.kind).alias("test"), failures.cast("bigint").alias("failures"))
+
+
 def quality_report(models: dict[str, DataFrame], tests: Sequence[Test] | None = None) -> DataFrame:
     """J6 report: one row per test with its failure count.
 
-    Row-level tests (not_null, accepted_values) on one model are evaluated in a
-    single aggregate pass with ``count_if``; unique / relationships / symmetry
-    need their own shuffle each.
+    Per model, the row-level tests (not_null, accepted_values) ride along in
+    one pass: a plain aggregate, or -- when the model has a unique test --
+    the unique test's group-by, whose per-key partial counts also carry the
+    row-level violation counts. Relationships and symmetry need their own
+    shuffle each.
     """
     tests = list(tests if tests is not None else declared_tests())
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Test]] = {}
+    row_tests: dict[str, list[Test]] = {}
+    unique_tests: dict[str, list[Test]] = {}
     for t in tests:
         if t.kind in ("not_null", "accepted_values"):
-            by_model.setdefault(t.model, []).append(t)
+            row_tests.setdefault(t.model, []).append(t)
+        elif t.kind == "unique":
+            unique_tests.setdefault(t.model, []).append(t)
         else:
             parts.append(violations(models, t).agg(F.count(F.lit(1)).alias("failures"))
                          .select(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
                                  F.lit(t.kind).alias("test"), "failures"))
-    for model, ts in by_model.items():
-        aggs = []
-        for i, t in enumerate(ts):
-            c = F.col(t.column)
-            cond = c.isNull() if t.kind == "not_null" else (c.isNotNull() & ~c.isin(*t.values))
-            aggs.append(F.count_if(cond).alias(f"f{i}"))
-        wide = models[model].agg(*aggs)
-        stacked = F.explode(F.array(*[
-            F.struct(F.lit(model).alias("model"), F.lit(t.column).alias("column_name"),
-                     F.lit(t.kind).alias("test"), F.col(f"f{i}").alias("failures"))
-            for i, t in enumerate(ts)]))
-        parts.append(wide.select(stacked.alias("r")).select("r.*"))
+    for model in dict.fromkeys(list(row_tests) + list(unique_tests)):
+        rts, uts = row_tests.get(model, []), unique_tests.get(model, [])
+        df = models[model]
+        results = []
+        if uts:
+            key = uts[0].column
+            per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                          *[F.count_if(_row_condition(t)).alias(f"_r{i}") for i, t in enumerate(rts)])
+            aggs = [F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_u0")]
+            aggs += [F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(rts))]
+            wide = per_key.agg(*aggs)
+            results.append(_result(uts[0], F.col("_u0")))
+            for t in uts[1:]:  # further unique tests on other columns: own pass
+                parts.append(violations(models, t).agg(F.count(F.lit(1)).alias("failures"))
+                             .select(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
+                                     F.lit(t.kind).alias("test"), "failures"))
+        else:
+            wide = df.agg(*[F.count_if(_row_condition(t)).alias(f"_r{i}") for i, t in enumerate(rts)])
+        results += [_result(t, F.coalesce(F.col(f"_r{i}"), F.lit(0))) for i, t in enumerate(rts)]
+        parts.append(wide.select(F.explode(F.array(*results)).alias("r")).select("r.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
