@@ -112,11 +112,11 @@ def footer_column_profile(spark: SparkSession, paths: Sequence[str], columns: Se
     def read(batches):
         import pandas as pd
         import pyarrow as pa
-        import pyarrow.parquet as pq
+        from tryline.sources.files import open_parquet
         for pdf in batches:
             out = []
             for path in pdf["path"]:
-                pf = pq.ParquetFile(path[len("file:"):] if path.startswith("file:") else path)
+                pf = open_parquet(path)
                 meta = pf.metadata
                 arrow_types = {f.name: f.type for f in pf.schema_arrow}
                 names = [meta.schema.column(i).path.split(".")[0] for i in range(meta.num_columns)]

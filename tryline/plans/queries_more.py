@@ -507,13 +507,15 @@ def e8(spark, sf):
     return profile.date_bounds(RawTables(spark, sf).team_stats)
 
 
-@register("e10_conditional_agg_ordered_array", with_raw("""
+@register("e10_conditional_agg_ordered_array", with_models("""
 SELECT match_id, max(CASE WHEN line_breaks = 1 THEN team_id END) AS flagged_value,
        list(team_id ORDER BY line_breaks, team_id) FILTER (WHERE territory IS NOT NULL) AS ordered_values
-FROM raw_team_stats GROUP BY match_id"""))
+FROM stg_team_stats GROUP BY match_id"""))
 def e10(spark, sf):
-    raw = RawTables(spark, sf).team_stats
-    return profile.conditional_first_and_ordered_list(raw, "match_id", F.col("line_breaks") == 1, "team_id",
+    # over staged rows (one per team and match), so an array holds at most the
+    # teams of one match however many copies the raw data has
+    stg = marts_for(spark, sf).stg_team_stats
+    return profile.conditional_first_and_ordered_list(stg, "match_id", F.col("line_breaks") == 1, "team_id",
                                                       "line_breaks", F.col("territory").isNotNull())
 
 

@@ -57,8 +57,9 @@ def export_json(df: DataFrame, path: str, order_by: Sequence[str] = (), limit: i
     of a total order (``limit`` is the feature here: a sample export)."""
     out = df.orderBy(*order_by) if order_by else df
     if limit is not None:
-        out = out.limit(limit)
-    out.coalesce(1).write.mode("overwrite").json(path)
+        # a bounded sample: one file is fine
+        out = out.limit(limit).coalesce(1)
+    out.write.mode("overwrite").json(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -89,10 +89,9 @@ def footer_schemas(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """
     def read(batches):
         import pandas as pd
-        import pyarrow.parquet as pq
         for pdf in batches:
             yield pd.DataFrame({"path": pdf["path"],
-                                "schema": [pq.read_schema(_local(p)).to_string(show_schema_metadata=False)
+                                "schema": [open_parquet(p).schema_arrow.to_string(show_schema_metadata=False)
                                            for p in pdf["path"]]})
 
     df = spark.createDataFrame([(p,) for p in paths], "path string")
@@ -100,8 +99,17 @@ def footer_schemas(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return df.repartition(n).mapInPandas(read, "path string, schema string")
 
 
-def _local(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+def open_parquet(path: str):
+    """A pyarrow ParquetFile for a local path or any URI pyarrow's file
+    systems resolve (only the footer is read until data is asked for)."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+    if path.startswith("file:"):
+        return pq.ParquetFile(path[len("file:"):])
+    if "://" in path:
+        fs, inner = pafs.FileSystem.from_uri(path)
+        return pq.ParquetFile(fs.open_input_file(inner))
+    return pq.ParquetFile(path)
 
 
 def read_drifting(spark: SparkSession, folder: str, declared: T.StructType,
