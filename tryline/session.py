@@ -44,20 +44,35 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_FALLBACK_DIRS: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the cluster (a shared file system
-    path). Only when it is unset -- local tests -- is a scratch folder created.
+    path) and is only read here. Only when it is unset -- local tests -- is a
+    scratch folder made and given to the SparkContext (the setting itself
+    cannot be changed at runtime).
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- sessions without a SparkContext (Spark Connect)
+        sc = None
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    path = fallback or tempfile.mkdtemp(prefix="tryline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    key = id(spark)
+    if key not in _FALLBACK_DIRS:
+        _FALLBACK_DIRS[key] = fallback or tempfile.mkdtemp(prefix="tryline-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(_FALLBACK_DIRS[key])
+    return _FALLBACK_DIRS[key]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
