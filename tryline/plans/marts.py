@@ -100,8 +100,11 @@ class MartBuild:
         out: dict[str, DataFrame] = {}
         for name in ("stg_teams", "stg_team_stats", "stg_match_details", "dim_teams"):
             out[name] = materialize(spark, getattr(self, name), name)
-        core = materialize(spark, self.fct_core, "fct_core")
-        out["int_team_game_metrics"] = core.drop()
+        # the core is built from the written staging tables, not from raw again
+        core_lazy = metrics.int_team_game_metrics(out["stg_team_stats"], out["stg_match_details"])
+        core = materialize(spark, core_lazy.select(*[c for c in FCT_COLUMNS if not c.endswith("_rolling_5")]),
+                           "fct_core")
+        out["int_team_game_metrics"] = core
         out["fct_team_performance"] = core
         out["vw_league_score_difference_timeseries"] = marts.vw_league_score_difference_timeseries(core)
         out["vw_league_margin_categorical"] = marts.vw_league_margin_categorical(core)
