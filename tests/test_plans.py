@@ -10,7 +10,9 @@ from tryline.operators import staging
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    # an executed adaptive plan prints the final and the initial plan; keep one
+    return text.split("== Initial Plan ==")[-1]
 
 
 def _hash_exchanges(plan: str) -> int:
