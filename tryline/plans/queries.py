@@ -6,10 +6,7 @@ driver tables through the fixture adapter.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tryline.catalog import marts_for, register
-from tryline.functions.columns import match_label
 from tryline.functions.leagues import league_expr
 from tryline.operators import marts, metrics, staging
 from tryline.oracle import with_models
@@ -176,5 +173,3 @@ FROM stg_match_details"""))(_league_query(_variant))
 
 
 from tryline.plans import queries_more  # noqa: E402,F401  (registers the rest)
-
-__all__ = ["F", "match_label"]
