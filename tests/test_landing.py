@@ -74,6 +74,11 @@ def test_sinks(spark, tmp_path):
     assert [x["match_id"] for x in lines] == ["m1"]
     writers.export_csv(df, str(tmp_path / "c"))
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
+    writers.publish_version(df, str(tmp_path / "mart"), "20240101")
+    writers.publish_version(df.limit(1), str(tmp_path / "mart"), "20240102")
+    (tmp_path / "mart" / "v=20240103").mkdir()  # a failed run: no _SUCCESS marker
+    assert writers.latest_version_path(spark, str(tmp_path / "mart")).endswith("v=20240102")
+    assert writers.read_latest_version(spark, str(tmp_path / "mart")).count() == 1
     back = writers.materialize(spark, df, "unit")
     assert back.count() == 2
     writers.register_view(df, "unit_view")

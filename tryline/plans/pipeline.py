@@ -31,13 +31,14 @@ class DailyResult:
     summary: DataFrame
 
 
-def publish_marts(spark: SparkSession, build: MartBuild, mart_root: str) -> dict[str, DataFrame]:
-    """Write the table models (full refresh), re-read them, and rebuild
-    the view models lazily on top of the written fact, registered as views."""
+def publish_marts(spark: SparkSession, build: MartBuild, mart_root: str, version: str) -> dict[str, DataFrame]:
+    """Write the table models as a new version (full refresh), re-read
+    them, and rebuild the view models lazily on top of the written fact,
+    registered as views. Dashboards read only versions marked ``_PUBLISHED``,
+    which ``run_daily`` adds after the quality gate passed."""
     out: dict[str, DataFrame] = {}
     for name in MART_TABLES:
-        path = f"{mart_root.rstrip('/')}/{name}"
-        writers.overwrite_table(getattr(build, name), path)
+        path = writers.publish_version(getattr(build, name), f"{mart_root.rstrip('/')}/{name}", version)
         out[name] = spark.read.parquet(path)
     from tryline.operators import marts
     out["vw_league_score_difference_timeseries"] = marts.vw_league_score_difference_timeseries(
@@ -55,10 +56,12 @@ def run_daily(spark: SparkSession, raw: RawTables, mart_root: str, out_dir: str,
     quality.gate(quality.quality_report(
         {"stg_match_details": build.stg_match_details},
         [quality.Test("stg_match_details", "match_id", "unique")]))
-    published = publish_marts(spark, build, mart_root)
+    published = publish_marts(spark, build, mart_root, run_date)
     models = dict(build.models())
     models.update(published)
     report = quality.gate(quality.quality_report(models))
+    for name in MART_TABLES:  # the gate passed: this version becomes the one dashboards read
+        writers.mark_published(spark, f"{mart_root.rstrip('/')}/{name}/v={run_date}")
 
     def from_marts():
         return (published["vw_league_margin_categorical"],

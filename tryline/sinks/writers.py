@@ -52,6 +52,38 @@ def per_entity_snapshots(df: DataFrame, root: str, labels: DataFrame, key: str =
        .write.mode(mode).partitionBy(key, label_col).parquet(root))
 
 
+def publish_version(df: DataFrame, root: str, version: str) -> str:
+    """B1 for readers that must never see a half-written table: write
+    ``{root}/v={version}``; the write's ``_SUCCESS`` marker makes it current.
+    A job that dies mid-write leaves an unmarked folder that readers skip,
+    and the previous version stays readable meanwhile."""
+    path = f"{root.rstrip('/')}/v={version}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def latest_version_path(spark: SparkSession, root: str, marker: str = "_SUCCESS") -> str:
+    """Newest ``v=...`` folder under ``root`` that has ``marker``: ``_SUCCESS``
+    (written completely) or ``_PUBLISHED`` (written and passed the gate)."""
+    from tryline.sources.files import list_files
+    done = list_files(spark, root, f"v=*/{marker}")
+    if not done:
+        raise FileNotFoundError(f"no version with {marker} under {root}")
+    return done[-1].rsplit("/", 1)[0]
+
+
+def read_latest_version(spark: SparkSession, root: str, marker: str = "_SUCCESS") -> DataFrame:
+    return spark.read.parquet(latest_version_path(spark, root, marker))
+
+
+def mark_published(spark: SparkSession, version_path: str) -> None:
+    """Write the empty ``_PUBLISHED`` marker into a version folder."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{version_path.rstrip('/')}/_PUBLISHED")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(path, True).close()
+
+
 def export_json(df: DataFrame, path: str, order_by: Sequence[str] = (), limit: int | None = None) -> None:
     """Named query result as JSON lines, optionally the first ``limit`` rows
     of a total order (``limit`` is the feature here: a sample export)."""
