@@ -73,16 +73,17 @@ def details_run_summary(raw: RawTables) -> DataFrame:
     """Run metrics of a match-details refresh, one (metric, value) row each."""
     stats, details = raw.team_stats, raw.match_details
     missing = incremental.missing_ids(stats, details)
-    parts = [
-        stats.agg(F.count_distinct("match_id").alias("value")).select(F.lit("match_ids_total").alias("metric"), "value"),
-        details.agg(F.count_distinct("match_id").alias("value")).select(F.lit("match_ids_preexisting").alias("metric"), "value"),
-        missing.agg(F.count(F.lit(1)).alias("value")).select(F.lit("match_ids_to_fetch").alias("metric"), "value"),
-        stats.agg(F.count(F.lit(1)).alias("value")).select(F.lit("team_stats_rows").alias("metric"), "value"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def long(df: DataFrame, **metrics: F.Column) -> DataFrame:
+        # one aggregate pass per input, unpivoted to (metric, value) rows
+        wide = df.agg(*[c.alias(k) for k, c in metrics.items()])
+        return wide.select(F.explode(F.array(*[
+            F.struct(F.lit(k).alias("metric"), F.col(k).cast("bigint").alias("value")) for k in metrics])).alias("m")
+        ).select("m.*")
+
+    return (long(stats, match_ids_total=F.count_distinct("match_id"), team_stats_rows=F.count(F.lit(1)))
+            .unionByName(long(details, match_ids_preexisting=F.count_distinct("match_id")))
+            .unionByName(long(missing, match_ids_to_fetch=F.count(F.lit(1)))))
 
 
 def drift_groups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
