@@ -107,12 +107,13 @@ def footer_column_profile(spark: SparkSession, paths: Sequence[str], columns: Se
     reports NULL non-null rows for that column (``stats_complete`` = false),
     so callers can fall back to ``file_column_profile`` for those files.
     """
+    from tryline.sources.files import parquet_opener
     wanted = list(columns)
+    open_parquet = parquet_opener()
 
     def read(batches):
         import pandas as pd
         import pyarrow as pa
-        from tryline.sources.files import open_parquet
         for pdf in batches:
             out = []
             for path in pdf["path"]:

@@ -87,11 +87,13 @@ def footer_schemas(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     DataFrame of paths, so thousands of files are inspected by the executors
     rather than one by one on the driver.
     """
+    opener = parquet_opener()
+
     def read(batches):
         import pandas as pd
         for pdf in batches:
             yield pd.DataFrame({"path": pdf["path"],
-                                "schema": [open_parquet(p).schema_arrow.to_string(show_schema_metadata=False)
+                                "schema": [opener(p).schema_arrow.to_string(show_schema_metadata=False)
                                            for p in pdf["path"]]})
 
     df = spark.createDataFrame([(p,) for p in paths], "path string")
@@ -99,17 +101,21 @@ def footer_schemas(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return df.repartition(n).mapInPandas(read, "path string, schema string")
 
 
-def open_parquet(path: str):
-    """A pyarrow ParquetFile for a local path or any URI pyarrow's file
-    systems resolve (only the footer is read until data is asked for)."""
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-    if path.startswith("file:"):
-        return pq.ParquetFile(path[len("file:"):])
-    if "://" in path:
-        fs, inner = pafs.FileSystem.from_uri(path)
-        return pq.ParquetFile(fs.open_input_file(inner))
-    return pq.ParquetFile(path)
+def parquet_opener():
+    """A function opening a pyarrow ParquetFile for a local path or any URI
+    pyarrow's file systems resolve (only the footer is read until data is
+    asked for). Built as a closure so task code ships it by value and Python
+    workers need nothing but pyarrow."""
+    def open_parquet(path: str):
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        if path.startswith("file:"):
+            return pq.ParquetFile(path[len("file:"):])
+        if "://" in path:
+            fs, inner = pafs.FileSystem.from_uri(path)
+            return pq.ParquetFile(fs.open_input_file(inner))
+        return pq.ParquetFile(path)
+    return open_parquet
 
 
 def read_drifting(spark: SparkSession, folder: str, declared: T.StructType,
