@@ -44,15 +44,15 @@ def test_json_document_scans_and_defaults(spark, tmp_path):
 
 
 def test_inline_rows_text_order(spark):
-    rows = [("Worker Groups", "0.10"), ("Realtime Triggers", "0.17"), ("Task Runners", "0.16")]
+    rows = [("Row filters", "0.10"), ("Column masks", "0.17"), ("Audit log", "0.16")]
     df = documents.inline_rows(spark, rows, "name string, release_version string", ["release_version"])
     assert [r[1] for r in df.collect()] == ["0.10", "0.16", "0.17"]
 
 
 def test_json_array_join(spark):
-    rec = {"name": "pikachu", "types": [{"type": {"name": "electric"}}, {"type": {"name": "mouse"}}]}
+    rec = {"name": "falcon", "types": [{"type": {"name": "air"}}, {"type": {"name": "fast"}}]}
     df = spark.createDataFrame([(json.dumps(rec),)], "j string")
-    assert df.select(documents.json_array_join("j")).first()[0] == "Name: pikachu\nTypes: electric, mouse"
+    assert df.select(documents.json_array_join("j")).first()[0] == "Name: falcon\nTypes: air, fast"
 
 
 def test_avg_by_group(spark):
