@@ -119,8 +119,8 @@ def test_entry_smoke(spark, key):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_daily_pipeline(spark, tmp_path):
-    from tryline.plans.pipeline import run_daily
+def test_daily_run(spark, tmp_path):
+    from tryline.plans.daily import run_daily
     from tryline.sources.fixtures import RawTables
     res = run_daily(spark, RawTables(spark, "/root/testdata/sf0.001"), str(tmp_path / "marts"),
                     str(tmp_path / "charts"), "20260420", source="auto", max_teams=3)
