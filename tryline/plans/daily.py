@@ -51,6 +51,7 @@ def publish_marts(spark: SparkSession, build: MartBuild, mart_root: str, version
 
 def run_daily(spark: SparkSession, raw: RawTables, mart_root: str, out_dir: str, run_date: str,
               source: str = "auto", max_teams: int | None = None) -> DailyResult:
+    before = set(writers.MATERIALIZED)
     build = MartBuild(raw)
     # The enrichment join fans out if details repeat a match id
     quality.gate(quality.quality_report(
@@ -83,4 +84,8 @@ def run_daily(spark: SparkSession, raw: RawTables, mart_root: str, out_dir: str,
                                    "series_rows": series}, spark, run_date)
     summary = summary.withColumn("data_source", F.lit(used))
     writers.export_json(summary, f"{root}/run_summary")
-    return DailyResult(report, used, categorical, timeseries, summary)
+    # every output is written: drop this run's intermediate tables
+    writers.drop_materialized(spark, [p for p in writers.MATERIALIZED if p not in before])
+    out = {k: spark.read.parquet(f"{root}/{k}") for k in ("league_margin_categorical", "league_score_difference_series")}
+    return DailyResult(report, used, out["league_margin_categorical"], timeseries,
+                       spark.read.json(f"{root}/run_summary"))

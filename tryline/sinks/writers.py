@@ -109,9 +109,24 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    MATERIALIZED.append(path)
     return spark.read.parquet(path)
 
 
+MATERIALIZED: list[str] = []
+
+
+def drop_materialized(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables once nothing reads them any more (end of a run)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+        if p in MATERIALIZED:
+            MATERIALIZED.remove(p)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """B9 (view materialisation): a lazy temp view."""
     df.createOrReplaceTempView(name)
