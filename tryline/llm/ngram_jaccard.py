@@ -19,13 +19,17 @@ Method
    take places in the prefixes but can't be shared, so they are dropped.
    A pair that meets under the first order is kept only if it also meets
    under all others; then it is verified on the whole sets.
-4. *Hot tokens.* Within a token's documents not all pairs are emitted. Star
-   rounds compare every document with one pivot of the token; found links
-   contract documents into components, a token whose documents are all of
-   one component is finished, and a pivot is never compared again. When the
-   number of open pairs (counted exactly, not emitted) is at most
-   ``OPEN_PER_ROW`` per index row, or after ``STAR_ROUNDS``, all open pairs
-   between different components are verified. Nothing is capped.
+4. *Groups of near copies.* Where few pairs meet, all are verified. Otherwise
+   a token's documents are compared with one pivot ``B`` of theirs, never all
+   with all; links contract documents into components, and a token whose
+   documents are all of one component is finished. For the rest: if ``x`` and
+   ``y`` are linked but ``y`` is not linked with ``B``, they share a token
+   outside ``B``, unless ``|x|`` is so small that ``y`` and ``B`` alone
+   reach the overlap needed. So documents meet again only under (``B``, token
+   outside ``B``), by prefixes of what they hold beside ``B``, and the few
+   exceptions are verified one by one. Each round leaves the differences of
+   the last; after ``ROUNDS`` of them all open pairs are verified. Nothing is
+   capped, and no link between components is missed.
 
 Defined cases: null, empty or white-space texts have an empty set and link
 with nothing; a sequence shorter than a shingle is one shingle. Rows of equal
@@ -47,8 +51,9 @@ from tryline.llm.components import components
 from tryline.llm.textops import U64, chunks, shingle_sets, splitmix
 
 ORDERS = 3
-STAR_ROUNDS = 4
-OPEN_PER_ROW = 2
+#: Pivot rounds at most, and the open pairs (per index row) that are few enough to verify them all.
+ROUNDS = 8
+OPEN_PER_ROW = 1.0
 #: Ids broadcast at most (8 bytes each); beyond it the same join is shuffled.
 BROADCAST_IDS = 2_000_000
 
@@ -72,24 +77,27 @@ def prefix_size(n, percent: int):
     return sample_size(n, percent) - _level(_need(n, percent), percent) + 1
 
 
-SIGNATURE = "id long, n long, fp1 long, fp2 long, places int, sample binary"
+SIGNATURE = "uid long, id long, n long, fp1 long, fp2 long, places int, sample binary"
+
+
+def _prints(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Two independent order-free sums of the tokens: a set's fingerprint."""
+    return [pa.array(np.array([f(s).sum(dtype=U64) for s in sets], dtype=U64).view(np.int64))
+            for f in (lambda s: s, lambda s: splitmix(s ^ U64(0x5BF03635)))]
 
 
 def _signatures(size: int, percent: int, lower: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in chunks(batch.column(1)):
+            for c in chunks(batch.column("text")):
                 sets = shingle_sets(c, size, lower)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 k = sample_size(n, percent)
-                with np.errstate(over="ignore"):
-                    fp1 = np.array([s.sum(dtype=U64) for s in sets], dtype=U64).view(np.int64)
-                    fp2 = np.array([splitmix(s ^ U64(0x5BF03635)).sum(dtype=U64) for s in sets], dtype=U64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(c.rows.start, len(sets)), pa.array(n), pa.array(fp1), pa.array(fp2),
+                    [*(batch.column(x).slice(c.rows.start, len(sets)) for x in ("uid", "id")), pa.array(n), *_prints(sets),
                      pa.array(prefix_size(n, percent).astype(np.int32)),
                      pa.array([s[:j].tobytes() for s, j in zip(sets, k.tolist(), strict=True)], pa.binary())],
-                    names=["id", "n", "fp1", "fp2", "places", "sample"])
+                    names=["uid", "id", "n", "fp1", "fp2", "places", "sample"])
     return run
 
 
@@ -101,35 +109,46 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             reps = np.array([len(x) for x in tokens], dtype=np.int64)
             rows = pa.array(np.repeat(np.arange(len(tokens)), reps))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64)), part.column("id").take(rows)],
-                names=["tok", "id"])
+                [pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64)), part.column("uid").take(rows)],
+                names=["tok", "uid"])
 
 
 def _full_sets(size: int, lower: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in chunks(batch.column(1)):
+            for c in chunks(batch.column("text")):
                 sets = shingle_sets(c, size, lower)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(c.rows.start, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["id", "whole"])
+                    [batch.column("id").slice(c.rows.start, len(sets)), *_prints(sets), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["id", "fp1", "fp2", "whole"])
     return run
 
 
-def _verify(percent: int):
+COMPARED = "a long, b long, linked boolean, both long, beside binary"
+
+
+def _compare(percent: int, salt: int, differences: bool):
+    """Verifies pairs of whole sets; with ``differences`` also the prefix of what ``b`` holds beside ``a``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            linked, common, beside = [], [], []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 a, b = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                both = int((b[at] == a).sum()) if len(b) else 0
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")],
-                                             names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+                at = np.searchsorted(a, b)
+                at[at == len(a)] = 0
+                inside = a[at] == b
+                both = int(inside.sum())
+                linked.append(100 * both >= percent * (len(a) + len(b) - both))
+                common.append(both)
+                if differences:
+                    rest = b[~inside]
+                    # a linked partner shares at least ``need`` of these
+                    need = max(1, _need(len(b), percent) - both)
+                    order = np.argsort(splitmix(rest ^ U64(salt)))
+                    beside.append(rest[order[:max(0, len(rest) - need + 1)]].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(common, pa.int64()),
+                 pa.array(beside if differences else [b""] * len(linked), pa.binary())], names=["a", "b", "linked", "both", "beside"])
     return run
 
 
@@ -142,48 +161,51 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "ngram-jaccard")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sig = scratch.table(texts.mapInArrow(_signatures(size, percent, lower), SIGNATURE), "signatures")
-
-    sets = (sig.where("n > 0 and id is not null").groupBy("fp1", "fp2", "n")
-            .agg(F.min("id").alias("id"), F.first("places").alias("places"), F.count(F.lit(1)).alias("copies")))
-    reps = scratch.table(sets, "reps")
-    tokens = (sig.where("n > 0").join(reps.select("id", "fp1", "fp2"), ["id", "fp1", "fp2"], "left_semi")
-              .select("id", "sample").mapInArrow(_explode, "tok long, id long"))
-    tokens = scratch.table(tokens, "tokens")
+    numbered = texts.select(F.monotonically_increasing_id().alias("uid"), "id", "text")
+    sig = scratch.table(numbered.mapInArrow(_signatures(size, percent, lower), SIGNATURE), "signatures")
+
+    # one row per distinct set; its uid names the set from here on
+    reps = scratch.table(
+        sig.where("n > 0 and id is not null").groupBy("fp1", "fp2", "n")
+        .agg(F.min(F.struct("id", "uid")).alias("r"), F.first("places").alias("places")).select("r.*", "fp1", "fp2", "n", "places"), "reps")
+    tokens = scratch.table(sig.join(reps.select("uid"), "uid", "left_semi").select("uid", "sample")
+                           .mapInArrow(_explode, "tok long, uid long"), "tokens")
     counts = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = scratch.table(tokens.join(counts, "tok").select("id", "tok", F.floor(F.log2("df")).cast("int").alias("c")),
-                           "shared")
-    sampled = reps.groupBy("id").agg(F.max("n").alias("n"), F.max("places").alias("places"), F.min("n").alias("least"))
-    index = scratch.table(_prefixes(tokens, shared, sampled), "index")
+    shared = scratch.table(tokens.join(counts, "tok").select("uid", "tok", F.floor(F.log2("df")).cast("int").alias("c")), "shared")
+    index = scratch.table(_prefixes(tokens, shared, reps.select("uid", "n", "places")), "index")
     scratch.drop("tokens", "shared")
 
-    active = index.select("id").distinct()
+    active = index.join(reps.select("uid", "id"), "uid").select("id").distinct()
     few = active.count() <= BROADCAST_IDS
     wanted = texts.join(F.broadcast(active) if few else active, "id", "left_semi")
-    # of equal texts under one id one is enough; different ones all stay
-    whole = scratch.table(wanted.mapInArrow(_full_sets(size, lower), "id long, whole binary"), "sets")
+    whole = wanted.mapInArrow(_full_sets(size, lower), "id long, fp1 long, fp2 long, whole binary")
+    whole = scratch.table(whole.join(reps.select("uid", "id", "fp1", "fp2"), ["id", "fp1", "fp2"]).select("uid", "whole"), "sets")
 
     links = _links(spark, scratch, index, whole, percent)
-    comp = components(spark, links, scratch, "links") if links is not None else None
-
     member = sig.select("id", "n", "fp1", "fp2").join(
-        reps.select(F.col("id").alias("rep"), "fp1", "fp2", F.col("n").alias("rn")),
-        ["fp1", "fp2"], "left").where("rn is null or rn = n")
-    if comp is not None:
-        member = member.join(comp, F.col("rep") == F.col("node"), "left").withColumn("rep", F.coalesce("component", "rep"))
-    return member.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNull(), None).otherwise(F.coalesce("rep", "id")).alias("component_id"))
+        reps.select(F.col("id").alias("rep"), "fp1", "fp2", "n"), ["fp1", "fp2", "n"], "left")
+    if links is not None:
+        ids = reps.select("uid", "id")
+        edges = links.join(ids.select(F.col("uid").alias("u"), F.col("id").alias("x")), "u").join(
+            ids.select(F.col("uid").alias("v"), F.col("id").alias("y")), "v").select(F.col("x").alias("u"), F.col("y").alias("v"))
+        # rows of one id are one vertex, whatever their texts
+        twins = member.where("rep <> id").select(F.col("id").alias("u"), F.col("rep").alias("v"))
+        comp = components(spark, edges.unionByName(twins), scratch, "final")
+    else:
+        twins = member.where("rep <> id").select(F.col("id").alias("u"), F.col("rep").alias("v"))
+        comp = components(spark, twins, scratch, "final")
+    out = sig.select("id", "n").join(comp, F.col("id") == F.col("node"), "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
 def _prefixes(tokens: DataFrame, shared: DataFrame, sampled: DataFrame) -> DataFrame:
-    """Per document with a shared token in every prefix: its prefixes under the orders, without unshared tokens.
+    """Per set with room for a shared token in its prefixes: these, under each order, without unshared tokens.
 
-    A document's list is at most its own sample, never a group of documents.
+    A set's list is at most its own sample, never a group of documents.
     """
-    lists = shared.groupBy("id").agg(F.collect_list(F.struct("c", "tok")).alias("toks"))
-    total = tokens.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
-    df = lists.join(total, "id").join(sampled, "id")
+    lists = shared.groupBy("uid").agg(F.collect_list(F.struct("c", "tok")).alias("toks"))
+    total = tokens.groupBy("uid").agg(F.count(F.lit(1)).alias("k"))
+    df = lists.join(total, "uid").join(sampled, "uid")
     # unshared tokens come first in every order
     df = df.withColumn("rare", (F.col("k") - F.size("toks")).cast("int")).withColumn("room", F.col("places") - F.col("rare"))
     df = df.where("room > 0")
@@ -191,60 +213,83 @@ def _prefixes(tokens: DataFrame, shared: DataFrame, sampled: DataFrame) -> DataF
         ordered = F.array_sort(F.transform("toks", lambda t, k=k: F.struct(
             t["c"].alias("c"), F.xxhash64(t["tok"], F.lit(k)).alias("h"), t["tok"].alias("tok"))))
         df = df.withColumn(f"p{k}", F.transform(F.slice(ordered, F.lit(1), F.col("room")), lambda t: t["tok"]))
-    return df.select("id", "n", "least", "rare", *[f"p{k}" for k in range(ORDERS)])
+    return df.select("uid", "n", "rare", *[f"p{k}" for k in range(ORDERS)])
 
 
 def _links(spark: SparkSession, scratch: Scratch, index: DataFrame, whole: DataFrame, percent: int) -> DataFrame | None:
-    """Verified links that connect what any link connects (see step 4 of the module's text)."""
-    rows = index.select("id", "n", "least", "rare", F.explode("p0").alias("tok")).distinct()
-    # who meets somebody at all
-    met = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("tok")
-    open_rows = scratch.table(rows.join(met, "tok").withColumn("comp", F.col("id")), "open0")
-    n_rows = open_rows.count()
-    if not n_rows:
-        return None
-    links = None
-    prefixes = index.select("id", *[f"p{k}" for k in range(1, ORDERS)])
-    for step in range(STAR_ROUNDS + 1):
-        last = step == STAR_ROUNDS
-        if not last and step:
-            size = open_rows.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("s")).groupBy("tok").agg(
-                F.sum("s").alias("t"), F.sum(F.col("s") * F.col("s")).alias("q"))
-            pairs_left = size.agg(F.sum((F.col("t") * F.col("t") - F.col("q")) / 2).alias("p")).first()["p"] or 0
-            last = pairs_left <= OPEN_PER_ROW * n_rows
-        near = (F.col("l.least") * percent <= F.col("r.n") * 100) & (F.col("r.least") * percent <= F.col("l.n") * 100)
-        if last:
-            left, right = open_rows.alias("l"), open_rows.alias("r")
-            met = left.join(right, (F.col("l.tok") == F.col("r.tok")) & (F.col("l.id") < F.col("r.id"))
-                            & (F.col("l.comp") != F.col("r.comp")) & near)
-        else:
-            # the pivot: the document with the fewest unshared tokens, most likely the middle of its copies
-            pivots = open_rows.groupBy("tok").agg(F.min(F.struct("rare", "id", "n", "least", "comp")).alias("p")).select("tok", "p.*")
-            pivots = scratch.table(pivots, f"pivots{step}")
-            met = open_rows.alias("r").join(pivots.alias("l"), (F.col("l.tok") == F.col("r.tok"))
-                                            & (F.col("l.id") != F.col("r.id")) & (F.col("l.comp") != F.col("r.comp")) & near)
-        pairs = met.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
+    """Verified links ``(u, v)`` of sets that connect what any link connects (step 4 of the module's text)."""
+    prefixes = index.select("uid", *[f"p{k}" for k in range(1, ORDERS)])
+    size_of = index.select("uid", "n", "rare")
+    links: list[DataFrame] = []
+
+    def verify(pairs: DataFrame, salt: int, differences: bool) -> DataFrame:
+        both = pairs.join(whole.select(F.col("uid").alias("b"), F.col("whole").alias("y")), "b")             .join(whole.select(F.col("uid").alias("a"), F.col("whole").alias("x")), "a")
+        return both.select("a", "b", "x", "y").mapInArrow(_compare(percent, salt, differences), COMPARED)
+
+    def meeting(pairs: DataFrame) -> DataFrame:
+        """Pairs that meet under the other orders too."""
         for side in ("a", "b"):
-            pairs = pairs.join(prefixes.select(F.col("id").alias(side), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]), side)
+            pairs = pairs.join(prefixes.select(F.col("uid").alias(side), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]), side)
         for k in range(1, ORDERS):
             pairs = pairs.where(F.arrays_overlap(f"a{k}", f"b{k}"))
-        pairs = scratch.table(pairs.select("a", "b"), f"pairs{step}")
-        found = (pairs.join(whole.select(F.col("id").alias("b"), F.col("whole").alias("y")), "b")
-                 .join(whole.select(F.col("id").alias("a"), F.col("whole").alias("x")), "a")
-                 .select("a", "b", "x", "y").mapInArrow(_verify(percent), "u long, v long"))
-        found = scratch.table(found.distinct(), f"found{step}")
-        links = found if links is None else links.unionByName(found)
-        if last:
-            return links
-        comp = scratch.table(components(spark, links, scratch, f"step{step}"), f"comp{step}")
-        nxt = open_rows.drop("comp").join(pivots.select("tok", "id"), ["tok", "id"], "left_anti") \
-            .join(comp.select(F.col("node").alias("id"), "component"), "id", "left") \
-            .withColumn("comp", F.coalesce("component", "id")).drop("component")
-        mixed = nxt.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("tok")
-        nxt = scratch.table(nxt.join(mixed, "tok"), f"open{step + 1}")
-        scratch.drop(f"open{step}", f"pivots{step}")
-        open_rows = nxt
-        n_rows = open_rows.count()
+        return pairs.select("a", "b")
+
+    def unfinished(rows: DataFrame, name: str) -> DataFrame:
+        """``(key, uid)`` rows of keys whose sets are not all of one component, with the sets' component and size."""
+        comp = components(spark, all_links(), scratch, name) if links else None
+        rows = rows.join(size_of, "uid")
+        if comp is not None:
+            comp = scratch.table(comp, f"{name}-comp")
+            rows = rows.join(comp.withColumnRenamed("node", "uid"), "uid", "left").withColumn(
+                "comp", F.coalesce("component", "uid")).drop("component")
+        else:
+            rows = rows.withColumn("comp", F.col("uid"))
+        rows = scratch.table(rows, f"{name}-all")
+        mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        return scratch.table(rows.join(mixed, "key"), name)
+
+    def all_links() -> DataFrame:
+        out = links[0]
+        for x in links[1:]:
+            out = out.unionByName(x)
+        return out
+
+    near = (F.col("l.n") * percent <= F.col("r.n") * 100) & (F.col("r.n") * percent <= F.col("l.n") * 100)
+    rows = unfinished(index.select(F.explode("p0").alias("key"), "uid").distinct(), "open0")
+    for step in range(ROUNDS + 1):
+        n_rows = rows.count()
         if not n_rows:
-            return links
-    return links
+            break
+        size = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("s")).groupBy("key").agg(
+            F.sum("s").alias("t"), F.sum(F.col("s") * F.col("s")).alias("q"))
+        pairs_left = size.agg(F.sum((F.col("t") * F.col("t") - F.col("q")) / 2).alias("p")).first()["p"] or 0
+        if step == ROUNDS or pairs_left <= OPEN_PER_ROW * n_rows:
+            left, right = rows.alias("l"), rows.alias("r")
+            met = left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.uid") < F.col("r.uid"))
+                            & (F.col("l.comp") != F.col("r.comp")) & near)
+            pairs = scratch.table(meeting(met.select(F.col("l.uid").alias("a"), F.col("r.uid").alias("b")).distinct()), f"pairs{step}")
+            links.append(scratch.table(verify(pairs, 0, False).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
+                                       f"links{step}"))
+            break
+        # the pivot: the set with the fewest unshared tokens, most likely the middle of its copies; then the smallest
+        pivots = scratch.table(rows.groupBy("key").agg(F.min(F.struct("rare", "n", "uid")).alias("p")).select(
+            "key", F.col("p.uid").alias("a")), f"pivots{step}")
+        met = rows.join(pivots, "key").where("uid <> a").select("a", F.col("uid").alias("b")).distinct()
+        found = scratch.table(verify(met, step + 1, True), f"found{step}")
+        links.append(found.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+        rest = unfinished(rows.join(pivots, "key").where("uid <> a").select("key", "uid"), f"rest{step}")
+        # what is still open meets again beside its pivot
+        again = rest.join(pivots, "key").select("a", F.col("uid").alias("b"), "comp", "n").distinct().join(found, ["a", "b"])
+        again = scratch.table(again, f"again{step}")
+        small = again.where("not linked").select("a", "b", "comp", "n", F.floor(F.col("both") * (100 + percent) / percent - F.col("n")).alias("most"))
+        odd = small.alias("l").join(again.alias("r"), (F.col("l.a") == F.col("r.a")) & (F.col("r.n") <= F.col("l.most"))
+                                    & (F.col("l.comp") != F.col("r.comp")) & near).select(
+            F.least("l.b", "r.b").alias("a"), F.greatest("l.b", "r.b").alias("b")).distinct()
+        odd = scratch.table(meeting(odd), f"odd{step}")
+        links.append(scratch.table(verify(odd, 0, False).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
+                                   f"links{step}"))
+        beside = again.select(F.col("beside").alias("sample"), F.struct("a", "b").alias("uid")).mapInArrow(
+            _explode, "tok long, uid struct<a:long,b:long>")
+        nxt = beside.select(F.xxhash64("uid.a", "tok").alias("key"), F.col("uid.b").alias("uid")).distinct()
+        rows = unfinished(nxt, f"open{step + 1}")
+    return all_links() if links else None
