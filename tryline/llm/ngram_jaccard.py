@@ -43,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tryline.llm.common import Scratch
@@ -209,10 +209,13 @@ def _prefixes(tokens: DataFrame, shared: DataFrame, sampled: DataFrame) -> DataF
     # unshared tokens come first in every order
     df = df.withColumn("rare", (F.col("k") - F.size("toks")).cast("int")).withColumn("room", F.col("places") - F.col("rare"))
     df = df.where("room > 0")
-    for k in range(ORDERS):
-        ordered = F.array_sort(F.transform("toks", lambda t, k=k: F.struct(
+
+    def ordered(k: int) -> Column:
+        return F.array_sort(F.transform("toks", lambda t: F.struct(
             t["c"].alias("c"), F.xxhash64(t["tok"], F.lit(k)).alias("h"), t["tok"].alias("tok"))))
-        df = df.withColumn(f"p{k}", F.transform(F.slice(ordered, F.lit(1), F.col("room")), lambda t: t["tok"]))
+
+    for k in range(ORDERS):
+        df = df.withColumn(f"p{k}", F.transform(F.slice(ordered(k), F.lit(1), F.col("room")), lambda t: t["tok"]))
     return df.select("uid", "n", "rare", *[f"p{k}" for k in range(ORDERS)])
 
 
