@@ -15,7 +15,7 @@ and the first id index of each document.
 
 Encoding uses the tokenizers library. For byte-level BPE with the usual
 splitting rule, texts are cut before runs of white space (where that rule
-always cuts) and each distinct piece is encoded once per worker's cache; other
+always cuts) and each distinct piece, known by a 64-bit hash, is encoded once per worker's cache; other
 tokenizers, and texts that hold one of the tokenizer's added tokens, are
 encoded whole.
 
@@ -39,10 +39,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tryline.llm.common import Scratch
+from tryline.llm.lattice import HashIndex
+from tryline.llm.textops import U64, Chunk, chunks, span_hashes
 
 BLOCK = 128
 PERCENTILE = 0.9
 SHARD_TOKENS = 4 << 20
+#: Texts encoded together, in bytes.
+ENCODE_CHUNK = 4 << 20
 CACHE_PIECES = 1_000_000
 MAGIC = b"TLB1"
 _HEADER = "<4sIQQQQQ"   # magic, block, docs, tokens, blocks, packed bytes, exceptions
@@ -148,7 +152,14 @@ def document_ids(x: dict[str, np.ndarray], tokens: int, k: int) -> np.ndarray:
 
 
 class Encoder:
-    """Whole-text ids from a tokenizer file, with a bounded cache of pieces."""
+    """Whole-text ids from a tokenizer file, with a bounded cache of pieces.
+
+    The splitting rule of byte-level BPE gives the last character of a run of
+    white space to what follows if it is a space, and to itself otherwise; the
+    rest of the run is one token sequence. Where no run is longer than two
+    characters, cutting before every space and around every line break is
+    therefore a cut of the rule's own; other texts are cut before each run.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -159,28 +170,121 @@ class Encoder:
         self.cut = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                     and not pre.get("add_prefix_space") and spec["model"]["type"] == "BPE")
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.kind = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-        # white space runs with what follows them; Python counts four control characters as white space that the rule doesn't
         self.spaced = re.compile(r"(?:(?![\x1c-\x1f])\s)*(?:[\x1c-\x1f]|\S)+|\s+")
-
-    def pieces(self, text: str) -> list[str]:
-        if "  " in text or "\0" in text:
-            return self.spaced.findall(text)
-        return text.replace(" ", "\0 ").split("\0")
+        self.reset()
+
+    def reset(self) -> None:
+        """Empties the cache: piece hashes, and where each piece's ids stand."""
+        self.keys, self.first, self.ids = np.zeros(0, U64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.main, self.young = HashIndex(self.keys), HashIndex(self.keys)
+        self.old = 0                 # pieces in the main index; later ones are in the young one
+
+    def direct(self, text: str) -> np.ndarray:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def learn(self, fresh: list[str]) -> list[np.ndarray]:
+        """Ids of pieces without white space behind their first character, encoded as lines of one text."""
+        lines = [p for p in fresh if p not in (" ", "\n")]
+        ids = np.array(self.tok.encode_batch_fast(["\n".join(["", *lines, ""])], add_special_tokens=False)[0].ids, np.uint32)
+        edge = np.flatnonzero(ids == self.direct("\n")[0])
+        if lines and len(edge) != len(lines) + 1:
+            raise ValueError("a line break is not a token of its own")
+        found = (ids[a:b] for a, b in zip((edge[:-1] + 1).tolist(), edge[1:].tolist(), strict=True))
+        return [self.direct(p) if p in (" ", "\n") else next(found) for p in fresh]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self.main.find(keys)
+        miss = np.flatnonzero(at < 0)
+        more = self.young.find(keys[miss])
+        at[miss] = np.where(more < 0, -1, more + self.old)
+        return at
+
+    def add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
+        self.keys = np.concatenate([self.keys, keys])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in ids])])
+        self.ids = np.concatenate([self.ids, *ids])
+        if len(self.keys) > 1.3 * self.old + 10_000:
+            self.main, self.old = HashIndex(self.keys), len(self.keys)
+        self.young = HashIndex(self.keys[self.old:])
+
+    def encode_chunk(self, c: Chunk) -> list[np.ndarray]:
+        """Ids of every text of a chunk."""
+        rows = len(c.offsets) - 1
+        texts: dict[int, str] = {}
+
+        def text(row: int) -> str:
+            return c.data[c.offsets[row]:c.offsets[row + 1]].tobytes().decode()
+
+        odd = _odd_rows(c) if self.cut else np.ones(rows, bool)
+        for a in self.added if self.cut else ():
+            joined = c.data.tobytes()
+            pos = joined.find(a.encode())
+            while pos >= 0:
+                odd[np.searchsorted(c.offsets, pos, side="right") - 1] = True
+                pos = joined.find(a.encode(), pos + 1)
+        for row in np.flatnonzero(odd).tolist():
+            texts[row] = text(row)
+        if len(self.keys) > CACHE_PIECES:
+            self.reset()
+        size = np.diff(c.offsets)
+        cut = (c.data == 32) | (c.data == 10)
+        cut[1:] |= c.data[:-1] == 10
+        cut[c.offsets[:-1][size > 0]] = True
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(c.data))
+        row = np.searchsorted(c.offsets, start, side="right") - 1
+        usual = ~odd[row]
+        start, end, row = start[usual], end[usual], row[usual]
+        h = span_hashes(c.data, start, end, lower=False)
+        at = self.find(h)
+        miss = np.flatnonzero(at < 0)
+        if len(miss):
+            keys, first = np.unique(h[miss], return_index=True)
+            pick = miss[first]
+            raw = c.data.tobytes()
+            self.add(keys, self.learn([raw[x:y].decode() for x, y in zip(start[pick].tolist(), end[pick].tolist(), strict=True)]))
+            at[miss] = self.find(h[miss])
+        n = self.first[at + 1] - self.first[at]
+        edge = np.concatenate([[0], np.cumsum(n)])
+        ids = self.ids[np.repeat(self.first[at] - edge[:-1], n) + np.arange(edge[-1])]
+        of_row = edge[np.searchsorted(row, np.arange(rows + 1))]
+        out = [ids[x:y] for x, y in zip(of_row[:-1].tolist(), of_row[1:].tolist(), strict=True)]
+        if texts:
+            whole = {r: t for r, t in texts.items() if not self.cut or any(a in t for a in self.added)}
+            for r, e in zip(whole, self.tok.encode_batch_fast(list(whole.values()), add_special_tokens=False), strict=True):
+                out[r] = np.array(e.ids, np.uint32)
+            parts = {r: self.spaced.findall(t) for r, t in texts.items() if r not in whole}
+            fresh = list(set().union(*parts.values()))
+            known = {p: self.direct(p) for p in fresh}
+            for r, p in parts.items():
+                out[r] = np.concatenate([known[x] for x in p]) if p else np.zeros(0, np.uint32)
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.cut:
-            return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        cut: list[list[str] | None] = [None if any(a in t for a in self.added) else self.pieces(t) for t in texts]
-        fresh = list({p for c in cut if c for p in c if p not in self.cache})
-        for p, e in zip(fresh, self.tok.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.cache[p] = np.array(e.ids, self.kind).tobytes()
-        get = self.cache.__getitem__
-        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32) if c is None
-                else np.frombuffer(b"".join(map(get, c)), self.kind).astype(np.uint32) for t, c in zip(texts, cut, strict=True)]
+        return [x for c in chunks(pa.array(texts, pa.string()), ENCODE_CHUNK) for x in self.encode_chunk(c)]
+
+
+def _odd_rows(c: Chunk) -> np.ndarray:
+    """Texts that can't be cut before every space and around every line break:
+    with a white space run of three or one at the end, or with any other white space."""
+    d = c.data
+    odd = np.zeros(len(c.offsets) - 1, bool)
+    if not len(d):
+        return odd
+    white = (d == 32) | (d == 10)
+    bad = ((d >= 9) & (d <= 13) & (d != 10))
+    bad[2:] |= white[2:] & white[1:-1] & white[:-2]
+    nxt, third = np.append(d[1:], 0), np.append(d[2:], [0, 0])[:len(d)]
+    bad |= (d == 0xC2) & ((nxt == 0x85) | (nxt == 0xA0))
+    bad |= (d == 0xE1) & (nxt == 0x9A) & (third == 0x80)
+    bad |= (d == 0xE2) & (nxt == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))
+    bad |= (d == 0xE2) & (nxt == 0x81) & (third == 0x9F)
+    bad |= (d == 0xE3) & (nxt == 0x80) & (third == 0x80)
+    size = np.diff(c.offsets)
+    full = np.flatnonzero(size)
+    odd[full] = white[c.offsets[1:][full] - 1]
+    odd[np.searchsorted(c.offsets, np.flatnonzero(bad), side="right") - 1] = True
+    return odd
 
 
 def _file_system(uri: str):
@@ -216,9 +320,9 @@ def _write(folder: str, tokenizer: str, end_id: int):
 
         fs.create_dir(root, recursive=True)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).fill_null("").to_pylist()), strict=True):
+            for c in chunks(batch.column(1), ENCODE_CHUNK):
+                found = encoder.encode_chunk(c)
+                for doc, ids in zip(batch.column(0).slice(c.rows.start, len(found)).to_pylist(), found, strict=True):
                     docs.append(doc)
                     parts += (ids, end)
                     sizes.append(len(ids) + 1)
