@@ -19,17 +19,17 @@ Method
    take places in the prefixes but can't be shared, so they are dropped.
    A pair that meets under the first order is kept only if it also meets
    under all others; then it is verified on the whole sets.
-4. *Groups of near copies.* Where few pairs meet, all are verified. Otherwise
-   a token's documents are compared with one pivot ``B`` of theirs, never all
-   with all; links contract documents into components, and a token whose
-   documents are all of one component is finished. For the rest: if ``x`` and
-   ``y`` are linked but ``y`` is not linked with ``B``, they share a token
-   outside ``B``, unless ``|x|`` is so small that ``y`` and ``B`` alone
-   reach the overlap needed. So documents meet again only under (``B``, token
-   outside ``B``), by prefixes of what they hold beside ``B``, and the few
-   exceptions are verified one by one. Each round leaves the differences of
-   the last; after ``ROUNDS`` of them all open pairs are verified. Nothing is
-   capped, and no link between components is missed.
+4. *Groups of near copies.* A token's documents are first compared with one
+   pivot ``B`` of theirs, the one of the most common tokens; links contract
+   documents into components, and a token whose documents are all of one
+   component is finished. For the rest: if ``x`` and ``y`` are linked but
+   ``y`` is not linked with ``B``, they share a token outside ``B``, unless
+   ``|x|`` is so small that ``y`` and ``B`` alone reach the overlap needed. So
+   documents meet again only under (``B``, token outside ``B``), by prefixes
+   of what they hold beside ``B``, rare tokens first, and the few exceptions
+   are verified one by one. After ``ROUNDS`` rounds all pairs that still meet,
+   are of different components and pass the other orders are verified inside
+   the join. Nothing is capped, and no link between components is missed.
 
 Defined cases: null, empty or white-space texts have an empty set and link
 with nothing; a sequence shorter than a shingle is one shingle. Rows of equal
@@ -51,9 +51,8 @@ from tryline.llm.components import components
 from tryline.llm.textops import U64, chunks, shingle_sets, splitmix
 
 ORDERS = 3
-#: Pivot rounds at most, and the open pairs (per index row) that are few enough to verify them all.
-ROUNDS = 8
-OPEN_PER_ROW = 1.0
+#: Pivot rounds before all that is still open is verified.
+ROUNDS = 1
 #: Ids broadcast at most (8 bytes each); beyond it the same join is shuffled.
 BROADCAST_IDS = 2_000_000
 
@@ -124,14 +123,15 @@ def _full_sets(size: int, lower: bool):
     return run
 
 
-COMPARED = "a long, b long, linked boolean, both long, beside binary"
+COMPARED = "a long, b long, linked boolean, both long, places int, beside binary"
 
 
-def _compare(percent: int, salt: int, differences: bool):
-    """Verifies pairs of whole sets; with ``differences`` also the prefix of what ``b`` holds beside ``a``."""
+def _compare(percent: int, differences: bool):
+    """Verifies pairs of whole sets; with ``differences`` also what ``b`` holds beside ``a``, and how many places
+    of it, in any order, must hold a token shared with any linked set that ``a`` doesn't explain."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, common, beside = [], [], []
+            linked, common, places, beside = [], [], [], []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 a, b = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
                 at = np.searchsorted(a, b)
@@ -140,15 +140,12 @@ def _compare(percent: int, salt: int, differences: bool):
                 both = int(inside.sum())
                 linked.append(100 * both >= percent * (len(a) + len(b) - both))
                 common.append(both)
-                if differences:
-                    rest = b[~inside]
-                    # a linked partner shares at least ``need`` of these
-                    need = max(1, _need(len(b), percent) - both)
-                    order = np.argsort(splitmix(rest ^ U64(salt)))
-                    beside.append(rest[order[:max(0, len(rest) - need + 1)]].tobytes())
+                rest = b[~inside] if differences else b[:0]
+                places.append(max(0, len(rest) - max(1, _need(len(b), percent) - both) + 1))
+                beside.append(rest.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(common, pa.int64()),
-                 pa.array(beside if differences else [b""] * len(linked), pa.binary())], names=["a", "b", "linked", "both", "beside"])
+                 pa.array(places, pa.int32()), pa.array(beside, pa.binary())], names=["a", "b", "linked", "both", "places", "beside"])
     return run
 
 
@@ -216,26 +213,66 @@ def _prefixes(tokens: DataFrame, shared: DataFrame, sampled: DataFrame) -> DataF
 
     for k in range(ORDERS):
         df = df.withColumn(f"p{k}", F.transform(F.slice(ordered(k), F.lit(1), F.col("room")), lambda t: t["tok"]))
-    return df.select("uid", "n", "rare", *[f"p{k}" for k in range(ORDERS)])
+    # how common its tokens are on average: the middle of a group of copies has few that are its own
+    mid = F.floor(F.aggregate("toks", F.lit(0), lambda a, t: a + t["c"]) * 1000 / F.col("k")).cast("int")
+    return df.select("uid", "n", mid.alias("mid"), *[f"p{k}" for k in range(ORDERS)])
+
+
+def _beside(again: DataFrame) -> DataFrame:
+    """``(key, uid)``: the sets of a pivot ``a`` under the tokens of their differences' prefixes, rare tokens first."""
+    each = again.select("places", F.struct("a", "b").alias("uid"), F.col("beside").alias("sample"))
+    rows = each.select("uid", "sample").mapInArrow(_explode, "tok long, uid struct<a:long,b:long>").select(
+        F.col("uid.a").alias("a"), F.col("uid.b").alias("b"), "tok")
+    counts = rows.groupBy("a", "tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    lists = rows.join(counts, ["a", "tok"]).groupBy("a", "b").agg(
+        F.sort_array(F.collect_list(F.struct("df", F.xxhash64("tok").alias("h"), "tok"))).alias("toks"))
+    room = F.col("places") - (F.floor(F.length("beside") / 8) - F.size("toks"))
+    out = lists.join(again.select("a", "b", "places", "beside"), ["a", "b"]).withColumn("room", room.cast("int")).where("room > 0")
+    out = out.select("a", "b", F.explode(F.slice("toks", F.lit(1), F.col("room"))).alias("t"))
+    return out.select(F.xxhash64("a", "t.tok").alias("key"), F.col("b").alias("uid")).distinct()
+
+
+def _longs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            sets = [np.frombuffer(x, np.int64) for x in part.column("whole").to_pylist()]
+            off = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("uid"), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets)))],
+                                             names=["uid", "whole"])
+
+
+def _meet_and_verify(rows: DataFrame, prefixes: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Links ``(u, v)`` between sets of one key and different components.
+
+    A pair is looked at under its smallest common key alone; it must be near
+    in size, meet under all other orders, and then reach the similarity on
+    the whole sets. All of this is the join's condition, so the join puts out
+    links, not candidates.
+    """
+    near = (F.col("l.n") * percent <= F.col("r.n") * 100) & (F.col("r.n") * percent <= F.col("l.n") * 100)
+    # a set has as many keys as its prefixes have places
+    keys = rows.groupBy("uid").agg(F.collect_set("key").alias("keys"))
+    sets = whole.join(keys.select("uid"), "uid", "left_semi").mapInArrow(_longs, "uid long, whole array<long>").dropDuplicates(["uid"])
+    full = rows.join(keys.join(prefixes, "uid").join(sets, "uid"), "uid")
+    same = F.size(F.array_intersect("l.whole", "r.whole"))
+    cond = (F.col("l.key") == F.col("r.key")) & (F.col("l.uid") < F.col("r.uid")) & (F.col("l.comp") != F.col("r.comp")) & near
+    cond = cond & (F.array_min(F.array_intersect("l.keys", "r.keys")) == F.col("l.key"))
+    for k in range(1, ORDERS):
+        cond = cond & F.arrays_overlap(f"l.p{k}", f"r.p{k}")
+    cond = cond & (same * (100 + percent) >= (F.col("l.n") + F.col("r.n")) * percent)
+    return full.alias("l").join(full.alias("r"), cond).select(F.col("l.uid").alias("u"), F.col("r.uid").alias("v"))
 
 
 def _links(spark: SparkSession, scratch: Scratch, index: DataFrame, whole: DataFrame, percent: int) -> DataFrame | None:
     """Verified links ``(u, v)`` of sets that connect what any link connects (step 4 of the module's text)."""
     prefixes = index.select("uid", *[f"p{k}" for k in range(1, ORDERS)])
-    size_of = index.select("uid", "n", "rare")
+    size_of = index.select("uid", "n", "mid")
     links: list[DataFrame] = []
 
-    def verify(pairs: DataFrame, salt: int, differences: bool) -> DataFrame:
+    def verify(pairs: DataFrame, differences: bool) -> DataFrame:
         both = pairs.join(whole.select(F.col("uid").alias("b"), F.col("whole").alias("y")), "b")             .join(whole.select(F.col("uid").alias("a"), F.col("whole").alias("x")), "a")
-        return both.select("a", "b", "x", "y").mapInArrow(_compare(percent, salt, differences), COMPARED)
-
-    def meeting(pairs: DataFrame) -> DataFrame:
-        """Pairs that meet under the other orders too."""
-        for side in ("a", "b"):
-            pairs = pairs.join(prefixes.select(F.col("uid").alias(side), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]), side)
-        for k in range(1, ORDERS):
-            pairs = pairs.where(F.arrays_overlap(f"a{k}", f"b{k}"))
-        return pairs.select("a", "b")
+        return both.select("a", "b", "x", "y").mapInArrow(_compare(percent, differences), COMPARED)
 
     def unfinished(rows: DataFrame, name: str) -> DataFrame:
         """``(key, uid)`` rows of keys whose sets are not all of one component, with the sets' component and size."""
@@ -260,25 +297,17 @@ def _links(spark: SparkSession, scratch: Scratch, index: DataFrame, whole: DataF
     near = (F.col("l.n") * percent <= F.col("r.n") * 100) & (F.col("r.n") * percent <= F.col("l.n") * 100)
     rows = unfinished(index.select(F.explode("p0").alias("key"), "uid").distinct(), "open0")
     for step in range(ROUNDS + 1):
-        n_rows = rows.count()
-        if not n_rows:
+        if rows.isEmpty():
             break
-        size = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("s")).groupBy("key").agg(
-            F.sum("s").alias("t"), F.sum(F.col("s") * F.col("s")).alias("q"))
-        pairs_left = size.agg(F.sum((F.col("t") * F.col("t") - F.col("q")) / 2).alias("p")).first()["p"] or 0
-        if step == ROUNDS or pairs_left <= OPEN_PER_ROW * n_rows:
-            left, right = rows.alias("l"), rows.alias("r")
-            met = left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.uid") < F.col("r.uid"))
-                            & (F.col("l.comp") != F.col("r.comp")) & near)
-            pairs = scratch.table(meeting(met.select(F.col("l.uid").alias("a"), F.col("r.uid").alias("b")).distinct()), f"pairs{step}")
-            links.append(scratch.table(verify(pairs, 0, False).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
-                                       f"links{step}"))
+        if step == ROUNDS:
+            found = _meet_and_verify(rows, prefixes, whole, percent)
+            links.append(scratch.table(found, f"links{step}"))
             break
-        # the pivot: the set with the fewest unshared tokens, most likely the middle of its copies; then the smallest
-        pivots = scratch.table(rows.groupBy("key").agg(F.min(F.struct("rare", "n", "uid")).alias("p")).select(
+        # the pivot: the set of the most common tokens, most likely the middle of its copies; then the smallest
+        pivots = scratch.table(rows.groupBy("key").agg(F.min(F.struct(-F.col("mid"), "n", "uid")).alias("p")).select(
             "key", F.col("p.uid").alias("a")), f"pivots{step}")
         met = rows.join(pivots, "key").where("uid <> a").select("a", F.col("uid").alias("b")).distinct()
-        found = scratch.table(verify(met, step + 1, True), f"found{step}")
+        found = scratch.table(verify(met, True), f"found{step}")
         links.append(found.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
         rest = unfinished(rows.join(pivots, "key").where("uid <> a").select("key", "uid"), f"rest{step}")
         # what is still open meets again beside its pivot
@@ -288,11 +317,8 @@ def _links(spark: SparkSession, scratch: Scratch, index: DataFrame, whole: DataF
         odd = small.alias("l").join(again.alias("r"), (F.col("l.a") == F.col("r.a")) & (F.col("r.n") <= F.col("l.most"))
                                     & (F.col("l.comp") != F.col("r.comp")) & near).select(
             F.least("l.b", "r.b").alias("a"), F.greatest("l.b", "r.b").alias("b")).distinct()
-        odd = scratch.table(meeting(odd), f"odd{step}")
-        links.append(scratch.table(verify(odd, 0, False).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
+        odd = scratch.table(odd, f"odd{step}")
+        links.append(scratch.table(verify(odd, False).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
                                    f"links{step}"))
-        beside = again.select(F.col("beside").alias("sample"), F.struct("a", "b").alias("uid")).mapInArrow(
-            _explode, "tok long, uid struct<a:long,b:long>")
-        nxt = beside.select(F.xxhash64("uid.a", "tok").alias("key"), F.col("uid.b").alias("uid")).distinct()
-        rows = unfinished(nxt, f"open{step + 1}")
+        rows = unfinished(_beside(again), f"open{step + 1}")
     return all_links() if links else None
