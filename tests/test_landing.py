@@ -90,7 +90,6 @@ def test_sinks(spark, tmp_path):
 def test_available_now_incremental_upsert(spark, tmp_path):
     from tryline.streaming.incremental import incremental_details_run
     import uuid
-    stream = f"test-{uuid.uuid4().hex}"
     landing, table = tmp_path / "landing", tmp_path / "table"
     landing.mkdir()
     cols = [f.name for f in RAW_MATCH_DETAILS.fields]
@@ -102,11 +101,45 @@ def test_available_now_incremental_upsert(spark, tmp_path):
         pdf.to_parquet(landing / name)
 
     land("match_details_20240101.parquet", [("m1", "2024-01-01", 2024, "c1", "A"), ("m2", "2024-01-02", 2024, "c1", "A")])
-    v1 = incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=stream)
+    v1 = incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table))
     assert spark.read.parquet(v1).count() == 2
     land("match_details_20240201.parquet", [("m2", "2024-01-02", 2024, "c1", "CHANGED"), ("m3", "2024-02-01", 2024, "c2", "B")])
-    v2 = incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=stream)
+    v2 = incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table))
     got = {r["match_id"]: r["competition_name"] for r in spark.read.parquet(v2).collect()}
     assert got == {"m1": "A", "m2": "A", "m3": "B"}  # existing wins (S15)
     # nothing new: the run processes no batch and the table stays
-    assert incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table), name=stream) == v2
+    assert incremental_details_run(spark, str(landing), RAW_MATCH_DETAILS, str(table)) == v2
+
+
+def test_moved_nulls_are_an_update(spark):
+    kind = "key string, a int, b int"
+    old = spark.createDataFrame([("k", None, 5), ("s", 1, None)], kind)
+    new = spark.createDataFrame([("k", 5, None), ("s", 1, None)], kind)
+    got = {r["key"]: r["change_type"] for r in incremental.incremental_upsert(old, new, "key").collect()}
+    assert got == {"k": "updated", "s": "unchanged"}
+
+
+def test_lost_stream_checkpoint_loses_no_row(spark, tmp_path):
+    """A new checkpoint restarts the batch numbers; the table's versions go on, and the first snapshot wins in a batch."""
+    import shutil
+
+    from tryline.streaming.incremental import incremental_details_run
+    land, table = tmp_path / "landing", tmp_path / "table"
+    land.mkdir()
+
+    def put(name, rows):
+        spark.createDataFrame(rows, RAW_MATCH_DETAILS).coalesce(1).write.parquet(str(tmp_path / "w" / name))
+        part = next((tmp_path / "w" / name).glob("part-*.parquet"))
+        shutil.copy(part, land / name)
+
+    row = lambda m, name: (m, dt.date(2024, 1, 1), 2024, "c", name)
+    put("match_details_20240102.parquet", [row("m1", "late"), row("m2", "x")])
+    put("match_details_20240101.parquet", [row("m1", "early")])
+    path = incremental_details_run(spark, str(land), RAW_MATCH_DETAILS, str(table))
+    assert {r["match_id"]: r["competition_name"] for r in spark.read.parquet(path).collect()} == {"m1": "early", "m2": "x"}
+    first = path
+    (tmp_path / "table_stream").rename(tmp_path / "lost")
+    put("match_details_20240103.parquet", [row("m3", "new"), row("m1", "again")])
+    path = incremental_details_run(spark, str(land), RAW_MATCH_DETAILS, str(table))
+    assert path > first
+    assert {r["match_id"]: r["competition_name"] for r in spark.read.parquet(path).collect()} == {"m1": "early", "m2": "x", "m3": "new"}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pandas as pd
 import pytest
-from pyspark.sql import types as T
 
 from tryline.schemas import RAW_MATCH_DETAILS, RAW_TEAM_STATS
 from tryline.sources import files
@@ -44,11 +45,10 @@ def _drifting_files(folder):
 
 def test_read_drifting_schemas_unions_by_name(spark, tmp_path):
     _drifting_files(tmp_path)
-    declared = T.StructType([f for f in RAW_TEAM_STATS.fields if f.name != "game_date"]
-                            + [T.StructField("game_date", T.StringType())])
-    df = files.read_drifting(spark, str(tmp_path), declared)
+    df = files.read_drifting(spark, str(tmp_path), RAW_TEAM_STATS)
     rows = {(r["team_id"], r["match_id"]): r for r in df.collect()}
     assert len(rows) == 4
+    assert rows[("a", "m1")]["game_date"] == dt.date(2024, 1, 1)
     assert rows[("a", "m1")]["score"] == 10.0 and isinstance(rows[("a", "m1")]["score"], float)
     assert rows[("c", "m3")]["score"] is None and rows[("c", "m3")]["tries"] == 2.0
     assert rows[("b", "m1")]["rucks_won"] == 12.0 and rows[("a", "m1")]["rucks_won"] is None
@@ -122,3 +122,36 @@ def test_per_entity_snapshots(spark, tmp_path):
     per_entity_snapshots(df, str(tmp_path / "out"), latest_date_label(df, "20260420"))
     dirs = sorted(p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").glob("*/*"))
     assert dirs == ["team_id=t1/latest_date=20240201", "team_id=t2/latest_date=20230501"]
+
+
+def test_landing_run_keeps_every_row(spark, tmp_path):
+    """Drifting files with dates as text, number and float text, and an undeclared column of two types."""
+    from tryline.plans.landing import load_raw
+    from tryline.plans.marts import MartBuild
+    land = tmp_path / "landing"
+    land.mkdir()
+    common = {"team": ["A", "B"], "team_vs_id": ["b", "a"], "team_vs": ["B", "A"], "match_id": ["m1", "m1"]}
+    pd.DataFrame({"team_id": ["a", "b"], **common, "game_date": ["20250103", "2025-01-03"], "score": ["10", "7.5"],
+                  "team_vs_score": ["7.5", "10"], "rucks_won": ["12", "n/a"], "players": [["p1"], ["p2"]]}
+                 ).to_parquet(land / "team_stats_1.parquet")
+    pd.DataFrame({"team_id": ["a", "b"], **{**common, "match_id": ["m2", "m2"]}, "game_date": [20250110, 20250110],
+                  "score": [3, 4], "team_vs_score": [4, 3], "rucks_won": [5, 6]}).to_parquet(land / "team_stats_2.parquet")
+    pd.DataFrame({"team_id": ["a", "b"], **{**common, "match_id": ["m3", "m3"]}, "game_date": ["20250117.0", "20250117.0"],
+                  "score": [1.0, 2.0], "team_vs_score": [2.0, 1.0]}).to_parquet(land / "team_stats_3.parquet")
+    pd.DataFrame({"team_id": ["a", "b", ""], "team_name": ["A", "B", "nobody"]}).to_parquet(land / "teams_20250101.parquet")
+    raw = load_raw(spark, str(land), str(tmp_path / "raw"))
+    rows = raw.team_stats.collect()
+    assert len(rows) == 6 and {r["game_date"] for r in rows} == {dt.date(2025, 1, 3), dt.date(2025, 1, 10), dt.date(2025, 1, 17)}
+    assert sorted(str(r["rucks_won"]) for r in rows) == ["12", "5", "6", "None", "None", "n/a"]
+    fact = MartBuild(raw, cut=False).fct_team_performance.collect()
+    assert sorted((r["match_id"], r["team_id"], r["score_difference"]) for r in fact) == [
+        ("m1", "a", 2.5), ("m1", "b", -2.5), ("m2", "a", -1.0), ("m2", "b", 1.0), ("m3", "a", -1.0), ("m3", "b", 1.0)]
+    assert MartBuild(raw, cut=False).dim_teams.count() == 2
+
+
+def test_landing_run_without_usable_rows_raises(spark, tmp_path):
+    from tryline.plans.landing import load_raw
+    pd.DataFrame({"team_id": ["a"], "match_id": ["m"], "game_date": ["not a date"]}).to_parquet(tmp_path / "team_stats_1.parquet")
+    pd.DataFrame({"team_id": ["a"], "team_name": ["A"]}).to_parquet(tmp_path / "teams_1.parquet")
+    with pytest.raises(ValueError):
+        load_raw(spark, str(tmp_path), str(tmp_path / "raw"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tryline.functions.columns import strip_dot_zero
@@ -15,8 +15,8 @@ from tryline.operators.staging import keep_first
 
 
 def missing_ids(known: DataFrame, landed: DataFrame, key: str = "match_id") -> DataFrame:
-    """Distinct non-null ids in ``known`` that ``landed`` lacks."""
-    ids = known.select(F.col(key).cast("string").alias(key)).where(F.col(key).isNotNull()).distinct()
+    """Distinct ids in ``known`` (NULL and blank ones don't count) that ``landed`` lacks."""
+    ids = known.select(F.col(key).cast("string").alias(key)).where(F.col(key).isNotNull() & (F.col(key) != "")).distinct()
     have = landed.select(F.col(key).cast("string").alias(key)).where(F.col(key).isNotNull())
     return ids.join(have, key, "left_anti")
 
@@ -38,18 +38,24 @@ def first_snapshot_wins(snapshots: DataFrame, key: str = "match_id", snapshot_co
     return keep_first(snapshots, [key], order)
 
 
-def snapshot_upsert(existing: DataFrame, new: DataFrame, key: str = "match_id",
-                    prefer: str = "existing") -> DataFrame:
-    """H4: existing ∪ new, one row per key; ``prefer`` decides overlaps (S15:
+def snapshot_upsert(existing: DataFrame, new: DataFrame, key: str = "match_id", prefer: str = "existing",
+                    order: Sequence[str] = ()) -> DataFrame:
+    """H4: existing and new rows, one row per key; ``prefer`` decides overlaps (S15:
     the reference keeps the existing row, so corrections never land;
-    ``prefer="new"`` lets them land)."""
+    ``prefer="new"`` lets them land). Within one side the first row by
+    ``order`` stays (snapshot name and row number, say; a column one side
+    lacks is NULL there), then by the row's own values, so reruns agree."""
     if prefer not in ("existing", "new"):
         raise ValueError(prefer)
-    cols = existing.columns
+    cols = [c for c in existing.columns if c not in order]
     pe, pn = (0, 1) if prefer == "existing" else (1, 0)
-    both = (existing.select(*cols, F.lit(pe).alias("_prio"))
-                    .unionByName(new.select(*cols, F.lit(pn).alias("_prio"))))
-    return keep_first(both, [key], [F.col("_prio").asc()]).drop("_prio")
+
+    def side(df: DataFrame, rank: int) -> DataFrame:
+        own = [F.col(c) if c in df.columns else F.lit(None).alias(c) for c in order]
+        return df.select(*cols, *own, F.lit(rank).alias("_prio"))
+
+    both = side(existing, pe).unionByName(side(new, pn))
+    return keep_first(both, [key], [F.col(c).asc() for c in ("_prio", *order, *cols)]).select(*cols)
 
 
 def latest_date_label(stats: DataFrame, run_date: str, key: str = "team_id",
@@ -62,27 +68,25 @@ def latest_date_label(stats: DataFrame, run_date: str, key: str = "team_id",
     return latest.select(key, F.when(label == "", F.lit(run_date)).otherwise(label).alias("latest_date"), "rows")
 
 
-def row_hash(cols: Sequence[str]) -> Column:
-    """Content hash of a row for change detection (64-bit xxhash)."""
-    return F.xxhash64(*[F.col(c) for c in cols])
-
-
 def incremental_upsert(existing: DataFrame, new: DataFrame, key: str,
                        compare: Sequence[str] | None = None) -> DataFrame:
     """M3: idempotent upsert on ``key`` where new rows win, with a
-    reconciliation tag per key from a full outer join on row hashes:
-    ``inserted`` (only new), ``updated`` (hash differs), ``unchanged`` and
-    ``kept`` (only existing). Running it again with the same ``new`` gives the
+    reconciliation tag per key from a full outer join that compares the
+    columns null-safely: ``inserted`` (only new), ``updated`` (a value
+    differs), ``unchanged`` and ``kept`` (only existing). Running it again with the same ``new`` gives the
     same table and only ``unchanged`` / ``kept`` tags.
     """
     cols = existing.columns
     compare = list(compare or [c for c in cols if c != key])
-    e = existing.select(F.col(key), F.struct(*cols).alias("e"), row_hash(compare).alias("he"))
-    n = new.select(F.col(key), F.struct(*cols).alias("n"), row_hash(compare).alias("hn"))
+    e = existing.select(F.col(key), F.struct(*cols).alias("e"))
+    n = new.select(F.col(key), F.struct(*cols).alias("n"))
     j = e.join(n, key, "full_outer")
+    same = F.lit(True)
+    for c in compare:
+        same = same & F.col(f"e.`{c}`").eqNullSafe(F.col(f"n.`{c}`"))
     change = (F.when(F.col("e").isNull(), F.lit("inserted"))
                .when(F.col("n").isNull(), F.lit("kept"))
-               .when(F.col("he") != F.col("hn"), F.lit("updated"))
+               .when(~same, F.lit("updated"))
                .otherwise(F.lit("unchanged")))
     picked = F.when(F.col("n").isNotNull(), F.col("n")).otherwise(F.col("e"))
     return j.select(picked.alias("r"), change.alias("change_type")).select("r.*", "change_type")

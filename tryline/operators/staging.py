@@ -98,5 +98,5 @@ def stg_teams(raw: DataFrame) -> DataFrame:
     """H2: distinct (team_id, team_name) with a non-null id."""
     return (raw.select(F.col("team_id").cast("string").alias("team_id"),
                        F.col("team_name").cast("string").alias("team_name"))
-               .where(F.col("team_id").isNotNull())
+               .where(F.col("team_id").isNotNull() & (F.col("team_id") != ""))
                .distinct())

@@ -12,7 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tryline.functions.leagues import LEAGUE_RULES
 from tryline.operators import charts, quality
+from tryline.plans.datasets import tile
+from tryline.plans.landing import LandedRaw
 from tryline.plans.marts import MartBuild
 from tryline.sinks import writers
 from tryline.sources.files import select_source
@@ -20,6 +23,9 @@ from tryline.sources.fixtures import RawTables
 
 MART_TABLES = ("dim_teams", "fct_team_performance")
 MART_VIEWS = ("vw_league_score_difference_timeseries", "vw_league_margin_categorical")
+#: The dashboard's tiles and the folders of their samples.
+TILE_FOLDERS = {name: "_".join(name.lower().split()) for name, _ in LEAGUE_RULES["tile"]}
+TILE_SAMPLE = 200
 
 
 @dataclass
@@ -49,9 +55,19 @@ def publish_marts(spark: SparkSession, build: MartBuild, mart_root: str, version
     return out
 
 
-def run_daily(spark: SparkSession, raw: RawTables, mart_root: str, out_dir: str, run_date: str,
+def run_daily(spark: SparkSession, raw: RawTables | LandedRaw, mart_root: str, out_dir: str, run_date: str,
               source: str = "auto", max_teams: int | None = None) -> DailyResult:
+    """One daily run over any source of the three raw tables; whether it ends
+    well or not, its intermediate tables are dropped."""
     before = set(writers.MATERIALIZED)
+    try:
+        return _run_daily(spark, raw, mart_root, out_dir, run_date, source, max_teams)
+    finally:
+        writers.drop_materialized(spark, [p for p in writers.MATERIALIZED if p not in before])
+
+
+def _run_daily(spark: SparkSession, raw: RawTables | LandedRaw, mart_root: str, out_dir: str, run_date: str,
+               source: str, max_teams: int | None) -> DailyResult:
     build = MartBuild(raw)
     # The enrichment join fans out if details repeat a match id
     quality.gate(quality.quality_report(
@@ -60,6 +76,8 @@ def run_daily(spark: SparkSession, raw: RawTables, mart_root: str, out_dir: str,
     published = publish_marts(spark, build, mart_root, run_date)
     models = dict(build.models())
     models.update(published)
+    # the intermediate model is the written fact without its rolling means
+    models["int_team_game_metrics"] = published["fct_team_performance"]
     report = quality.gate(quality.quality_report(models))
     for name in MART_TABLES:  # the gate passed: this version becomes the one dashboards read
         writers.mark_published(spark, f"{mart_root.rstrip('/')}/{name}/v={run_date}")
@@ -84,8 +102,10 @@ def run_daily(spark: SparkSession, raw: RawTables, mart_root: str, out_dir: str,
                                    "series_rows": series}, spark, run_date)
     summary = summary.withColumn("data_source", F.lit(used))
     writers.export_json(summary, f"{root}/run_summary")
-    # every output is written: drop this run's intermediate tables
-    writers.drop_materialized(spark, [p for p in writers.MATERIALIZED if p not in before])
+    for league in TILE_FOLDERS:
+        # the dashboard's tiles: a sample of each under its own order
+        writers.export_json(tile(published["fct_team_performance"], league), f"{root}/tiles/{TILE_FOLDERS[league]}",
+                            order_by=("game_date", "team_name"), limit=TILE_SAMPLE)
     out = {k: spark.read.parquet(f"{root}/{k}") for k in ("league_margin_categorical", "league_score_difference_series")}
     return DailyResult(report, used, out["league_margin_categorical"], timeseries,
                        spark.read.json(f"{root}/run_summary"))

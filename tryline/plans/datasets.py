@@ -82,18 +82,19 @@ def details_run_summary(raw: RawTables) -> DataFrame:
         ).select("m.*")
 
     return (long(stats, match_ids_total=F.count_distinct("match_id"), team_stats_rows=F.count(F.lit(1)))
-            .unionByName(long(details, match_ids_preexisting=F.count_distinct("match_id")))
+            .unionByName(long(details, match_ids_preexisting=F.count_distinct(F.nullif("match_id", F.lit("")))))
             .unionByName(long(missing, match_ids_to_fetch=F.count(F.lit(1)))))
 
 
 def drift_groups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two file groups of lineitem with drifted schemas, split by line status:
-    finished lines lack the discount and tax columns; open lines have them
+    finished lines lack the discount and tax columns; all others have them
     (zero discounts landed as NULL)."""
     li = read_table(spark, sf_dir, "lineitem")
     base = ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_shipdate"]
-    old = li.where(F.col("l_linestatus") == "F").select(*base)
-    new = li.where(F.col("l_linestatus") == "O").select(
+    finished = F.col("l_linestatus").eqNullSafe("F")
+    old = li.where(finished).select(*base)
+    new = li.where(~finished).select(
         *base[:4], F.nullif("l_discount", F.lit(0.0)).alias("l_discount"), "l_tax", "l_shipdate")
     return old, new
 

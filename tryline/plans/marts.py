@@ -4,9 +4,9 @@ raw.team_stats -> stg_team_stats (F1) -> int_team_game_metrics (C6, E2, D1,
 D2, C7, C8) -> fct_team_performance (F2-F4) -> the two dashboard views;
 raw.match_details -> stg_match_details; raw.teams -> stg_teams -> dim_teams.
 
-Nothing here runs an action. ``materialize`` writes a model and re-reads it
-(the reference's table materialisation, B9), which also cuts lineage so a lost
-executor only recomputes from the written table.
+Models are lazy but for the cut before the rolling windows: with ``cut`` the
+intermediate model is written and re-read (B9), so a lost executor only
+recomputes from the written table; the caller drops it in the end.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ from tryline.sources.fixtures import TIE_BREAKS, RawTables
 
 class MartBuild:
     def __init__(self, raw: RawTables, split: Column | None | str = "month",
-                 tie_breaks: tuple[str, ...] = TIE_BREAKS, cut: bool = True):
+                 tie_breaks: tuple[str, ...] | None = None, cut: bool = True):
+        # any source with team_stats, teams and match_details will do
+        tie_breaks = getattr(raw, "tie_breaks", TIE_BREAKS) if tie_breaks is None else tie_breaks
         self.raw = raw
         self.cut = cut
         if cut:

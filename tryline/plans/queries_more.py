@@ -30,7 +30,7 @@ def j1(spark, sf):
 
 @register("j2_unique", with_models("""
 SELECT team_id || '-' || match_id AS team_game_key, count(*) AS n_records
-FROM stg_base GROUP BY 1 HAVING count(*) > 1"""))
+FROM keyed_rows GROUP BY 1 HAVING count(*) > 1"""))
 def j2(spark, sf):
     from tryline.operators.staging import null_key_filter, stg_team_stats_projection
     proj = null_key_filter(stg_team_stats_projection(RawTables(spark, sf).team_stats))
@@ -59,12 +59,15 @@ def d6(spark, sf):
 
 @register("j5_score_symmetry", with_models("""
 SELECT match_id, count(*) AS team_rows, sum(score_difference) AS score_diff_sum
-FROM (SELECT match_id, score - opponent_score AS score_difference FROM scored_team_games) t
+FROM (SELECT match_id, score - opponent_score AS score_difference FROM keyed_rows
+      WHERE score IS NOT NULL AND opponent_score IS NOT NULL) t
 GROUP BY match_id HAVING count(*) <> 2 OR abs(sum(score_difference)) > 0.000001"""))
 def j5(spark, sf):
     from tryline.operators.metrics import score_difference, scored_rows
-    scored = scored_rows(marts_for(spark, sf).stg_team_stats).withColumn("score_difference", score_difference())
-    return quality.score_symmetry(scored)
+    from tryline.operators.staging import null_key_filter, stg_team_stats_projection
+    # all landed rows, before the dedupe: repeated lines break the symmetry
+    typed = null_key_filter(stg_team_stats_projection(RawTables(spark, sf).team_stats))
+    return quality.score_symmetry(scored_rows(typed).withColumn("score_difference", score_difference()))
 
 
 def _report_sql() -> str:
@@ -204,6 +207,17 @@ def g1(spark, sf):
     return charts.margin_ranked(marts_for(spark, sf).vw_league_margin_categorical)
 
 
+@register("g5_leagues_by_name", with_models("SELECT * FROM vw_league_margin_categorical"))
+def g5(spark, sf):
+    return charts.margins_by_name(marts_for(spark, sf).vw_league_margin_categorical)
+
+
+@register("g9_exploratory_rows", with_models("""
+SELECT * FROM stg_team_stats ORDER BY team_game_key LIMIT 50"""))
+def g9(spark, sf):
+    return DS.sample(marts_for(spark, sf).stg_team_stats, ["team_game_key"], 50)
+
+
 @register("g4_latest_20", with_models(f"""
 SELECT game_date, match_id, match_label, team_name, score_difference, league_name FROM {_TS}
 ORDER BY game_date DESC, match_id, team_name LIMIT 20"""))
@@ -215,19 +229,16 @@ def g4(spark, sf):
 
 # --- local chart path (C13/C14, D4, C9/C10, C19, C24, C22, E6) -------------------------
 
-_CHART_CASE = """CASE WHEN coalesce(competition_id, '') = '83d92007' THEN 'European Rugby Challenge Cup'
-  WHEN coalesce(competition_id, '') = 'ee0c6883' THEN 'European Rugby Champions Cup'
-  WHEN lower(coalesce(competition_name, '')) = 'major league rugby' THEN 'Major League Rugby'
-  WHEN lower(coalesce(competition_name, '')) IN ('super rugby pacific', 'super rugby')
-    OR coalesce(competition_id, '') IN ('877aa127', 'bc5d9ec5') THEN 'Super Rugby Pacific' END"""
-_LOCAL = f"""
+_LOCAL = """
 SELECT * FROM (
   SELECT b.*, b.team AS team_name, b.team_vs AS opponent_team_name,
          TRY_CAST(CAST(b.score AS VARCHAR) AS DOUBLE) - TRY_CAST(CAST(b.team_vs_score AS VARCHAR) AS DOUBLE)
            AS score_difference,
          d.competition_id, d.competition_name,
-         {_CHART_CASE.replace('competition_', 'd.competition_')} AS league_name
-  FROM raw_team_stats b LEFT JOIN raw_match_details d ON b.match_id = d.match_id) x
+         l.league AS league_name
+  FROM raw_team_stats b LEFT JOIN raw_match_details d ON b.match_id = d.match_id
+  LEFT JOIN leagues l ON l.variant = 'chart' AND l.competition_id = d.competition_id
+    AND l.competition_name = d.competition_name) x
 WHERE game_date IS NOT NULL AND score_difference IS NOT NULL AND league_name IS NOT NULL
   AND team_name IS NOT NULL"""
 
@@ -276,10 +287,7 @@ FROM ({_LOCAL}) r
 JOIN (SELECT match_id, array_to_string(list_slice(list_sort(list_distinct(list(team_name))), 1, 2), ' vs ')
         AS pair_label FROM ({_LOCAL}) r2 GROUP BY match_id) l ON r.match_id = l.match_id"""))
 def c19_local(spark, sf):
-    # the rows feed both the label aggregate and the labelled rows: write
-    # them once to the shared folder instead of rebuilding them twice
-    from tryline.sinks.writers import materialize
-    return charts.local_timeseries(materialize(spark, _local_rows(spark, sf), "local_chart_rows"))
+    return charts.local_timeseries(_local_rows(spark, sf))
 
 
 @register("c14_surrogate_match_id", with_raw("""
@@ -395,17 +403,17 @@ def h4(spark, sf):
     return incremental.snapshot_upsert(a.drop("snapshot"), b.drop("snapshot"))
 
 
-@register("d5_missing_match_ids", with_raw("""
+@register("d5_missing_match_ids", with_models("""
 SELECT DISTINCT match_id FROM raw_team_stats
-WHERE match_id IS NOT NULL AND match_id NOT IN (SELECT match_id FROM raw_match_details)"""))
+WHERE match_id IS NOT NULL AND match_id NOT IN (SELECT match_id FROM stg_match_details)"""))
 def d5(spark, sf):
     raw = RawTables(spark, sf)
     return incremental.missing_ids(raw.team_stats, raw.match_details)
 
 
-@register("g6_capped_ids", with_raw("""
+@register("g6_capped_ids", with_models("""
 SELECT DISTINCT match_id FROM raw_team_stats
-WHERE match_id IS NOT NULL AND match_id NOT IN (SELECT match_id FROM raw_match_details)
+WHERE match_id IS NOT NULL AND match_id NOT IN (SELECT match_id FROM stg_match_details)
 ORDER BY match_id LIMIT 100"""))
 def g6(spark, sf):
     raw = RawTables(spark, sf)
@@ -419,12 +427,12 @@ def b5(spark, sf):
     return incremental.latest_date_label(RawTables(spark, sf).team_stats, RUN_DATE)
 
 
-@register("b6_run_summary", with_raw("""
+@register("b6_run_summary", with_models("""
 SELECT 'match_ids_total' AS metric, count(DISTINCT match_id) AS value FROM raw_team_stats
-UNION ALL SELECT 'match_ids_preexisting', count(DISTINCT match_id) FROM raw_match_details
+UNION ALL SELECT 'match_ids_preexisting', count(DISTINCT nullif(match_id, '')) FROM raw_match_details
 UNION ALL SELECT 'match_ids_to_fetch', count(*) FROM (
   SELECT DISTINCT match_id FROM raw_team_stats WHERE match_id IS NOT NULL
-    AND match_id NOT IN (SELECT match_id FROM raw_match_details)) m
+    AND match_id NOT IN (SELECT match_id FROM stg_match_details)) m
 UNION ALL SELECT 'team_stats_rows', count(*) FROM raw_team_stats"""))
 def b6(spark, sf):
     return DS.details_run_summary(RawTables(spark, sf))
@@ -460,7 +468,7 @@ _GROUPS_SQL = """
 old_files AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, l_shipdate FROM lineitem
               WHERE l_linestatus = 'F'),
 new_files AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, NULLIF(l_discount, 0) AS l_discount,
-                     l_tax, l_shipdate FROM lineitem WHERE l_linestatus = 'O')"""
+                     l_tax, l_shipdate FROM lineitem WHERE l_linestatus IS DISTINCT FROM 'F')"""
 
 
 @register("a3_union_by_name", f"""
@@ -540,9 +548,14 @@ def c16(spark, sf):
     return ev.select("event_id", *documents.keep_columns_default("props", ["k", "brand"]))
 
 
-@register("c11_serialize_nested")  # float text differs by engine: rows-only check, parsed-value test in pytest
+@register("c11_serialize_nested", """
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS pos, CAST(embedding[i] AS DOUBLE) AS value
+FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) e""")
 def c11(spark, sf):
-    return documents.serialize_nested(read_table(spark, sf, "embeddings"))
+    # engines print floats differently: the text is compared by the values it holds
+    text = documents.serialize_nested(read_table(spark, sf, "embeddings"))
+    back = text.select("vec_id", F.posexplode(F.from_json("embedding", "array<float>")).alias("pos", "value"))
+    return back.withColumn("value", F.col("value").cast("double"))
 
 
 @register("e14_avg_by_brand", """

@@ -1,7 +1,7 @@
 """Spark session defaults and the shared checkpoint folder.
 
-Cluster runs pass their own session; these helpers only fill in settings that
-are unset, so a cluster's configuration always wins.
+Cluster runs pass their own session, whose configuration is left alone;
+``build_session`` is for tests and benches.
 """
 
 from __future__ import annotations
@@ -44,35 +44,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-_FALLBACK_DIRS: dict[int, str] = {}
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or ``fallback``.
 
-    On a cluster the folder is configured by the cluster (a shared file system
-    path) and is only read here. Only when it is unset -- local tests -- is a
-    scratch folder made and given to the SparkContext (the setting itself
-    cannot be changed at runtime).
+    A cluster must name one that driver and executors share; without it this
+    raises, since a machine-local folder would be incomplete on read-back.
+    Only a local master (tests), where all tasks run on this machine, gets a
+    scratch folder of its own.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- sessions without a SparkContext (Spark Connect)
-        sc = None
-    if current:
-        if sc is not None and not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    key = id(spark)
-    if key not in _FALLBACK_DIRS:
-        _FALLBACK_DIRS[key] = fallback or tempfile.mkdtemp(prefix="tryline-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(_FALLBACK_DIRS[key])
-    return _FALLBACK_DIRS[key]
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or fallback
+    if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        current = _LOCAL_DIRS.setdefault(sc.applicationId, "") or tempfile.mkdtemp(prefix="tryline-")
+        _LOCAL_DIRS[sc.applicationId] = current
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

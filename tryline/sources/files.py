@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tryline.functions.columns import try_date, try_double
+
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> list[str]:
     """Full paths of the entries of ``folder`` matching ``pattern``, sorted by name."""
@@ -47,33 +49,68 @@ def optional_latest_snapshot(spark: SparkSession, folder: str, pattern: str,
         return spark.createDataFrame([], schema)
 
 
+_NUMBERS = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DecimalType)
+
+
+def coerce(name: str, have: T.DataType, want: T.DataType) -> Column:
+    """A landed column in its declared type; what can't be read is NULL.
+
+    Dates come as DATE, TIMESTAMP, text (``yyyyMMdd`` or ISO, a printed
+    ``.0`` allowed) or a ``yyyyMMdd`` number; numbers as numbers or text.
+    """
+    c = F.col(f"`{name}`")
+    if have == want:
+        return c
+    if isinstance(want, T.DateType):
+        if isinstance(have, (T.TimestampType, T.TimestampNTZType)):
+            return F.to_date(c)
+        return try_date(c.try_cast("bigint") if isinstance(have, _NUMBERS) else c.cast("string"))
+    if isinstance(want, _NUMBERS) and not isinstance(have, _NUMBERS):
+        return try_double(c).try_cast(want)
+    if isinstance(have, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(c) if isinstance(want, T.StringType) else F.lit(None).cast(want)
+    return c.try_cast(want)
+
+
 def conform(df: DataFrame, declared: T.StructType, keep_extra: bool = True) -> DataFrame:
-    """Cast the declared columns a frame has to their declared types (unparsable
-    values become NULL via ``try_cast``) and add the missing ones as NULL."""
-    have = {f.name: f for f in df.schema.fields}
-    cols = []
-    for f in declared.fields:
-        if f.name in have:
-            cols.append(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-                        if have[f.name].dataType != f.dataType else F.col(f"`{f.name}`"))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    """Coerce the declared columns a frame has and add the missing ones as NULL."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cols = [coerce(f.name, have[f.name], f.dataType).alias(f.name) if f.name in have
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in declared.fields]
     if keep_extra:
         declared_names = {f.name for f in declared.fields}
         cols += [F.col(f"`{n}`") for n in df.columns if n not in declared_names]
     return df.select(*cols)
 
 
+def common_type(kinds: Sequence[T.DataType]) -> T.DataType:
+    """One type for a column whose files disagree: numbers meet as double, all else as text."""
+    first = kinds[0]
+    if all(k == first for k in kinds):
+        return first
+    return T.DoubleType() if all(isinstance(k, _NUMBERS) for k in kinds) else T.StringType()
+
+
 def union_by_name(frames: Sequence[DataFrame], declared: T.StructType | None = None) -> DataFrame:
     """A3: stack frames by column name; a column missing from a frame is NULL.
 
-    With ``declared``, each frame is first cast to the declared types, so
-    frames whose files disagree on a type (bigint vs double, an all-null
-    column read as int) still union.
+    Frames may disagree on a type (bigint and double, text and bigint, an
+    all-null column read as int): a declared column is coerced to its declared
+    type, any other to the type all its frames can meet in.
     """
     if not frames:
         raise ValueError("no frames to union")
-    parts = [conform(f, declared) if declared is not None else f for f in frames]
+    known = {f.name for f in declared.fields} if declared is not None else set()
+    kinds: dict[str, list[T.DataType]] = {}
+    for f in frames:
+        for c in f.schema.fields:
+            if c.name not in known:
+                kinds.setdefault(c.name, []).append(c.dataType)
+    whole = T.StructType([*(declared.fields if declared is not None else []),
+                          *(T.StructField(n, common_type(k)) for n, k in kinds.items())])
+    parts = [f.select(*[coerce(c.name, c.dataType, whole[c.name].dataType).alias(c.name) for c in f.schema.fields]) for f in frames]
+    if declared is not None:
+        parts = [conform(p, declared) for p in parts]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -111,6 +148,8 @@ def parquet_opener():
         import pyarrow.parquet as pq
         if path.startswith("file:"):
             return pq.ParquetFile(path[len("file:"):])
+        for old in ("s3a://", "s3n://"):      # Hadoop's names of schemes
+            path = path.replace(old, "s3://", 1) if path.startswith(old) else path
         if "://" in path:
             fs, inner = pafs.FileSystem.from_uri(path)
             return pq.ParquetFile(fs.open_input_file(inner))
@@ -118,17 +157,25 @@ def parquet_opener():
     return open_parquet
 
 
+#: Where a landed row came from: its file's name and its place in it.
+ORIGIN = ("_file", "_row")
+
+
 def read_drifting(spark: SparkSession, folder: str, declared: T.StructType,
-                  pattern: str = "*.parquet") -> DataFrame:
+                  pattern: str = "*.parquet", origin: bool = False) -> DataFrame:
     """A3 for files whose schemas drift: group the files by footer schema, read
     each group on its own (one consistent schema per read), conform it to the
     declared types and union by name. The number of groups is the number of
-    schema versions, small even when the files are many."""
+    schema versions, small even when the files are many. With ``origin``,
+    every row carries its file's name and its place in it."""
     paths = list_files(spark, folder, pattern)
     require_files(paths, folder)
     groups = (footer_schemas(spark, paths).groupBy("schema")
               .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
     frames = [spark.read.parquet(*g["paths"]) for g in sorted(groups, key=lambda g: g["paths"][0])]
+    if origin:
+        frames = [f.select("*", F.col("_metadata.file_name").alias(ORIGIN[0]), F.col("_metadata.row_index").alias(ORIGIN[1]))
+                  for f in frames]
     return union_by_name(frames, declared)
 
 

@@ -4,7 +4,7 @@ The reference is a daily batch; its incremental behaviour is "fetch what is
 missing, upsert, keep the first record". The same DataFrame operators run here
 through Structured Streaming with ``trigger(availableNow=True)``: each run
 processes only the files that arrived since the last run (tracked in the
-stream's checkpoint in the shared folder) and stops. ``foreachBatch`` applies
+stream's checkpoint beside the table) and stops. ``foreachBatch`` applies
 the batch upsert and writes the table with a plain batch writer, so a lost
 executor re-runs the micro-batch from its recorded offsets.
 """
@@ -14,19 +14,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tryline.operators.incremental import snapshot_upsert
-from tryline.session import shared_path
+from tryline.sinks.writers import drop_materialized
+from tryline.sources.files import ORIGIN, list_files
+
+
+KEEP_VERSIONS = 2
 
 
 def new_files_stream(spark: SparkSession, folder: str, schema: T.StructType,
                      pattern: str = "*.parquet", max_files: int | None = None) -> DataFrame:
-    """A file stream over ``folder``; a declared schema is required for streams."""
+    """A file stream over ``folder`` with each row's origin; a declared schema is required for streams."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    return reader.parquet(folder).select("*", F.col("_metadata.file_name").alias(ORIGIN[0]),
+                                         F.col("_metadata.row_index").alias(ORIGIN[1]))
 
 
 def run_available(stream: DataFrame, process_batch: Callable[[DataFrame, int], None],
@@ -38,37 +44,44 @@ def run_available(stream: DataFrame, process_batch: Callable[[DataFrame, int], N
     q.awaitTermination()
 
 
-def upsert_batches(spark: SparkSession, table_path: str, key: str, prefer: str = "existing",
-                   schema: T.StructType | None = None) -> Callable[[DataFrame, int], None]:
+def upsert_batches(spark: SparkSession, table_path: str, key: str, prefer: str = "existing") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: upsert each micro-batch into the parquet
-    table at ``table_path`` (H4 / M3 semantics) and replace it.
+    table at ``table_path`` (H4 / M3 semantics).
 
-    The new version is written beside the old one and becomes current only
-    after the write finished (``{table_path}/v={batch_id}``), so a failed
-    batch never leaves a half-written table behind.
+    Every batch writes a new version, one above the last complete one,
+    whatever the stream's batch number; nothing that is read is overwritten.
+    A batch that runs again after its write upserts rows that are there
+    already, which changes nothing. Older versions than the last
+    ``KEEP_VERSIONS`` are removed.
     """
     def process(batch: DataFrame, batch_id: int) -> None:
-        current = latest_version(spark, table_path)
-        if current is None:
-            merged = snapshot_upsert(batch.limit(0), batch, key=key, prefer="new")
-        else:
-            existing = spark.read.parquet(current)
-            merged = snapshot_upsert(existing, batch.select(*existing.columns), key=key, prefer=prefer)
-        merged.write.mode("overwrite").parquet(f"{table_path}/v={batch_id:012d}")
+        done = versions(spark, table_path)
+        rows = [c for c in batch.columns if c not in ORIGIN]
+        existing = spark.read.parquet(done[-1]).select(*rows) if done else batch.select(*rows).limit(0)
+        merged = snapshot_upsert(existing, batch, key=key, prefer=prefer if done else "new", order=ORIGIN)
+        number = int(done[-1].rsplit("v=", 1)[1]) + 1 if done else 0
+        merged.write.mode("overwrite").parquet(f"{table_path}/v={number:012d}")
+        drop_materialized(spark, done[:-(KEEP_VERSIONS - 1)])
     return process
 
 
+def versions(spark: SparkSession, table_path: str) -> list[str]:
+    """Complete versions (their write left a ``_SUCCESS`` marker), oldest first."""
+    return [p.rsplit("/", 1)[0] for p in list_files(spark, table_path, "v=*/_SUCCESS")]
+
+
 def latest_version(spark: SparkSession, table_path: str) -> str | None:
-    """Newest complete version (its write left a ``_SUCCESS`` marker)."""
-    from tryline.sources.files import list_files
-    done = list_files(spark, table_path, "v=*/_SUCCESS")
-    return done[-1].rsplit("/", 1)[0] if done else None
+    """Newest complete version."""
+    done = versions(spark, table_path)
+    return done[-1] if done else None
 
 
 def incremental_details_run(spark: SparkSession, landing: str, schema: T.StructType, table: str,
-                            key: str = "match_id", prefer: str = "existing", name: str = "details") -> str | None:
+                            key: str = "match_id", prefer: str = "existing") -> str | None:
     """One scheduled run: upsert all newly landed files into ``table``; returns
-    the path of the current table version."""
-    checkpoint = shared_path(spark, f"streams/{name}")
-    run_available(new_files_stream(spark, landing, schema), upsert_batches(spark, table, key, prefer), checkpoint)
+    the path of the current table version. The stream's checkpoint lies beside
+    the table, so each table follows a folder for itself; should it get lost,
+    all files are upserted once more, into the next version."""
+    run_available(new_files_stream(spark, landing, schema), upsert_batches(spark, table, key, prefer),
+                  f"{table.rstrip('/')}_stream")
     return latest_version(spark, table)
