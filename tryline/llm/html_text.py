@@ -49,6 +49,9 @@ PARTS = frozenset(
     "consent copyright disclaimer disqus footer gdpr header masthead menu menubar modal nav navbar navigation newsletter notice notices "
     "outbrain overlay pager pagination popup promo promoted promotion related recommended replies respond share sharing sidebar sidenav "
     "signup skip social sponsor sponsored subscribe subscription taboola tags toolbar topbar widget widgets".split())
+#: Words that mark the main text's container, and elements that are parts of a larger one.
+CONTENT = frozenset("article content entry main post story".split())
+PART = frozenset("tr td th tbody thead tfoot caption li ul ol dl dt dd table p".split())
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Elements that end an open element of the same group, up to the nearest of the bounds.
 _ENDS = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
@@ -228,13 +231,9 @@ def main_text(page: str) -> str:
         best = _score(_visible(root, by_name))
         if best is None:
             continue
-        up = best
-        while up is not None and up.tag != "article":
-            up = up.up
-        if up is not None:
-            best = up
+        best = _whole(best)
         roots = [best]
-        if best.up is not None and best.tag != "article":
+        if best.up is not None and best.tag not in ("article", "main"):
             least = max(10.0, 0.2 * best.score)
             roots = [k for k in best.up.kids if not isinstance(k, str) and (k is best or _joins(k, least))]
         blocks = _blocks(roots)
@@ -243,6 +242,27 @@ def main_text(page: str) -> str:
     return ""
 
 
+def _whole(best: Node) -> Node:
+    """The container widened to what it is a part of: its list or table, then the article or main element, then a
+    container named as content."""
+    while best.tag in PART and best.up is not None:
+        best = best.up
+    for named in ("article", "main", None):
+        up = best
+        while up is not None and not (up.tag == named if named else up.tag not in ("html", "body", "#root") and _is_content(up)):
+            up = up.up
+        if up is not None:
+            return up
+    return best
+
+
+def _is_content(node: Node) -> bool:
+    if not node.attrs:
+        return False
+    a = _attributes(node)
+    return any(p.lower() in CONTENT for p in _NAME_PART.findall(f"{a.get('class', '')} {a.get('id', '')}"))
+
+
 def _joins(node: Node, least: float) -> bool:
     """Whether a sibling of the best container belongs to the main text."""
     if node.score >= least:

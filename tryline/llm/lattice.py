@@ -79,6 +79,9 @@ class Pieces:
                     self.normal[i] = True
                     text.append(self.bytes_of[i])
                     ids.append(i)
+        self.spell = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.spell_size = np.array([len(x) for x in self.bytes_of], np.int64)
+        self.spell_at = np.cumsum(self.spell_size) - self.spell_size
         self.usable = self.normal.copy()
         self.usable[self.byte_id] = True
         # all beginnings of pieces, each once, with the piece that ends there
@@ -167,7 +170,7 @@ def _log_sums(lat: Lattice, weight: np.ndarray, source: np.ndarray, target: np.n
     n_nodes = int(lat.last[-1]) + 1 if len(lat.last) else 0
     value = np.full(n_nodes, -np.inf)
     value[begin] = 0.0
-    order = np.lexsort((target, offset[target]))
+    order = np.argsort(offset[target] * n_nodes + target)
     src, dst, w = source[order], target[order], weight[order]
     step = offset[dst]
     edges = np.flatnonzero(np.diff(step)) + 1 if len(step) else np.zeros(0, np.int64)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tryline.llm.common import Scratch, doc_bucket
 from tryline.llm.lattice import HashIndex, Pieces, expected_counts, marginals
-from tryline.llm.textops import _LOWER, U64, chunks, span_hashes, splitmix, words
+from tryline.llm.textops import _LOWER, U64, chunks, distinct, span_hashes, splitmix, words
 
 HEAD_WORDS = 500_000
 EM_ROUNDS = 2
@@ -60,9 +60,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = batch.num_rows
         for c in chunks(batch.column(0), COUNT_CHUNK):
             w = words(c)
-            h, at, n = np.unique(span_hashes(c.data, w.start, w.end, lower=True), return_index=True, return_counts=True)
+            h = span_hashes(c.data, w.start, w.end, lower=True)
+            at, _, n = distinct(h)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), _gather(_LOWER[c.data], w.start[at], w.end[at]), pa.array(n.astype(np.int64))],
+                [pa.array(h[at].view(np.int64)), _gather(_LOWER[c.data], w.start[at], w.end[at]), pa.array(n.astype(np.int64))],
                 names=["h", "word", "n"])
         yield pa.RecordBatch.from_arrays([pa.array([END_HASH], pa.int64()), pa.array([b""], pa.binary()), pa.array([ends], pa.int64())],
                                          names=["h", "word", "n"])
@@ -146,7 +147,7 @@ def _score_documents(head):
                 known = at >= 0
                 r, a = w.row[known], at[known]
                 other = np.flatnonzero(~known)
-                _, first, n = np.unique(h[other] ^ splitmix(w.row[other].astype(U64)), return_index=True, return_counts=True)
+                first, _, n = distinct(h[other] ^ splitmix(w.row[other].astype(U64)))
                 order = np.argsort(w.row[other[first]], kind="stable")
                 pick, n = other[first[order]], n[order]
                 tail = pa.StructArray.from_arrays(

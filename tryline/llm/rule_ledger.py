@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tryline.llm.textops import U64, Chunk, chunks, span_hashes, splitmix, window_hashes, words
+from tryline.llm.textops import U64, Chunk, chunks, distinct, span_hashes, splitmix, window_hashes, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letter_words",
             "longest_word")
@@ -102,7 +102,7 @@ def measure(c: Chunk) -> dict[str, np.ndarray]:
     start, end = start[has_word], end[has_word]
     line_row = np.searchsorted(c.offsets, start, side="right") - 1
     salt = splitmix(line_row.astype(U64))
-    _, first = np.unique(span_hashes(c.data, start, end, lower=False) ^ salt, return_index=True)
+    first, _, _ = distinct(span_hashes(c.data, start, end, lower=False) ^ salt)
     n_lines = np.bincount(line_row, minlength=rows)
     n_dup = n_lines - np.bincount(line_row[first], minlength=rows)
 
@@ -110,8 +110,8 @@ def measure(c: Chunk) -> dict[str, np.ndarray]:
     h = window_hashes(span_hashes(c.data, w.start, w.end, lower=False), 3)
     whole = w.row[:len(h)] == w.row[2:] if len(h) else np.zeros(0, bool)
     at = np.flatnonzero(whole)
-    _, inverse, count = np.unique(h[at] ^ splitmix(w.row[at].astype(U64)), return_inverse=True, return_counts=True)
-    again = at[count[inverse] > 1]
+    _, number, count = distinct(h[at] ^ splitmix(w.row[at].astype(U64)))
+    again = at[count[number] > 1] if len(at) else at
     covered = np.zeros(len(w.start), dtype=bool)
     for k in range(3):
         covered[again + k] = True

@@ -119,6 +119,19 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: boo
     return splitmix(h + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of integer keys: where one of each stands, every key's number among them, and their counts."""
+    if not len(keys):
+        z = np.zeros(0, np.int64)
+        return z, z, z
+    order = np.argsort(keys)
+    new = np.append(True, keys[order[1:]] != keys[order[:-1]])
+    first = np.flatnonzero(new)
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[first], number, np.diff(np.append(first, len(keys)))
+
+
 def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` consecutive word hashes (rows not regarded)."""
     n = len(h) - size + 1
