@@ -156,8 +156,8 @@ def _score_documents(head):
                 off = np.searchsorted(w.row[pick], np.arange(rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(x).slice(c.rows.start, rows) for x in ("uid", "id", "held_out")]
-                    + [pa.array(np.diff(w.first)), pa.array(np.bincount(r, minlength=rows)),
-                       pa.array(np.bincount(r, base[a], rows)), pa.array(np.bincount(r, score[a], rows)),
+                    + [pa.array(np.diff(w.first).astype(np.int64)), pa.array(np.bincount(r, minlength=rows).astype(np.int64)),
+                       pa.array(np.bincount(r, base[a], rows).astype(float)), pa.array(np.bincount(r, score[a], rows).astype(float)),
                        pa.ListArray.from_arrays(pa.array(off), tail)],
                     names=["uid", "id", "held_out", "n_words", "n_known", "base", "score", "tail"])
     return run

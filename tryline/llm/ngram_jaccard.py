@@ -28,8 +28,8 @@ Method
    documents meet again only under (``B``, token outside ``B``), by prefixes
    of what they hold beside ``B``, rare tokens first, and the few exceptions
    are verified one by one. After ``ROUNDS`` rounds all pairs that still meet,
-   are of different components and pass the other orders are verified inside
-   the join. Nothing is capped, and no link between components is missed.
+   are of different components, pass the other orders and may reach the
+   similarity by 16 bits of every token are verified. Nothing is capped, and no link between components is missed.
 
 Defined cases: null, empty or white-space texts have an empty set and link
 with nothing; a sequence shorter than a shingle is one shingle. Rows of equal
@@ -232,36 +232,40 @@ def _beside(again: DataFrame) -> DataFrame:
     return out.select(F.xxhash64("a", "t.tok").alias("key"), F.col("b").alias("uid")).distinct()
 
 
-def _longs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets as the distinct low 16 bits of their tokens, and how many tokens that loses."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            sets = [np.frombuffer(x, np.int64) for x in part.column("whole").to_pylist()]
-            off = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column("uid"), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets)))],
-                                             names=["uid", "whole"])
+            sets = [np.frombuffer(x, U64) for x in part.column("whole").to_pylist()]
+            low = [np.unique(x.astype(np.uint16)) for x in sets]
+            off = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("uid"), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(low).view(np.int16))),
+                 pa.array([len(x) - len(y) for x, y in zip(sets, low, strict=True)], pa.int32())], names=["uid", "low", "lost"])
 
 
-def _meet_and_verify(rows: DataFrame, prefixes: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """Links ``(u, v)`` between sets of one key and different components.
+def _meeting(rows: DataFrame, prefixes: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of sets of one key and different components that may be linked.
 
     A pair is looked at under its smallest common key alone; it must be near
-    in size, meet under all other orders, and then reach the similarity on
-    the whole sets. All of this is the join's condition, so the join puts out
-    links, not candidates.
+    in size, meet under all other orders, and 16 bits of every token must
+    leave room for the similarity (they bound the overlap from above). All of
+    this is the join's condition, so little more than links comes out.
     """
     near = (F.col("l.n") * percent <= F.col("r.n") * 100) & (F.col("r.n") * percent <= F.col("l.n") * 100)
     # a set has as many keys as its prefixes have places
     keys = rows.groupBy("uid").agg(F.collect_set("key").alias("keys"))
-    sets = whole.join(keys.select("uid"), "uid", "left_semi").mapInArrow(_longs, "uid long, whole array<long>").dropDuplicates(["uid"])
+    sets = whole.join(keys.select("uid"), "uid", "left_semi").mapInArrow(
+        _sketches, "uid long, low array<short>, lost int").dropDuplicates(["uid"])
     full = rows.join(keys.join(prefixes, "uid").join(sets, "uid"), "uid")
-    same = F.size(F.array_intersect("l.whole", "r.whole"))
+    most = F.size(F.array_intersect("l.low", "r.low")) + F.least("l.lost", "r.lost")
     cond = (F.col("l.key") == F.col("r.key")) & (F.col("l.uid") < F.col("r.uid")) & (F.col("l.comp") != F.col("r.comp")) & near
     cond = cond & (F.array_min(F.array_intersect("l.keys", "r.keys")) == F.col("l.key"))
     for k in range(1, ORDERS):
         cond = cond & F.arrays_overlap(f"l.p{k}", f"r.p{k}")
-    cond = cond & (same * (100 + percent) >= (F.col("l.n") + F.col("r.n")) * percent)
-    return full.alias("l").join(full.alias("r"), cond).select(F.col("l.uid").alias("u"), F.col("r.uid").alias("v"))
+    cond = cond & (most * (100 + percent) >= (F.col("l.n") + F.col("r.n")) * percent)
+    return full.alias("l").join(full.alias("r"), cond).select(F.col("l.uid").alias("a"), F.col("r.uid").alias("b"))
 
 
 def _links(spark: SparkSession, scratch: Scratch, index: DataFrame, whole: DataFrame, percent: int) -> DataFrame | None:
@@ -300,8 +304,9 @@ def _links(spark: SparkSession, scratch: Scratch, index: DataFrame, whole: DataF
         if rows.isEmpty():
             break
         if step == ROUNDS:
-            found = _meet_and_verify(rows, prefixes, whole, percent)
-            links.append(scratch.table(found, f"links{step}"))
+            pairs = scratch.table(_meeting(rows, prefixes, whole, percent), f"pairs{step}")
+            links.append(scratch.table(verify(pairs, False).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
+                                       f"links{step}"))
             break
         # the pivot: the set of the most common tokens, most likely the middle of its copies; then the smallest
         pivots = scratch.table(rows.groupBy("key").agg(F.min(F.struct(-F.col("mid"), "n", "uid")).alias("p")).select(
