@@ -137,8 +137,9 @@ def test_samples_are_distinct_decodable_and_complete(pieces):
         assert len({s[0].tobytes() for s in found}) == len(found) >= 1
         assert all(G.decode(s[0], pieces) == t for s in found)
         assert [s[2] for s in found] == sorted((s[2] for s in found), reverse=True)
+    logp = G.piece_logp(pieces, 0.3)      # flat enough that no segmentation is beyond the arithmetic
     few = paths(b" ab", pieces, logp, False)
-    [found] = samples(["ab"], [7], 1000, pieces, logp)
+    [found] = samples(["ab"], [7], 50, pieces, logp)
     assert {tuple(s[0].tolist()) for s in found} == set(few) and all(s[3] == 1.0 for s in found)
     z = math.log(sum(map(math.exp, few.values())))
     assert all(abs(s[1] - (few[tuple(s[0].tolist())] - z)) < 1e-6 for s in found)
