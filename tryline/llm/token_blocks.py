@@ -53,6 +53,14 @@ _HEADER = "<4sIQQQQQ"   # magic, block, docs, tokens, blocks, packed bytes, exce
 _STEP = 2048                           # blocks packed at a time
 
 
+#: By the bytes that a packed width needs: the type whose bits are taken.
+_KINDS = (np.uint8, np.uint16, np.uint32, np.uint32)
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+
+
 def pack_blocks(ids: np.ndarray) -> dict[str, np.ndarray]:
     """The sections of an id sequence (uint32)."""
     n_blocks = -(-len(ids) // BLOCK)
@@ -84,7 +92,8 @@ def pack_blocks(ids: np.ndarray) -> dict[str, np.ndarray]:
         bytes_ = np.empty(int(size.sum()), np.uint8)
         for w in np.unique(width[width > 0]).tolist():
             sel = np.flatnonzero(width == w)
-            bits = np.unpackbits(rest[sel].view(np.uint8).reshape(len(sel), BLOCK, 4), axis=2, bitorder="little")[:, :, :w]
+            kind = _KINDS[(w - 1) // 8]
+            bits = np.unpackbits(rest[sel].astype(kind).view(np.uint8).reshape(len(sel), BLOCK, -1), axis=2, bitorder="little")[:, :, :w]
             rows_ = np.packbits(bits.reshape(len(sel), BLOCK * w), axis=1, bitorder="little")
             bytes_[start[sel][:, None] + np.arange(rows_.shape[1])] = rows_
         packed.append(bytes_)
@@ -108,9 +117,10 @@ def unpack_blocks(x: dict[str, np.ndarray], first: int, last: int) -> np.ndarray
         for w in np.unique(width[width > 0]).tolist():
             sel = np.flatnonzero(width == w)
             raw = x["packed"][start[sel][:, None] + np.arange(BLOCK // 8 * w)]
-            bits = np.zeros((len(sel), BLOCK, 32), np.uint8)
+            kind = _KINDS[(w - 1) // 8]
+            bits = np.zeros((len(sel), BLOCK, 8 * kind().itemsize), np.uint8)
             bits[:, :, :w] = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(sel), BLOCK, w)
-            rest[sel] = np.packbits(bits, axis=2, bitorder="little").view(np.uint32)[:, :, 0]
+            rest[sel] = np.packbits(bits, axis=2, bitorder="little").view(kind)[:, :, 0]
         rows = np.repeat(np.arange(n), x["n_exc"][s])
         e = slice(exc[s.start], exc[s.stop])
         rest[rows, x["exc_pos"][e]] = x["exc_val"][e]
@@ -158,7 +168,8 @@ class Encoder:
     white space to what follows if it is a space, and to itself otherwise; the
     rest of the run is one token sequence. Where no run is longer than two
     characters, cutting before every space and around every line break is
-    therefore a cut of the rule's own; other texts are cut before each run.
+    therefore a cut of the rule's own, and so is one between a letter and a
+    punctuation mark; other texts are cut before each run.
     """
 
     def __init__(self, path: str):
@@ -228,7 +239,7 @@ class Encoder:
             self.reset()
         size = np.diff(c.offsets)
         cut = (c.data == 32) | (c.data == 10)
-        cut[1:] |= c.data[:-1] == 10
+        cut[1:] |= (c.data[:-1] == 10) | (_LETTER[c.data[:-1]] & _PUNCTUATION[c.data[1:]])
         cut[c.offsets[:-1][size > 0]] = True
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(c.data))
