@@ -37,7 +37,16 @@ _LOWER[65:91] += 32
 _BYTE_LOWER = _BYTE[_LOWER]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_POWERS: dict[str, np.ndarray] = {}
+
+
+class _Cache(dict):
+    """Tables of one process; a task function that refers to them travels without them."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_POWERS = _Cache()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
