@@ -114,6 +114,29 @@ def test_main_text():
         assert html_text.main_text(page or "") == want, page[:80] if page else page
 
 
+BODY = "<p>" + "The article's own text, with commas, goes on. " * 6 + "</p>"
+WHOLE = " ".join(["The article's own text, with commas, goes on."] * 6)
+TEASER = "<div><p>A teaser, short but with commas, stands beside the article.</p></div>"
+
+
+def test_names_of_layouts_and_titles_cut_no_article():
+    for tag in ("<div class='page has-sidebar'>", "<article class='post no-comments'>", "<div class=widget-layout>", "<form id=aspnet>",
+                "<div id=sidebar-left><article>", "<form><main>"):
+        got = html_text.main_text(f"<body>{TEASER}{tag}<h1>Title</h1>{BODY * 3}</body>").split("\n")
+        assert got[-4:] == ["Title", WHOLE, WHOLE, WHOLE], tag
+    page = (f"<article><h1 class=page-header>Title</h1>{BODY}<h2 id=social-impact>Social impact</h2>{BODY}"
+            f"<section id=related-work><h2>Related work</h2>{BODY}</section><section><h2 id=cookie-recipes>Cookie recipes</h2>{BODY}</section>"
+            "<div id=related-posts><h3>Related posts</h3><p>Another one, not this.</p></div></article>")
+    assert html_text.main_text(page).split("\n") == [
+        "Title", WHOLE, "Social impact", WHOLE, "Related work", WHOLE, "Cookie recipes", WHOLE]
+
+
+def test_marked_parts_stay_out():
+    answers = f"<div id=comments><div class=comment>{BODY * 20}</div></div>"
+    assert html_text.main_text(f"<body><div>{BODY * 3}</div>{answers}</body>") == "\n".join([WHOLE] * 3)
+    assert html_text.main_text(f"<body><article>{BODY * 3}{answers}<div class=sidebar><p>Side, text.</p></div></article></body>") == "\n".join([WHOLE] * 3)
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(i, f"u{i}", p, "clash", 3) for i, (p, _) in enumerate(PAGES)] + [(None, None, None, None, None)],
                                "page_id long, url string, html string, text string, n_chars long")

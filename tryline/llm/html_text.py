@@ -6,7 +6,12 @@ length and commas to their ancestors, less with every level; a container's
 sum is discounted by its link density. The best container is kept, widened to
 the article element around it, together with siblings that score well
 themselves. What is a menu, header, footer, sidebar, notice, advert, form or
-comment by its element, role, class or id is left out wherever it stands.
+comment by its element, role, class or id is left out wherever it stands. A
+class, an id or a form alone does not take out a heading, what holds an
+article or main element, or a third of the page's unlinked text: these stay
+in the scoring, for a part of their points, and go only if the best container
+lies elsewhere. ``has-``, ``no-`` and ``with-`` before a name, and ids made
+from a section's own title, mark nothing.
 
 Blocks are joined in page order by one line break; white space inside a block
 becomes one space. Nothing else is dropped.
@@ -14,7 +19,8 @@ becomes one space. Nothing else is dropped.
 Defined cases: null and empty pages, and pages without visible text, give an
 empty text. Unclosed tags end with their parent, an unclosed comment or
 script with the page, a cut-off tag at the end is dropped. If leaving out
-by class or id leaves no text, only elements and roles count. Nesting may be
+by class or id leaves no text, only elements and roles count (a form without
+an article, main element or third of the text still goes). Nesting may be
 any depth. Equal pages give equal texts. Other columns are not read.
 """
 
@@ -40,7 +46,7 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody "
     "td tfoot th thead tr ul".split())
 DROP = frozenset(
-    "aside audio button canvas dialog embed footer form head header iframe input menu nav noscript object script search select "
+    "aside audio button canvas dialog embed footer head header iframe input menu nav noscript object script search select "
     "style svg template textarea title video".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 #: Words that mark boilerplate in a class or id, as a whole part of the name.
@@ -49,6 +55,20 @@ PARTS = frozenset(
     "consent copyright disclaimer disqus footer gdpr header masthead menu menubar modal nav navbar navigation newsletter notice notices "
     "outbrain overlay pager pagination popup promo promoted promotion related recommended replies respond share sharing sidebar sidenav "
     "signup skip social sponsor sponsored subscribe subscription taboola tags toolbar topbar widget widgets".split())
+#: The marks of readers' answers, which can be longer than the article.
+ANSWERS = frozenset("comment comments commentlist disqus replies respond".split())
+#: Words before a mark that make it a property of a layout.
+MODIFIERS = frozenset("has no non not with without".split())
+#: Second words of ids that name a collection, not a title.
+COLLECTIONS = frozenset("area articles block box content items links list news posts section stories wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: From this share of the page's unlinked text, and so many characters, an element is not cut by its name.
+LEAST_SHARE = 1 / 3
+LEAST_SHARE_CHARS = 140
+MOST_LINKED = 0.3
+#: Part of the points that is left to a text under a mark, and under a mark of answers.
+UNDER_MARK = 0.25
+UNDER_ANSWERS = 0.05
 #: Words that mark the main text's container, and elements that are parts of a larger one.
 CONTENT = frozenset("article content entry main post story".split())
 PART = frozenset("tr td th tbody thead tfoot caption li ul ol dl dt dd table p".split())
@@ -64,12 +84,13 @@ LEVELS = 5
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "up", "kids", "chars", "linked", "score")
+    __slots__ = ("tag", "attrs", "up", "kids", "chars", "linked", "score", "mark", "weight", "plain", "holds")
 
     def __init__(self, tag: str, attrs: str, up: Node | None):
         self.tag, self.attrs, self.up, self.kids = tag, attrs, up, []
-        self.chars = self.linked = 0
-        self.score = 0.0
+        self.chars = self.linked = self.plain = 0
+        self.score, self.weight = 0.0, 1.0
+        self.mark, self.holds = "", ""
 
 
 def parse(page: str) -> Node:
@@ -126,17 +147,51 @@ def _attributes(node: Node) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in reversed(_ATTRIBUTE.findall(node.attrs))}
 
 
+def _parts(name: str) -> list[str]:
+    return [p.lower() for p in _NAME_PART.findall(name)]
+
+
 def boilerplate(node: Node, by_name: bool) -> bool:
+    """Whether an element goes with all it holds; sets ``mark`` where only its name (or being a form) speaks against it."""
     if node.tag in DROP:
         return True
+    node.mark = "form" if node.tag == "form" else ""
     if not node.attrs or node.tag in ("html", "body", "main"):
         return False
     a = _attributes(node)
     if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in ROLES \
             or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")):
         return True
-    names = f"{a.get('class', '')} {a.get('id', '')}"
-    return by_name and any(p.lower() in PARTS for p in _NAME_PART.findall(names))
+    if by_name and node.tag not in HEADINGS:
+        names = a.get("class", "").split()
+        if "id" in a and not _titled(node, a["id"]):
+            names.append(a["id"])
+        for name in names:
+            parts = _parts(name)
+            for k, p in enumerate(parts):
+                if p in PARTS and MODIFIERS.isdisjoint(parts[:k]):
+                    node.mark = "answers" if p in ANSWERS or node.mark == "answers" else "name"
+    return False
+
+
+def _titled(node: Node, name: str) -> bool:
+    """Whether an id is made from the title that the element begins with."""
+    parts = _parts(name)
+    if len(parts) < 2 or not ANSWERS.isdisjoint(parts) or PARTS.union(COLLECTIONS).issuperset(parts):
+        return False
+    near = [k for k in node.kids if not isinstance(k, str)]
+    near += [x for k in near[:2] for x in k.kids if not isinstance(x, str)]
+    return any(k.tag in HEADINGS and set(parts) <= set(_parts(" ".join(_blocks([k])))) for k in near)
+
+
+def _walk(root: Node) -> list[Node]:
+    """The nodes of a tree, parents before kids."""
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        out.append(node)
+        stack += [k for k in reversed(node.kids) if not isinstance(k, str)]
+    return out
 
 
 def _visible(root: Node, by_name: bool) -> list[Node]:
@@ -147,11 +202,75 @@ def _visible(root: Node, by_name: bool) -> list[Node]:
         out.append(node)
         node.kids = [k for k in node.kids if isinstance(k, str) or not boilerplate(k, by_name)]
         stack += [k for k in reversed(node.kids) if not isinstance(k, str)]
+    if not any(node.mark for node in out):
+        return out
+    _weigh(out)
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        node.kids = [k for k in node.kids if isinstance(k, str) or not k.mark or _stays(k, root)]
+        stack += [k for k in node.kids if not isinstance(k, str)]
+    out = _walk(root)
+    for node in out:
+        own = 1.0
+        if node.mark == "answers":
+            own = UNDER_ANSWERS
+        elif node.mark and node.holds != "article":
+            own = max(UNDER_MARK, _share(node, root))
+        node.weight = own if node.up is None else node.up.weight * own
+        node.chars = node.linked = 0
     return out
 
 
-def _score(nodes: list[Node]) -> Node | None:
-    """Adds up lengths, passes points to ancestors; the node of the best discounted score."""
+def _weigh(nodes: list[Node]) -> None:
+    """Counts texts, unlinked ones without answers, and notes what holds an article or a first-level heading."""
+    _count(nodes)
+    for node in reversed(nodes):
+        node.plain += sum(len(k.strip()) for k in node.kids if isinstance(k, str))
+        if node.up is not None and node.tag != "a" and node.mark != "answers":
+            node.up.plain += node.plain
+    for kind, tags in (("h1", ("h1",)), ("article", ("article", "main"))):
+        for node in nodes:
+            if node.tag in tags and not node.mark:
+                x = node
+                while x is not None and x.holds != kind:
+                    x.holds = kind
+                    x = x.up
+
+
+def _share(node: Node, root: Node) -> float:
+    return node.plain / max(1, root.plain, node.plain)
+
+
+def _large(node: Node, root: Node) -> bool:
+    return node.plain >= LEAST_SHARE_CHARS and _share(node, root) >= LEAST_SHARE and node.linked < MOST_LINKED * node.chars
+
+
+def _stays(node: Node, root: Node) -> bool:
+    """Whether a marked element takes part in the scoring."""
+    return node.holds == "article" or node.holds == "h1" and node.linked < MOST_LINKED * node.chars or _large(node, root)
+
+
+def _cut_marked(best: Node, root: Node) -> None:
+    """Takes out the marked elements that do not hold the best container, nor (inside it) an article, a heading or much text."""
+    path, x = set(), best
+    while x is not None:
+        path.add(id(x))
+        x = x.up
+    inside = best.tag not in ("html", "body", "#root")
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        kept = []
+        for k in node.kids:
+            if isinstance(k, str) or not k.mark or id(k) in path or k.holds == "article" \
+                    or k.holds == "h1" and inside or k.mark != "answers" and _large(k, root):
+                kept.append(k)
+        node.kids = kept
+        stack += [k for k in kept if not isinstance(k, str)]
+
+
+def _count(nodes: list[Node]) -> None:
     for node in reversed(nodes):
         own = [k for k in node.kids if isinstance(k, str)]
         size = sum(len(k) - k.count(" ") if len(k) < 4 else len(k.strip()) for k in own)
@@ -161,6 +280,11 @@ def _score(nodes: list[Node]) -> Node | None:
         if node.up is not None:
             node.up.chars += node.chars
             node.up.linked += node.linked
+
+
+def _score(nodes: list[Node]) -> Node | None:
+    """Adds up lengths, passes points to ancestors; the node of the best discounted score."""
+    _count(nodes)
     for node in nodes:
         own = any(isinstance(k, str) and not k.isspace() for k in node.kids)
         if not node.chars or not (node.tag in _PARAGRAPH or own and (node.tag in BLOCK or node.tag == "#root")):
@@ -169,6 +293,7 @@ def _score(nodes: list[Node]) -> Node | None:
         points = (1.0 + _commas(node) + min(node.chars / 100.0, 3.0)) * (1.0 - density)
         if node.chars < LEAST_PARAGRAPH:
             points *= 0.1
+        points *= node.weight
         up, level = (node if node.tag not in _PARAGRAPH else node.up), 0
         while up is not None and level < LEVELS:
             up.score += points / (1 if level == 0 else 2 * level if level == 1 else 3 * level)
@@ -232,6 +357,7 @@ def main_text(page: str) -> str:
         if best is None:
             continue
         best = _whole(best)
+        _cut_marked(best, root)
         roots = [best]
         if best.up is not None and best.tag not in ("article", "main"):
             least = max(10.0, 0.2 * best.score)
