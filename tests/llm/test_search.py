@@ -131,6 +131,17 @@ def test_names_of_layouts_and_titles_cut_no_article():
         "Title", WHOLE, "Social impact", WHOLE, "Related work", WHOLE, "Cookie recipes", WHOLE]
 
 
+def test_short_siblings_of_the_best_container():
+    short = "<section><p>Short section, one paragraph, of few words.</p></section>"
+    rest = "<ul><li>One<li>Two</ul><table><tr><td>A<td>B</table><pre>code</pre><div>Plain division</div>Loose <b>text</b>"
+    links = "<ul><li><a href=a>Another page</a><li><a href=b>One more page</a></ul>"
+    want = ["Short section, one paragraph, of few words.", *[WHOLE] * 9, "One", "Two", "A", "B", "code", "Plain division", "Loose text"]
+    for around in ("%s", "<div>%s</div>", "<div class=has-sidebar><section>%s</section></div>"):
+        for inner in ("<section>%s</section>", "<div><div><div>%s</div></div></div>"):
+            page = f"<body>{around % (short + inner % (BODY * 9) + rest + links)}<div class=sidebar>Side text.</div></body>"
+            assert html_text.main_text(page).split("\n") == want, page[:100]
+
+
 def test_marked_parts_stay_out():
     answers = f"<div id=comments><div class=comment>{BODY * 20}</div></div>"
     assert html_text.main_text(f"<body><div>{BODY * 3}</div>{answers}</body>") == "\n".join([WHOLE] * 3)

@@ -4,8 +4,9 @@ A page is read into a tree (missing end tags implied, scripts and comments
 skipped, character references decoded). Paragraphs pass points for their
 length and commas to their ancestors, less with every level; a container's
 sum is discounted by its link density. The best container is kept, widened to
-the article element around it, together with siblings that score well
-themselves. What is a menu, header, footer, sidebar, notice, advert, form or
+the article element around it, together with siblings that score a tenth of
+it. Where no element or name tells the main text, every sibling of few links
+stays with it: lists, tables, sections, loose text. What is a menu, header, footer, sidebar, notice, advert, form or
 comment by its element, role, class or id is left out wherever it stands. A
 class, an id or a form alone does not take out a heading, what holds an
 article or main element, or a third of the page's unlinked text: these stay
@@ -69,6 +70,8 @@ MOST_LINKED = 0.3
 #: Part of the points that is left to a text under a mark, and under a mark of answers.
 UNDER_MARK = 0.25
 UNDER_ANSWERS = 0.05
+#: Siblings of this part of the best container's points belong to it.
+SIBLING = 0.1
 #: Words that mark the main text's container, and elements that are parts of a larger one.
 CONTENT = frozenset("article content entry main post story".split())
 PART = frozenset("tr td th tbody thead tfoot caption li ul ol dl dt dd table p".split())
@@ -258,7 +261,7 @@ def _cut_marked(best: Node, root: Node) -> None:
         path.add(id(x))
         x = x.up
     inside = best.tag not in ("html", "body", "#root")
-    stack = [root]
+    stack, less = [root], False
     while stack:
         node = stack.pop()
         kept = []
@@ -266,8 +269,14 @@ def _cut_marked(best: Node, root: Node) -> None:
             if isinstance(k, str) or not k.mark or id(k) in path or k.holds == "article" \
                     or k.holds == "h1" and inside or k.mark != "answers" and _large(k, root):
                 kept.append(k)
+        less |= len(kept) < len(node.kids)
         node.kids = kept
         stack += [k for k in kept if not isinstance(k, str)]
+    if less:
+        nodes = _walk(root)
+        for node in nodes:
+            node.chars = node.linked = 0
+        _count(nodes)
 
 
 def _count(nodes: list[Node]) -> None:
@@ -360,8 +369,7 @@ def main_text(page: str) -> str:
         _cut_marked(best, root)
         roots = [best]
         if best.up is not None and best.tag not in ("article", "main"):
-            least = max(10.0, 0.2 * best.score)
-            roots = [k for k in best.up.kids if not isinstance(k, str) and (k is best or _joins(k, least))]
+            roots = _with_siblings(best)
         blocks = _blocks(roots)
         if blocks:
             return "\n".join(blocks)
@@ -389,13 +397,37 @@ def _is_content(node: Node) -> bool:
     return any(p.lower() in CONTENT for p in _NAME_PART.findall(f"{a.get('class', '')} {a.get('id', '')}"))
 
 
-def _joins(node: Node, least: float) -> bool:
+def _with_siblings(best: Node) -> list[Node]:
+    """The best container and what belongs to it beside it, in page order."""
+    named, least = _is_content(best), SIBLING * best.score
+    while not named and best.up.chars == best.chars and best.up.up is not None:
+        best = best.up  # a mere wrapper: the siblings stand further out
+    roots: list[Node] = []
+    loose: Node | None = None
+    for k in best.up.kids:
+        if isinstance(k, str) or k.tag not in BLOCK:
+            # loose text and inline elements make one block
+            if loose is None:
+                loose = Node("#loose", "", None)
+                roots.append(loose)
+            loose.kids.append(k)
+            loose.chars += len(k.strip()) if isinstance(k, str) else k.chars
+            loose.linked += 0 if isinstance(k, str) else k.linked
+        else:
+            loose = None
+            roots.append(k)
+    return [k for k in roots if k is best or _joins(k, least, named) or any(x is best for x in k.kids)]
+
+
+def _joins(node: Node, least: float, named: bool) -> bool:
     """Whether a sibling of the best container belongs to the main text."""
-    if node.score >= least:
+    if node.mark:
+        return node.holds == "article"
+    if node.tag != "#loose" and node.score >= least:
         return True
     density = node.linked / max(1, node.chars)
-    if node.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-        return density < 0.3 and node.chars > 0
+    if not named or node.tag in HEADINGS:
+        return density < MOST_LINKED and node.chars > 0
     return node.tag in _PARAGRAPH and node.chars > 0 and (density < 0.25 if node.chars > 80 else density == 0)
 
 
