@@ -7,8 +7,9 @@ slides over each, its character counts are updated by the entering and the
 leaving character, and with them ``S = sum c log2 c``, from which Shannon's
 entropy is ``log2 W - S / W``. ``S`` is kept in fixed-point integers, so no
 rounding adds up and reruns agree bit by bit. Where windows reach the class's
-threshold the span from the first to the last such window is reported, unless
-the allow-list knows the string or a pattern span already overlaps it.
+threshold the span from the first to the last such window is found, unless
+the allow-list knows the string; what no pattern span covers of it is reported,
+in as many parts as pattern spans leave.
 
 Positions are code points, end exclusive. They come from marking the matches
 in the text and adding up the lengths of the pieces; the two marker
@@ -134,6 +135,23 @@ def _simple(text: Column, kind: str, pattern: str) -> Column:
     return F.transform(_matches(text, pattern), lambda m: _span(kind, m["start"], m["end"]))
 
 
+def _uncovered(spans: Column, base: Column) -> Column:
+    """The parts of ``spans`` that no span of ``base`` (sorted) covers."""
+    def parts(m: Column) -> Column:
+        def part(start: Column, end: Column) -> Column:
+            return F.struct(start.alias("start"), m["kind"].alias("kind"), end.alias("end"))
+
+        return F.aggregate(
+            F.filter(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
+            F.struct(m["start"].alias("at"), F.filter(F.array(m), lambda _: F.lit(False)).alias("out")),
+            lambda a, b: F.struct(
+                F.greatest(a["at"], b["end"]).alias("at"),
+                F.when(a["at"] < b["start"], F.array_append(a["out"], part(a["at"], b["start"]))).otherwise(a["out"]).alias("out")),
+            lambda a: F.when(a["at"] < m["end"], F.array_append(a["out"], part(a["at"], m["end"]))).otherwise(a["out"]))
+
+    return F.flatten(F.transform(spans, parts))
+
+
 def scan(docs: DataFrame, text_col: str = "text", classes: tuple[EntropyClass, ...] = CLASSES) -> DataFrame:
     """``docs`` with ``secret_spans array<struct<start, kind, end>>`` by start, then kind."""
     text = F.translate(F.coalesce(F.col(text_col), F.lit("")), _OPEN + _CLOSE, _PLAIN + _PLAIN)
@@ -141,9 +159,9 @@ def scan(docs: DataFrame, text_col: str = "text", classes: tuple[EntropyClass, .
     t = F.col("__t")
     assign = F.transform(F.filter(_matches(t, ASSIGN), lambda m: F.length(F.regexp_extract(m["s"], ASSIGN, 1)) >= ASSIGN_LEAST),
                          lambda m: _span("assign", m["start"], m["end"]))
-    df = df.withColumn("__base", F.concat(assign, _simple(t, "access", ACCESS), _simple(t, "hex", HEX)))
+    df = df.withColumn("__base", F.array_sort(F.concat(assign, _simple(t, "access", ACCESS), _simple(t, "hex", HEX))))
     df = df.withColumn("__more", F.concat(*[_entropy_spans(t, c) for c in classes]))
-    fresh = F.filter("__more", lambda m: ~F.exists("__base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    fresh = _uncovered(F.col("__more"), F.col("__base"))
     return df.withColumn("secret_spans", F.array_sort(F.concat("__base", fresh))).drop("__t", "__base", "__more")
 
 
