@@ -98,6 +98,27 @@ def test_pattern_spans_hide_no_neighbour(spark):
     assert got[1] == "a [SECRET][SECRET][SECRET] b" and not any(k in t for t in got.values() for k in (KEY, KEY2, HEX24))
 
 
+def test_allowed_words_hide_no_secret(spark):
+    letters = "qZrTkLmWpXvBnHsJdFgC"
+    secret = [f"config/example/{KEY}", f"sample_private={KEY}", "kQ7" * 3 + f"1234567890{KEY}", f"{KEY}xxxxxx{KEY2}", f"0123456789abcdef{KEY}",
+              f"changeme-{KEY}-dummy", letters, letters + "42", f"path/to/{letters}", f"placeholder/{letters}"]
+    plain = ["path/to/some/long/directory/name/of/things", "my-example-api-key-1234567890", "AKIA_0123456789_ABCDEFG", "some_long_function_name_in_a_module_12",
+             "2024-01-15/2024-02-29/98374650", "-" * 40, "=" * 500, "AbstractFactoryBeanProviderImpl", "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx", "abyz" * 9,
+             "0123456789ABCDEF" * 4, "a/" * 500, "some/name/" * 200]
+    df = secret_scan.scan(spark.createDataFrame([(i, f"see {x} there") for i, x in enumerate(secret + plain)], "doc_id long, text string"))
+    found = {r.doc_id: r for r in df.collect()}
+    for i, x in enumerate(secret + plain):
+        text, spans = found[i].text, [(s.start, s.end) for s in found[i].secret_spans]
+        if i >= len(secret):
+            assert not spans, x[:80]
+            continue
+        covered = {p for a, b in spans for p in range(a, b)}
+        for key in (KEY, KEY2, letters):
+            if key in x:
+                at = text.index(key)
+                assert covered >= set(range(at, at + len(key))), x
+
+
 def test_awkward_rows_pass_through(spark):
     df = awkward(spark)
     got = secret_scan.scan(df)

@@ -8,7 +8,8 @@ leaving character, and with them ``S = sum c log2 c``, from which Shannon's
 entropy is ``log2 W - S / W``. ``S`` is kept in fixed-point integers, so no
 rounding adds up and reruns agree bit by bit. Where windows reach the class's
 threshold the span from the first to the last such window is found, unless
-the allow-list knows the string; what no pattern span covers of it is reported,
+the allow-list knows the whole string (one of names only if, besides, no window
+reaches a higher threshold); what no pattern span covers of it is reported,
 in as many parts as pattern spans leave.
 
 Positions are code points, end exclusive. They come from marking the matches
@@ -49,26 +50,44 @@ class EntropyClass:
     chars: str
     window: int
     bits: float
+    #: From these bits of any window on, a string of names counts as random.
+    name_bits: float
 
     @property
     def pattern(self) -> str:
         return f"[{self.chars}]{{{self.window},}}"
 
+    def _limit(self, bits: float) -> int:
+        return math.floor(self.window * (math.log2(self.window) - bits) * SCALE)
+
     @property
     def limit(self) -> int:
         """Largest scaled ``sum c log2 c`` of a window that reaches ``bits``."""
-        return math.floor(self.window * (math.log2(self.window) - self.bits) * SCALE)
+        return self._limit(self.bits)
+
+    @property
+    def name_limit(self) -> int:
+        return self._limit(self.name_bits)
 
 
-CLASSES = (EntropyClass("entropy_hex", "0-9A-Fa-f", 16, 2.9), EntropyClass("entropy_base64", "A-Za-z0-9+/_=-", 20, 3.75))
+CLASSES = (EntropyClass("entropy_hex", "0-9A-Fa-f", 16, 2.9, 3.2), EntropyClass("entropy_base64", "A-Za-z0-9+/_=-", 20, 3.75, 4.0))
 
-#: Candidate strings that are no secrets.
+#: What random letters have and names seldom do: a small letter between capitals, six consonants in a row.
+_RANDOM = r"[A-Z][a-z][A-Z]|[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz]{6}"
+_WORD = r"example|sample|dummy|placeholder|changeme|test|your|my|key|token|secret|api|access|private|password|x{6,}+|[+/_=-]"
+#: Possessive throughout: a string is read in one way only.
+_AROUND = rf"(?:{_WORD}){{0,20}}+[a-z+/_=-]{{0,8}}+"
+#: Strings of names, allowed below ``name_bits``.
+NAMES = (
+    rf"^(?!.*(?:{_RANDOM}))[^0-9]*$",                                                       # no digit: words, paths
+    rf"^(?!.*(?:{_RANDOM}|[0-9][^0-9]|[0-9]{{5}}|[+]|[+/_=-]{{2}}))[A-Za-z][A-Za-z0-9/_=-]*$",  # names joined by signs, with a short number at the end
+)
+#: Candidate strings that are no secrets; every pattern is about the whole string.
 ALLOW = (
-    r"^[^0-9]*$",                                   # no digit: words, paths
-    r"^[0-9+/_=-]*$",                               # no letter: numbers, dates, rulers
-    r"^(?:[A-Za-z]+[/_=-])*[A-Za-z]*[0-9]{0,4}$",   # names joined by signs, with a short number at the end
-    r"(?i)example|sample|dummy|placeholder|changeme|x{6,}|abcdef0?1?23|0123456789|1234567890",
-    r"^(.{1,4})\1+.{0,3}$",                         # a short piece repeated
+    *NAMES,
+    r"^[0-9+/_=-]*$",                                       # no letter: numbers, dates, rulers
+    rf"(?i)^{_AROUND}(?:0?1234567890?+{_AROUND}){{1,50}}$",  # a counting row between placeholder words or a few letters
+    r"^(.{1,4})\1+.{0,3}$",                                 # a short piece repeated
 )
 
 
@@ -88,7 +107,8 @@ def _matches(text: Column, pattern: str) -> Column:
 
 
 def _hot(s: Column, c: EntropyClass) -> Column:
-    """``struct<s bigint, first, last>``: first hot window's begin and last one's end in ``s`` (first is null if none)."""
+    """``struct<first, last, least>``: first hot window's begin and last one's end in ``s`` (first is null if none), and the
+    least ``sum c log2 c`` of a window."""
     g = F.array(*[F.lit(round(n * math.log2(n) * SCALE) if n else 0).cast("long") for n in range(c.window + 1)])
     codes = F.transform(F.split(s, ""), lambda ch: F.ascii(ch))
 
@@ -105,12 +125,13 @@ def _hot(s: Column, c: EntropyClass) -> Column:
         hot = (i >= c.window - 1) & (total <= c.limit)
         return F.struct(a["codes"].alias("codes"), counts.alias("counts"), total.alias("total"),
                         F.coalesce(a["first"], F.when(hot, i - (c.window - 1))).alias("first"),
-                        F.when(hot, i + 1).otherwise(a["last"]).alias("last"))
+                        F.when(hot, i + 1).otherwise(a["last"]).alias("last"),
+                        F.when(hot, F.least(a["least"], total)).otherwise(a["least"]).alias("least"))
 
     null = F.lit(None).cast("int")
     start = F.struct(codes.alias("codes"), F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0).cast("long").alias("total"),
-                     null.alias("first"), null.alias("last"))
-    return F.aggregate(F.sequence(F.lit(0), F.length(s) - 1), start, step, lambda a: F.struct(a["first"], a["last"]))
+                     null.alias("first"), null.alias("last"), F.lit(None).cast("long").alias("least"))
+    return F.aggregate(F.sequence(F.lit(0), F.length(s) - 1), start, step, lambda a: F.struct(a["first"], a["last"], a["least"]))
 
 
 def _span(kind: str, start: Column, end: Column) -> Column:
@@ -118,15 +139,16 @@ def _span(kind: str, start: Column, end: Column) -> Column:
 
 
 def _entropy_spans(text: Column, c: EntropyClass) -> Column:
-    runs = F.filter(_matches(text, c.pattern), lambda m: ~_allowed(m["s"]))
-    scored = F.transform(runs, lambda m: F.struct(m["start"].alias("start"), _hot(m["s"], c).alias("hot")))
-    return F.transform(F.filter(scored, lambda x: x["hot"]["first"].isNotNull()),
+    runs = F.filter(_matches(text, c.pattern), lambda m: ~_allowed(m["s"], ALLOW[len(NAMES):]))
+    scored = F.transform(runs, lambda m: F.struct(
+        m["start"].alias("start"), _allowed(m["s"], NAMES).alias("names"), _hot(m["s"], c).alias("hot")))
+    return F.transform(F.filter(scored, lambda x: x["hot"]["first"].isNotNull() & (~x["names"] | (x["hot"]["least"] <= c.name_limit))),
                        lambda x: _span(c.kind, x["start"] + x["hot"]["first"], x["start"] + x["hot"]["last"]))
 
 
-def _allowed(s: Column) -> Column:
+def _allowed(s: Column, patterns: tuple[str, ...]) -> Column:
     out = F.lit(False)
-    for p in ALLOW:
+    for p in patterns:
         out = out | s.rlike(p)
     return out
 
