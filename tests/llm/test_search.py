@@ -68,6 +68,18 @@ def test_languages_held_out(spark):
     assert {r.doc_id for r in langid.predict(odd, model, ["doc_id"]).collect() if r.lang_pred == "und"} == {1, 2, 3, 4}
 
 
+def test_language_of_long_rows_only(spark):
+    rng = random.Random(5)
+    one, *rest = sorted(SYLLABLES)
+    texts = [(speech(rng, lang, 9000 if lang == one else 40), lang) for lang in [one] * 10 + rest * 30]
+    assert all((len(x) > langid.SAMPLE_CHARS) == (lang == one) for x, lang in texts)
+    df = spark.createDataFrame([(i, x, lang) for i, (x, lang) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = langid.train(df, F.lit(True))
+    assert model.languages == sorted(SYLLABLES)
+    got = {r.doc_id: r.lang_pred for r in langid.predict(df, model, ["doc_id"]).collect()}
+    assert all(got[i] == one for i in range(10))
+
+
 def test_language_of_awkward_rows(spark):
     df = awkward(spark)
     model = langid.train(df, F.lit(True))

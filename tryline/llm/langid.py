@@ -6,7 +6,8 @@ averaged and a linear softmax gives the language. Embeddings and weights are
 learned together by stochastic gradient descent in numpy, on a bounded sample
 of labelled rows: at most ``SAMPLE_ROWS`` per language, ``MAX_LANGUAGES``
 languages and texts of at most ``SAMPLE_CHARS`` characters, chosen by a hash
-of the id. A part of the sample is kept for calibration: a temperature is
+of the id; of a language that has only longer texts, the ``LONG_ROWS``
+shortest. A part of the sample is kept for calibration: a temperature is
 fitted to it, and the least score whose acceptances reach ``PRECISION``
 becomes the rejection threshold.
 
@@ -26,13 +27,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tryline.llm.textops import Chunk, chunks
 
 SAMPLE_ROWS = 600
 SAMPLE_CHARS = 20_000
+LONG_ROWS = 100
 MAX_LANGUAGES = 500
 ORDERS = (1, 2, 3, 4)
 BITS = 15
@@ -193,14 +195,21 @@ def train(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     rows = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
         F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 40)).alias("h"))
-    rows = rows.where((F.length("text") <= SAMPLE_CHARS) & (F.length("text") > 0))
-    per = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = rows.where(F.length("text") > 0)
+    short = F.length("text") <= SAMPLE_CHARS
+    per = rows.groupBy("lang").agg(F.count_if(short).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     if not per:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 1.0)
     pick = F.lit(False)
-    for r in per:
+    long = [r["lang"] for r in per if not r["n"]]
+    for r in [r for r in per if r["n"]]:
         pick = pick | ((F.col("lang") == r["lang"]) & (F.col("h") < int((1 << 40) * min(1.0, sample_rows / r["n"]))))
-    sample = rows.where(pick).orderBy("h", "lang", "text").limit(sample_rows * len(per)).toArrow()
+    picked = rows.where(short & pick)
+    if long:
+        nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.length("text"), "h", "text"))
+        shortest = rows.where(F.col("lang").isin(long)).withColumn("nth", nth).where(F.col("nth") <= min(LONG_ROWS, sample_rows))
+        picked = picked.unionByName(shortest.drop("nth"))
+    sample = picked.orderBy("h", "lang", "text").limit(sample_rows * len(per)).toArrow()
     return fit(sample["text"].combine_chunks(), sample["lang"].to_pylist())
 
 
