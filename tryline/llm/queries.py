@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tryline.llm import bsi_topk, fair_mix, rule_ledger, secret_scan
+from tryline.llm import bsi_topk, fair_mix, fim, rule_ledger, secret_scan
 from tryline.llm.common import doc_bucket, read_table
 from tryline.llm.gumbel_pieces import sample_segmentations
 from tryline.llm.html_text import extract_main_text
+from tryline.llm.importance import importance_resample
 from tryline.llm.langid import predict, train
 from tryline.llm.lm_lattice import score_documents
 from tryline.llm.ngram_jaccard import ngram_jaccard_components
+from tryline.llm.repeat_spans import remove_repeats
 from tryline.llm.token_blocks import token_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,12 +81,30 @@ def op10_bsi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bsi_topk.bsi_topk(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op11_repeat_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier in the corpus, as digests."""
+    return remove_repeats(read_table(spark, sf_dir, "documents"), length=100, digest=True)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two line ends and rearranged, as digests of the output and of the text rebuilt from it."""
+    return fim.fill_in_middle(read_table(spark, sf_dir, "documents"), seed=7, rate=100, spm_share=50, digest=True)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the texts of ``benchmark``."""
+    out = importance_resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=2, buckets=10_000,
+                              least_words=20, percent=25, seed=7)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_lattice_lm, op3_gumbel_pieces, op4_token_blocks, op5_secret_scan, op6_rule_ledger, op7_language_id,
-    op8_html_text, op9_fair_mix, op10_bsi_topk)}
+    op8_html_text, op9_fair_mix, op10_bsi_topk, op11_repeat_spans, op12_fill_in_middle, op13_importance)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_rule_ledger": rule_ledger.ORACLE_SQL,
     "op9_fair_mix": fair_mix.ORACLE_SQL,
     "op10_bsi_topk": bsi_topk.ORACLE_SQL,
+    "op12_fill_in_middle": fim.ORACLE_SQL,
 }
