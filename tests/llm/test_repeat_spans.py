@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.edge import awkward, empty
@@ -101,8 +102,7 @@ def test_hot_anchors_leave_a_full_bucket():
 
 
 def test_pieces_of_long_texts_overlap():
-    text = " ".join(random.Random(1).choice(WORDS) for _ in range(3000))
-    import pyarrow as pa
+    text = " ".join(random.Random(1).choices(WORDS, k=3000))
     batch = pa.RecordBatch.from_pydict({"id": [5], "key": [0], "text": [text]})
     for piece in (150, 1000, 1 << 20):
         rows = np.concatenate(list(R.scan(batch, 100, 24, piece)))
@@ -128,7 +128,7 @@ def test_general_output_and_awkward_rows(spark):
 
 
 def test_null_ids_are_later_than_all_others(spark):
-    text = " ".join(random.Random(4).choice(WORDS) for _ in range(60))
+    text = " ".join(random.Random(4).choices(WORDS, k=60))
     docs = spark.createDataFrame([(None, text), (2**63 - 2, text), (None, text)], "doc_id long, text string")
     got = sorted((r["doc_id"] is None, r["n_removed"]) for r in R.remove_repeats(docs).collect())
     assert got == [(False, 0), (True, len(text)), (True, len(text))]
