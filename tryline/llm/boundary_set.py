@@ -67,7 +67,7 @@ class BoundarySet:
     def __init__(self, offsets: np.ndarray):
         high = offsets >> LOW_BITS
         first = np.flatnonzero(np.append(True, high[1:] != high[:-1])) if len(offsets) else np.zeros(0, np.int64)
-        ends = np.append(first[1:], len(offsets))
+        ends = np.append(first[1:], len(offsets))[:len(first)]
         self.high = high[first]
         self.upto = ends.astype(np.int64)
         self.containers = [_container(offsets[a:b] & _LOW_MASK) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]

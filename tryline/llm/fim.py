@@ -45,8 +45,10 @@ class Transformed:
 
 def line_ends(text: str) -> np.ndarray:
     """Code point offsets behind every line of ``text``."""
+    if not text:
+        return np.zeros(0, np.int64)
     ends = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == 10) + 1
-    if text and not text.endswith("\n"):
+    if not text.endswith("\n"):
         ends = np.append(ends, len(text))
     return ends
 
