@@ -62,17 +62,58 @@ def test_timeseries_counts(marts):
                    "Major League Rugby": 110, "Super Rugby Pacific": 126}
 
 
-def test_split_rolling_equals_single_window_on_a_hot_team(spark):
-    # one team holds most rows over many months, others are sparse; pieces
-    # with fewer rows than the frame force stitching across several pieces
-    rows = []
-    start = dt.date(2020, 1, 1)
-    for i in range(400):
-        rows.append(("hot", f"m{i:04d}", start + dt.timedelta(days=i * 3), float(i % 7), float(i), None if i % 5 == 0 else 0.1 * i))
-    for i in range(9):
-        rows.append(("cold", f"c{i}", start + dt.timedelta(days=i * 90), float(i), 1.0, 0.5))
-    df = spark.createDataFrame(rows, "team_id string, match_id string, game_date date, tries double, "
-                                     "line_breaks double, territory double")
-    plain = marts.rolling_means(df).orderBy("team_id", "game_date").collect()
-    split = marts.rolling_means(df, split=marts.month_split()).orderBy("team_id", "game_date").collect()
+def _team_rows():
+    """One team holds most rows, thousands of them in one month and hundreds on one day; others are sparse."""
+    rows, start = [], dt.date(2020, 1, 1)
+    for i in range(4000):
+        day = dt.date(2021, 5, 1) + dt.timedelta(days=i % 28 if i % 10 else 13)
+        rows.append(("hot", f"m{i:05d}", day, float(i % 7) / 3, float(i), None if i % 5 == 0 else 0.1 * i))
+    for i in range(300):
+        rows.append(("hot", f"s{i:04d}", start + dt.timedelta(days=i * 3), float(i % 7), 0.1 * i, None))
+    for t in range(9):
+        for i in range(t):
+            rows.append((f"cold{t}", f"c{i}", start + dt.timedelta(days=i * 90), float(i), 1.0, 0.5))
+    return rows
+
+
+SCHEMA = "team_id string, match_id string, game_date date, tries double, line_breaks double, territory double"
+
+
+@pytest.mark.parametrize("pieces", [1, 8, 40])
+def test_pieces_equal_the_single_window_bit_by_bit(spark, tmp_path, pieces):
+    df = spark.createDataFrame(_team_rows(), SCHEMA).repartition(6)
+    marts.range_pieces(df, pieces=pieces).write.parquet(str(tmp_path / "p"))
+    table = spark.read.parquet(str(tmp_path / "p"))
+    order = ("team_id", "game_date", "match_id")
+    plain = marts.rolling_means(df).orderBy(*order).collect()
+    split = marts.rolling_means_of_pieces(table).orderBy(*order).collect()
     assert [tuple(r) for r in plain] == [tuple(r) for r in split]
+    if pieces > 1:
+        # the hot month is spread: its largest window is about one piece, not the month
+        month = table.where("team_id = 'hot' and game_date >= '2021-05-01'").groupBy(marts.PIECE).count()
+        sizes = [r["count"] for r in month.collect()]
+        assert len(sizes) > pieces // 2 and max(sizes) < 2.5 * 4340 / pieces
+
+
+def test_pieces_smaller_than_the_frame(spark, tmp_path):
+    """Thirty pieces of one or two rows of one key: the halo comes from several pieces before."""
+    rows = [("t" if i % 9 else None, f"m{i:02d}", dt.date(2024, 1, 1), float(i), 1.0 / (i + 1), None) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    marts.range_pieces(df, pieces=30).write.parquet(str(tmp_path / "p"))
+    table = spark.read.parquet(str(tmp_path / "p"))
+    assert table.select(marts.PIECE).distinct().count() > 20
+    plain = marts.rolling_means(df).orderBy("match_id").collect()
+    split = marts.rolling_means_of_pieces(table).orderBy("match_id").collect()
+    assert [tuple(r) for r in plain] == [tuple(r) for r in split]
+
+
+def test_build_drops_what_it_wrote(spark, tmp_path):
+    import glob
+
+    from tryline.plans.marts import MartBuild
+    from tryline.sources.fixtures import RawTables
+    with MartBuild(RawTables(spark, "/root/testdata/sf0.001"), pieces=4) as build:
+        assert build.fct_team_performance.count() == 564
+        kept = list(build.written)
+        assert len(kept) == 1 and glob.glob(kept[0].removeprefix("file:") + "/part-*")
+    assert not glob.glob(kept[0].removeprefix("file:"))

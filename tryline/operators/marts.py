@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tryline.functions.columns import match_label
@@ -18,82 +18,78 @@ ROLLING = (("tries", "tries_rolling_5"), ("line_breaks", "line_breaks_rolling_5"
            ("territory", "territory_rolling_5"))
 
 
-def _frame_avg(values: Column) -> Column:
-    """AVG over an array exactly as Spark's Average does it over a frame:
-    sum of non-null values in frame order starting at 0.0, divided by their count."""
-    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(0.0)))
-    n = F.size(F.filter(values, lambda x: x.isNotNull()))
-    return F.when(n > 0, total / n)
-
-
-def _field(name: str):
-    # one-argument lambda: transform() passes the index too when given two
-    return lambda x: x[name]
+#: Column that numbers the range pieces of a written table.
+PIECE = "_piece"
+TEAM_ORDER = ("game_date", "match_id")
 
 
 def rolling_means(df: DataFrame, cols: Sequence[tuple[str, str]] = ROLLING, n: int = 5,
-                  key: str = "team_id", order: Sequence[str] = ("game_date", "match_id"),
-                  split: Column | None = None) -> DataFrame:
-    """Mean over the current and ``n-1`` preceding rows per ``key``.
+                  key: str = "team_id", order: Sequence[str] = TEAM_ORDER) -> DataFrame:
+    """Mean over the current and ``n-1`` preceding rows per ``key``, as one window.
 
     ``order`` must be a total order within a key (the reference orders by date
-    only; ``match_id`` is the added tie-break, SURVEY S3).
-
-    With ``split=None`` this is one window partitioned by ``key`` -- a whole
-    team in one task. With a ``split`` column (e.g. the month of the date) the
-    window is partitioned by (key, split) so a team holding a large share of
-    all rows is spread over many tasks. The first ``n-1`` rows of each piece
-    need the last ``n-1`` rows before it: those come from the pieces' tails
-    (at most ``n-1`` rows per piece, so tiny), ordered per key, and are joined
-    back on (key, piece) onto data already partitioned that way. The mean is
-    then taken over the stitched frame in frame order, so results are
-    bit-identical to the single window.
+    only; ``match_id`` is the added tie-break, SURVEY S3). A whole key is in
+    one task here; ``rolling_means_of_pieces`` is the form for hot keys.
+    """
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(-(n - 1), 0)
+    return df.select("*", *[F.avg(c).over(w).alias(out) for c, out in cols])
+
+
+def range_pieces(df: DataFrame, key: str = "team_id", order: Sequence[str] = TEAM_ORDER, pieces: int | None = None) -> DataFrame:
+    """``df`` dealt out by ranges of (key, order), with the number of each row's piece.
+
+    Ranges are sampled from the rows, so pieces are about equally large
+    whatever key or date holds them. The numbers hold for one execution only:
+    write the result (``materialize``) before anything reads it twice.
+    """
+    by = [key, *order]
+    ranged = df.repartitionByRange(pieces, *by) if pieces else df.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*by).withColumn(PIECE, F.spark_partition_id())
+
+
+def halo_rows(pieces: DataFrame, values: Sequence[str], n: int = 5, key: str = "team_id",
+              order: Sequence[str] = TEAM_ORDER) -> DataFrame:
+    """For every key that goes on in a further piece, the ``n-1`` rows before each such piece, under its number.
+
+    Only the last ``n-1`` rows of a key in a piece can be among them, so what
+    is ordered per key is at most ``n-1`` rows a piece, not the key's rows.
+    """
+    narrow = pieces.select(key, *order, *values, PIECE)
+    crossing = (narrow.groupBy(F.col(key).alias("_key")).agg(F.min(PIECE).alias("_lo"), F.max(PIECE).alias("_hi"))
+                .where("_lo < _hi").select("_key"))
+    backwards = Window.partitionBy(key, PIECE).orderBy(*[F.col(c).desc() for c in order])
+    tails = (narrow.join(crossing, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+             .withColumn("_rn", F.row_number().over(backwards)).where(F.col("_rn") < n).drop("_rn"))
+    per_key = Window.partitionBy(key).orderBy(PIECE, *order)
+    before = F.collect_list(F.struct(*order, *values)).over(per_key.rowsBetween(-(n - 1), -1))
+    starts = (tails.select(key, PIECE, F.lag(PIECE).over(per_key).alias("_last"), before.alias("_rows"))
+              .where(F.col("_last") != F.col(PIECE)))
+    return starts.select(key, PIECE, F.inline("_rows"))
+
+
+def rolling_means_of_pieces(pieces: DataFrame, cols: Sequence[tuple[str, str]] = ROLLING, n: int = 5,
+                            key: str = "team_id", order: Sequence[str] = TEAM_ORDER) -> DataFrame:
+    """F2-F4 over a written table of range pieces, equal bit by bit to ``rolling_means``.
+
+    Each piece gets a halo, the ``n-1`` rows that its first key has before it,
+    and is a window of its own; the halo's rows are dropped again. A frame
+    holds the same rows in the same order as in the single window, and one
+    team's month, or day, is as many tasks as it has pieces.
+    """
+    halo = halo_rows(pieces, [c for c, _ in cols], n, key, order).withColumn("_halo", F.lit(True))
+    rows = pieces.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+    w = Window.partitionBy(PIECE, key).orderBy(*order).rowsBetween(-(n - 1), 0)
+    out = rows.select("*", *[F.avg(c).over(w).alias(o) for c, o in cols]).where(~F.col("_halo"))
+    return out.select(*[c for c in pieces.columns if c != PIECE], *[o for _, o in cols])
+
+
+def fct_team_performance(int_metrics: DataFrame) -> DataFrame:
+    """Fact model: int metrics + three rolling 5-match means (21 columns).
+
+    ``int_metrics`` may be a written table of range pieces (it then has a piece number).
     """
-    order_cols = [F.col(c) for c in order]
-    if split is None:
-        w = Window.partitionBy(key).orderBy(*order_cols).rowsBetween(-(n - 1), 0)
-        return df.select("*", *[F.avg(c).over(w).alias(out) for c, out in cols])
-
-    vals = F.struct(*[F.col(c).alias(c) for c, _ in cols])
-    piece = df.withColumn("_piece", split)
-    w_piece = Window.partitionBy(key, "_piece").orderBy(*order_cols)
-    main = piece.select(
-        "*",
-        F.collect_list(vals).over(w_piece.rowsBetween(-(n - 1), 0)).alias("_frame"),
-        F.row_number().over(Window.partitionBy(key, "_piece").orderBy(*[c.desc() for c in order_cols]))
-         .alias("_rn_desc"),
-    )
-    # tails: last n-1 rows of every piece; per key, the n-1 tail rows before a
-    # piece's first tail row are exactly the n-1 rows preceding that piece
-    tails = main.where(F.col("_rn_desc") < n).select(key, "_piece", *order, vals.alias("_v"))
-    w_tail = Window.partitionBy(key).orderBy(F.col("_piece"), *order_cols)
-    prev = (tails.select(key, "_piece",
-                         F.lag("_piece").over(w_tail).alias("_prev_piece"),
-                         F.collect_list("_v").over(w_tail.rowsBetween(-(n - 1), -1)).alias("_prev"))
-                 .where(F.col("_prev_piece").isNull() | (F.col("_prev_piece") != F.col("_piece")))
-                 .select(key, "_piece", "_prev"))
-    joined = main.join(prev, [key, "_piece"], "left")
-    empty = "array<struct<%s>>" % ",".join(f"`{c}`:double" for c, _ in cols)
-    prev_arr = F.coalesce(F.col("_prev"), F.array().cast(empty))
-    need = F.lit(n) - F.size("_frame")
-    take = F.least(need, F.size(prev_arr))
-    head = F.slice(prev_arr, F.size(prev_arr) - take + 1, take)
-    frame = F.concat(head, F.col("_frame"))
-    out = joined.select(
-        *[F.col(c) for c in df.columns],
-        *[_frame_avg(F.transform(frame, _field(c))).alias(o) for c, o in cols],
-    )
-    return out
-
-
-def fct_team_performance(int_metrics: DataFrame, split: Column | None = None) -> DataFrame:
-    """Fact model: int metrics + three rolling 5-match means (21 columns)."""
-    return rolling_means(int_metrics, split=split).select(*FCT_COLUMNS)
-
-
-def month_split(date: str = "game_date") -> Column:
-    """Default split for the fact's rolling windows: month of the match date."""
-    return F.date_trunc("month", F.col(date))
+    rolled = rolling_means_of_pieces(int_metrics) if PIECE in int_metrics.columns else rolling_means(int_metrics)
+    return rolled.select(*FCT_COLUMNS)
 
 
 def dim_teams(stg_teams: DataFrame) -> DataFrame:

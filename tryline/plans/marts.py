@@ -5,35 +5,53 @@ D2, C7, C8) -> fct_team_performance (F2-F4) -> the two dashboard views;
 raw.match_details -> stg_match_details; raw.teams -> stg_teams -> dim_teams.
 
 Models are lazy but for the cut before the rolling windows: with ``cut`` the
-intermediate model is written and re-read (B9), so a lost executor only
-recomputes from the written table; the caller drops it in the end.
+intermediate model is written in range pieces (B9) and re-read, so a lost
+executor only recomputes from the written table. ``close`` (or leaving the
+``with`` block) drops what a build wrote.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from tryline.operators import marts, metrics, staging
 from tryline.schemas import FCT_COLUMNS
 from tryline.session import ensure_checkpoint_dir
-from tryline.sinks.writers import materialize
+from tryline.sinks.writers import MATERIALIZED, drop_materialized, materialize
 from tryline.sources.fixtures import TIE_BREAKS, RawTables
 
 
 class MartBuild:
-    def __init__(self, raw: RawTables, split: Column | None | str = "month",
-                 tie_breaks: tuple[str, ...] | None = None, cut: bool = True):
+    def __init__(self, raw: RawTables, tie_breaks: tuple[str, ...] | None = None, cut: bool = True, pieces: int | None = None):
         # any source with team_stats, teams and match_details will do
         tie_breaks = getattr(raw, "tie_breaks", TIE_BREAKS) if tie_breaks is None else tie_breaks
         self.raw = raw
         self.cut = cut
+        self.pieces = pieces
+        self.written: list[str] = []
         if cut:
             ensure_checkpoint_dir(raw.spark)
-        self.split = marts.month_split() if split == "month" else split
         self.tie_breaks = tie_breaks
 
+    def __enter__(self) -> MartBuild:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Drop the tables this build wrote on the way; its models can't be read any more."""
+        drop_materialized(self.raw.spark, self.written)
+        self.written = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written on the way and read back, dropped by ``close``."""
+        out = materialize(self.raw.spark, df, name)
+        self.written.append(MATERIALIZED[-1])
+        return out
+
     @cached_property
     def stg_team_stats(self) -> DataFrame:
         return staging.stg_team_stats(self.raw.team_stats, tie_breaks=self.tie_breaks)
@@ -56,21 +74,17 @@ class MartBuild:
 
     @cached_property
     def fct_team_performance(self) -> DataFrame:
-        src = self.int_team_game_metrics
-        if self.split is not None and self.cut:
-            # the split rolling window reads its input twice (rows and piece
-            # tails); writing it once to the shared checkpoint folder keeps the
-            # upstream shuffles from running twice and cuts lineage
-            src = materialize(self.raw.spark, src, "int_team_game_metrics")
-        return marts.fct_team_performance(src, split=self.split)
+        if not self.cut:
+            return marts.fct_team_performance(self.int_team_game_metrics)
+        ranged = marts.range_pieces(self.int_team_game_metrics, pieces=self.pieces)
+        return marts.fct_team_performance(self.keep(ranged, "int_team_game_metrics"))
 
     @cached_property
     def fct_core(self) -> DataFrame:
         """The fact without its three rolling means: same rows, same other
         columns, still hash-partitioned by match_id. Consumers that never read
         the rolling means (the views, tiles, tests) use it, so they skip the
-        rolling windows -- the pruning Catalyst does by itself for a plain
-        window but cannot do through the split window's stitching join."""
+        rolling windows and the written pieces below them."""
         return self.int_team_game_metrics.select(*[c for c in FCT_COLUMNS if not c.endswith("_rolling_5")])
 
     @cached_property
