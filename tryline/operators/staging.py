@@ -68,18 +68,18 @@ STG_TEAM_STATS_OUT = (
 )
 
 
-def stg_team_stats(raw: DataFrame, tie_breaks: Sequence[str] = ()) -> DataFrame:
+def stg_team_stats(raw: DataFrame, tie_breaks: Sequence[str] = (), latest: bool = False) -> DataFrame:
     """F1 model: typed, null-key-filtered, latest row per (team_id, match_id).
 
     The reference orders by ``game_date desc`` only; ``tie_breaks`` (ascending)
-    make the pick deterministic when dates tie (SURVEY S3/S4).
+    make the pick deterministic when dates tie (SURVEY S3/S4). ``latest`` says
+    that ``raw`` was reduced to those rows when it was read.
     """
     staged = null_key_filter(stg_team_stats_projection(raw, keep=tie_breaks))
+    if latest:
+        return staged.select(team_game_key().alias("team_game_key"), *STG_TEAM_STATS_OUT[1:])
     order = [F.col("game_date").desc()] + [F.col(c).asc() for c in tie_breaks]
-    # keys listed match-first: the same groups, and the order raw data that is
-    # already partitioned and sorted by match (as landed here) satisfies as is
-    latest = keep_first(staged, ["match_id", "team_id"], order)
-    return latest.select(team_game_key().alias("team_game_key"), *STG_TEAM_STATS_OUT[1:])
+    return keep_first(staged, ["match_id", "team_id"], order).select(team_game_key().alias("team_game_key"), *STG_TEAM_STATS_OUT[1:])
 
 
 def stg_match_details(raw: DataFrame) -> DataFrame:

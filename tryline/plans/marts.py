@@ -54,6 +54,9 @@ class MartBuild:
 
     @cached_property
     def stg_team_stats(self) -> DataFrame:
+        reduced = getattr(self.raw, "latest_team_stats", None)
+        if reduced is not None:
+            return staging.stg_team_stats(reduced, latest=True)
         return staging.stg_team_stats(self.raw.team_stats, tie_breaks=self.tie_breaks)
 
     @cached_property

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tryline.operators.staging import keep_first
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -40,64 +41,78 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def team_stats_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw team-stats row per lineitem line, hash partitioned by match.
-
-    The lines are shuffled by match first and the supplier name is joined
-    after the shuffle: the shuffle carries narrow rows, and the join (AQE
-    broadcasts the supplier side only when it measures small) keeps the
-    match partitioning that everything downstream reuses.
-    """
-    li = read_table(spark, sf_dir, "lineitem")
-    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+def team_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per lineitem line (line 7 twice), as scanned: nothing is moved yet."""
     shipped = F.col("l_shipdate").cast("date")
     dates = F.when(F.col("l_linenumber") == UNDATED_LINE, F.array(shipped, F.lit(None).cast("date"))).otherwise(F.array(shipped))
-    by_match = (li.select("l_suppkey", F.col("l_orderkey").cast("string").alias("match_id"), F.explode(dates).alias("game_date"),
-                          "l_quantity", "l_discount", "l_tax", *TIE_BREAKS)
-                  .repartition("match_id"))
-    return (by_match.join(sup, by_match.l_suppkey == sup.s_suppkey, "inner")
-                    .select(F.col("l_suppkey").cast("string").alias("team_id"),
-                            F.col("s_name").alias("team"),
-                            "match_id",
-                            "game_date",
-                            F.col("l_quantity").alias("tries"),
-                            F.col("l_linenumber").cast("double").alias("line_breaks"),
-                            F.round(F.col("l_tax") * 100, 0).alias("22m_entries"),
-                            F.nullif(F.col("l_discount"), F.lit(0.0)).alias("territory"),
-                            F.nullif(F.col("l_quantity"), F.lit(13.0)).alias("score"),
-                            *TIE_BREAKS))
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("team_id"), F.col("l_orderkey").cast("string").alias("match_id"),
+        F.explode(dates).alias("game_date"), "l_quantity", "l_discount", "l_tax", *TIE_BREAKS)
+
+
+def latest_team_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest line of every team in every match; an undated one only where there is no other.
+
+    The limit of one row per team and match is applied in each map task before
+    the shuffle and again behind it, so however many lines a match or a pair
+    has, each map task sends one per pair.
+    """
+    order = [F.col("game_date").desc(), *[F.col(c).asc() for c in TIE_BREAKS]]
+    return keep_first(team_lines(spark, sf_dir), ["match_id", "team_id"], order)
+
+
+def _named(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines under the names of raw.team_stats (AQE broadcasts the suppliers only when they measure small)."""
+    sup = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("_team"), "s_name")
+    return lines.join(sup, lines.team_id == F.col("_team")).select(
+        "team_id", F.col("s_name").alias("team"), "match_id", "game_date",
+        F.col("l_quantity").alias("tries"),
+        F.col("l_linenumber").cast("double").alias("line_breaks"),
+        F.round(F.col("l_tax") * 100, 0).alias("22m_entries"),
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("territory"),
+        F.nullif(F.col("l_quantity"), F.lit(13.0)).alias("score"),
+        *TIE_BREAKS)
+
+
+def _with_opponent(lines: DataFrame, low: str, high: str, n: str) -> DataFrame:
+    """The other side's id, name and score where a match has two sides."""
+    other = F.when(F.col(n) == 2, F.when(F.col("team_id") == F.col(f"{low}.team_id"), F.col(high)).otherwise(F.col(low)))
+    kept = [c for c in lines.columns if c not in (low, high, n)]
+    return lines.select(*kept, other["team_id"].alias("team_vs_id"), other["team"].alias("team_vs"), other["score"].alias("team_vs_score"))
+
+
+_SIDE = ("team_id", "team", "score")
+
+
+def latest_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of raw.team_stats that the keep-latest dedupe leaves (and undated rows of pairs without a date).
+
+    The reduced lines are shuffled by match once; the sides of a match are
+    windows over it (at most one row per team), and what follows -- the
+    completeness filter, the details join -- reuses that partitioning.
+    """
+    w = Window.partitionBy("match_id")
+    side = F.struct(*_SIDE)
+    rows = _named(latest_team_lines(spark, sf_dir), spark, sf_dir).select(
+        "*", F.min(side).over(w).alias("_lo"), F.max(side).over(w).alias("_hi"), F.count(F.lit(1)).over(w).alias("_n"))
+    return _with_opponent(rows, "_lo", "_hi", "_n")
 
 
 def raw_team_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw.team_stats: every line, plus the other team's id, name and score
     when the match has exactly two teams after the keep-latest dedupe.
 
-    One hash shuffle on match_id serves everything: the latest-line flag
-    (window per team and match), the per-match team count and the lowest /
-    highest team (window per match), with no self-join. A match here is one
-    order, so a window group is bounded by the lines of one order. The output
-    stays partitioned by match_id, which the staging dedupe and the
-    completeness filter downstream reuse without another shuffle.
+    The sides come from the reduced lines, aggregated per match, and are
+    joined to all lines; lines of one match are never gathered in one task (a
+    hot match is split by the skew join).
     """
-    lines = team_stats_lines(spark, sf_dir)
-    order = [F.col("game_date").desc()] + [F.col(c).asc() for c in TIE_BREAKS]
-    latest = F.row_number().over(Window.partitionBy("match_id", "team_id").orderBy(*order)) == 1
-    side = F.when(F.col("_latest"), F.struct("team_id", "team", "score"))
-    w_match = Window.partitionBy("match_id")
-    with_sides = lines.withColumn("_latest", latest).select(
-        "*",
-        F.count(side).over(w_match).alias("_n"),
-        F.min(side).over(w_match).alias("_lo"),
-        F.max(side).over(w_match).alias("_hi"),
-    )
-    other = F.when(F.col("_n") == 2,
-                   F.when(F.col("team_id") == F.col("_lo.team_id"), F.col("_hi")).otherwise(F.col("_lo")))
-    return with_sides.select(
-        *lines.columns,
-        other["team_id"].alias("team_vs_id"),
-        other["team"].alias("team_vs"),
-        other["score"].alias("team_vs_score"),
-    )
+    latest = _named(latest_team_lines(spark, sf_dir), spark, sf_dir)
+    side = F.struct(*_SIDE)
+    sides = (latest.groupBy(F.col("match_id").alias("_match")).agg(F.min(side).alias("_lo"), F.max(side).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+             .where("_n = 2"))
+    lines = _named(team_lines(spark, sf_dir), spark, sf_dir)
+    joined = lines.join(sides, lines.match_id == F.col("_match"), "left").drop("_match")
+    return _with_opponent(joined, "_lo", "_hi", "_n")
 
 
 def raw_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +161,11 @@ class RawTables:
     def team_stats(self) -> DataFrame:
         return raw_team_stats(self.spark, self.sf_dir)
 
+    @property
+    def latest_team_stats(self) -> DataFrame:
+        """Rows that the F1 dedupe would leave, reduced before their first shuffle."""
+        return latest_team_stats(self.spark, self.sf_dir)
+
     @property
     def teams(self) -> DataFrame:
         return raw_teams(self.spark, self.sf_dir)
