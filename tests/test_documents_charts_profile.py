@@ -128,12 +128,30 @@ def test_daily_run(spark, tmp_path):
                     str(tmp_path / "charts"), "20260420", source="auto", max_teams=3)
     assert res.source == "mart"
     assert writers.MATERIALIZED == before  # this run's intermediate tables are gone
-    from tryline.sinks.writers import latest_version_path
-    assert latest_version_path(spark, str(tmp_path / "marts/fct_team_performance"), "_PUBLISHED").endswith("v=20260420")
+    from tryline.sinks.publication import current
+    published = current(spark, str(tmp_path / "marts"))
+    assert published.version.startswith("20260420-0001-") and published.read("fct_team_performance").count() == 564
     assert res.report.where("failures > 0").count() == 0
-    assert spark.read.parquet(str(tmp_path / "charts/league_margin_categorical")).count() == 3
+    assert res.charts.read("league_margin_categorical").count() == 3
+    assert current(spark, str(tmp_path / "charts")).version == res.charts.version
     summary = {r["metric"]: r["n"] for r in res.summary.collect()}
     assert summary["categorical_rows"] == 3 and summary["timeseries_rows"] == 428
     local = run_daily(spark, RawTables(spark, "/root/testdata/sf0.001"), str(tmp_path / "marts2"),
                       str(tmp_path / "charts2"), "20260420", source="local")
     assert local.source == "local" and local.categorical.count() == 4
+    # the local source opens and publishes no mart
+    assert local.report is None and not (tmp_path / "marts2").exists()
+
+
+def test_auto_falls_back_without_fresh_marts(spark, tmp_path):
+    from tryline.plans.daily import build_marts, chart_datasets
+    from tryline.sources.fixtures import RawTables
+    raw = RawTables(spark, "/root/testdata/sf0.001")
+    marts_root, out = str(tmp_path / "marts"), str(tmp_path / "charts")
+    assert chart_datasets(spark, raw, marts_root, out, "20260420").source == "local"      # nothing published yet
+    build_marts(spark, raw, marts_root, "20260420")
+    assert chart_datasets(spark, raw, marts_root, out, "20260420").source == "mart"
+    # the newest match is decades old by then
+    assert chart_datasets(spark, raw, marts_root, out, "20260420", max_age_days=30).source == "local"
+    with pytest.raises(FileNotFoundError):
+        chart_datasets(spark, raw, marts_root, out, "20260420", source="mart", max_age_days=30)

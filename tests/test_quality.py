@@ -45,3 +45,34 @@ def test_completeness_profiles(marts):
     assert dist[1] == 126 and dist[2] == 294 and dist[3] == 399
     inv = quality.inverse_violations(marts.stg_team_stats).first()
     assert inv["inverse_violations"] == 0
+
+
+def test_report_by_observation_equals_the_lazy_report(spark, marts):
+    """One build with the row tests counted by its writes, the same 29 rows, and no folder left."""
+    import glob
+
+    from tryline.plans.marts import MartBuild
+    with MartBuild(marts.raw) as build:
+        _, report = build.build_and_test(rolling=False)
+        kept = [p.removeprefix("file:") for p in build.written]
+        assert kept and all(glob.glob(f"{p}/*.parquet") for p in kept)
+    assert not any(glob.glob(p) for p in kept)
+    lazy = quality.quality_report(marts.models())
+    assert sorted(map(tuple, report.select(lazy.columns).collect())) == sorted(map(tuple, lazy.collect()))
+
+
+def test_observed_and_remaining_tests_count_violations(spark, tmp_path):
+    T = quality.Test
+    tests = [T("m", "k", "not_null"), T("m", "flag", "accepted_values", values=("W", "L")), T("m", "k", "unique"),
+             T("m", "k", "relationships", to=("p", "id"))]
+    df = spark.createDataFrame([("a", "W"), ("a", "X"), (None, None), ("b", "D"), ("c", "L"), ("c", "L"), ("c", "L")], "k string, flag string")
+    observed, seen = quality.observe_row_tests(df, tests[:2])
+    observed.write.parquet(str(tmp_path / "m"))
+    assert quality.observed_failures(seen, tests[:2]) == {tests[0]: 1, tests[1]: 2}
+    models = {"m": spark.read.parquet(str(tmp_path / "m")), "p": spark.createDataFrame([("a",), ("b",)], "id string")}
+    assert quality.remaining_failures(models, tests) == {tests[0]: 1, tests[1]: 2, tests[2]: 2, tests[3]: 3}
+    empty = {n: d.limit(0) for n, d in models.items()}
+    assert set(quality.remaining_failures(empty, tests).values()) == {0}
+    nothing, seen = quality.observe_row_tests(models["m"].where("k = 'none'"), tests[:2])
+    nothing.write.parquet(str(tmp_path / "none"))
+    assert set(quality.observed_failures(seen, tests[:2]).values()) == {0}

@@ -6,6 +6,7 @@ import datetime as dt
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tryline.schemas import RAW_MATCH_DETAILS, RAW_TEAM_STATS
 from tryline.sources import files
@@ -58,9 +59,53 @@ def test_read_drifting_schemas_unions_by_name(spark, tmp_path):
 
 def test_footer_schemas_groups_files(spark, tmp_path):
     _drifting_files(tmp_path)
-    paths = files.list_files(spark, str(tmp_path))
-    groups = files.footer_schemas(spark, paths).groupBy("schema").count().collect()
-    assert len(groups) == 3
+    listing = files.footers(spark, str(tmp_path))
+    assert listing.count() == 3
+    groups = files.schema_groups(listing)
+    assert len(groups) == 3 and [g["files"] for g in groups] == [1, 1, 1] and all(g["rows"] and g["bytes"] for g in groups)
+
+
+def test_large_files_are_read_by_spark_with_the_same_rows(spark, tmp_path, monkeypatch):
+    _drifting_files(tmp_path)
+    small = files.read_drifting(spark, str(tmp_path), RAW_TEAM_STATS, origin=True)
+    want = sorted(map(str, small.select(sorted(small.columns)).collect()))
+    biggest = max(p.stat().st_size for p in tmp_path.glob("*.parquet"))
+    for bound in (0, biggest - 1):        # all files large, all but the biggest small
+        monkeypatch.setattr(files, "SMALL_FILE", bound)
+        got = files.read_drifting(spark, str(tmp_path), RAW_TEAM_STATS, origin=True)
+        assert sorted(map(str, got.select(sorted(got.columns)).collect())) == want
+
+
+def test_many_files_reach_the_driver_as_one_row_per_schema(spark, tmp_path):
+    """A listing of 100,000 made-up paths in 3 schemas: grouped in tasks, no list of paths."""
+    listing = spark.range(100_000).select(
+        F.concat(F.lit("file:/landing/team_stats_"), F.col("id").cast("string")).alias("path"), F.lit(1000).cast("long").alias("length"),
+        F.lit(7).cast("long").alias("rows"), F.concat(F.lit("schema "), (F.col("id") % 3).cast("string")).alias("schema"))
+    groups = files.schema_groups(listing)
+    assert [(g["files"], g["rows"]) for g in groups] == [(33334, 7 * 33334), (33333, 7 * 33333), (33333, 7 * 33333)]
+
+
+def test_broken_landing_leaves_the_load_before(spark, tmp_path):
+    """A4 before publication: an unreadable file, no usable row, a missing column -- the last good raw tables stay."""
+    from tryline.plans.landing import load_raw, open_raw
+    good, root = tmp_path / "good", str(tmp_path / "raw")
+    good.mkdir()
+    pd.DataFrame({"team_id": ["a"], "match_id": ["m"], "game_date": ["20250101"]}).to_parquet(good / "team_stats_1.parquet")
+    pd.DataFrame({"team_id": ["a"], "team_name": ["A"]}).to_parquet(good / "teams_1.parquet")
+    first = load_raw(spark, str(good), root, run_date="20250101")
+    for name, stats in (("empty", {"team_id": ["a"], "match_id": ["m"], "game_date": ["no date"]}),
+                        ("column", {"team_id": ["a"], "game_date": ["20250101"]})):
+        bad = tmp_path / name
+        bad.mkdir()
+        pd.DataFrame(stats).to_parquet(bad / "team_stats_1.parquet")
+        pd.DataFrame({"team_id": ["b"], "team_name": ["B"]}).to_parquet(bad / "teams_1.parquet")
+        with pytest.raises((ValueError, KeyError)):
+            load_raw(spark, str(bad), root, run_date="20250101")
+        assert open_raw(spark, root).load.version == first.load.version
+        assert [r["team_id"] for r in open_raw(spark, root).teams.collect()] == ["a"]
+    again = load_raw(spark, str(good), root, run_date="20250101")       # the same day once more
+    assert again.load.version > first.load.version
+    assert open_raw(spark, root).team_stats.count() == 1
 
 
 def test_union_by_name_fills_missing_with_null(spark):
@@ -103,9 +148,8 @@ def test_source_registry_and_selection(spark):
 def test_footer_profile_matches_data_profile(spark, tmp_path):
     from tryline.operators import profile
     _drifting_files(tmp_path)
-    paths = files.list_files(spark, str(tmp_path))
     prof = {r["column_name"]: r for r in profile.footer_column_profile(
-        spark, paths, ["score", "territory", "rucks_won", "tries"]).collect()}
+        spark, str(tmp_path), ["score", "territory", "rucks_won", "tries"]).collect()}
     assert (prof["score"]["files_with_column"], prof["score"]["rows_where_present"],
             prof["score"]["non_null_rows"]) == (2, 3, 3)
     assert (prof["territory"]["rows_where_present"], prof["territory"]["non_null_rows"]) == (3, 1)
@@ -116,7 +160,7 @@ def test_footer_profile_matches_data_profile(spark, tmp_path):
 def test_per_entity_snapshots(spark, tmp_path):
     import datetime as dt
     from tryline.operators.incremental import latest_date_label
-    from tryline.sinks.writers import per_entity_snapshots
+    from tryline.sinks.partitioned import per_entity_snapshots
     df = spark.createDataFrame([("t1", dt.date(2024, 1, 5), 1.0), ("t1", dt.date(2024, 2, 1), 2.0),
                                 ("t2", dt.date(2023, 5, 1), 3.0)], "team_id string, game_date date, score double")
     per_entity_snapshots(df, str(tmp_path / "out"), latest_date_label(df, "20260420"))

@@ -1,7 +1,7 @@
 """Registered queries: one per operator id from SURVEY §2 (key prefix = id).
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` over the whole driver tables,
-paired with oracle SQL in ``tryline.oracle_queries``.
+paired with its oracle SQL (``tryline.oracle`` has the shared parts).
 """
 
 from __future__ import annotations

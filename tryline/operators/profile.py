@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,64 +91,91 @@ def column_profile(sources: dict[str, DataFrame], columns: Sequence[str]) -> Dat
                             F.round(F.col("non_null_rows") * 100.0 / F.col("rows_where_present"), 1)))
 
 
-def file_column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """E16 over files: non-null counts per source file via ``_metadata.file_name``
-    (only for a reader that already knows the union schema)."""
-    aggs = [F.count(F.lit(1)).alias("rows")] + [F.count(F.col(c)).alias(c) for c in columns]
-    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(*aggs)
+ROW_GROUPS = "path string, row_group int, column_name string, rows long, bytes long, nulls long, min_value string, max_value string"
 
 
-def footer_column_profile(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """E16 from Parquet footers alone: per column, the files having it, the
-    rows of those files and their non-null rows (row-group null counts).
+def row_group_stats(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """Per file, row group and column: rows, compressed bytes, null count, least and greatest value as text.
 
-    Footers are read in parallel tasks (``mapInPandas`` over a DataFrame of
-    paths); no data pages are read. A file whose writer left no null counts
-    reports NULL non-null rows for that column (``stats_complete`` = false),
-    so callers can fall back to ``file_column_profile`` for those files.
+    Footers are read in parallel tasks, no data page is; what a writer left
+    out is NULL. A column that a file holds only as nulls has no statistics of
+    its own and counts all its rows as null. Nested columns have one row per
+    leaf, under the leaf's path.
     """
-    from tryline.sources.files import parquet_opener
-    wanted = list(columns)
-    open_parquet = parquet_opener()
+    from tryline.sources.files import landed_files, parquet_opener
+    opener = parquet_opener()
 
     def read(batches):
-        import pandas as pd
         import pyarrow as pa
-        for pdf in batches:
+        import pyarrow.parquet as pq
+        for batch in batches:
+            named = batch.to_pydict()
             out = []
-            for path in pdf["path"]:
-                pf = open_parquet(path)
-                meta = pf.metadata
-                arrow_types = {f.name: f.type for f in pf.schema_arrow}
-                names = [meta.schema.column(i).path.split(".")[0] for i in range(meta.num_columns)]
-                for c in wanted:
-                    if c not in names:
-                        continue
-                    if pa.types.is_null(arrow_types.get(c, pa.int8())):
-                        # an all-null column is written without statistics
-                        out.append((path, c, meta.num_rows, 0, True))
-                        continue
-                    idx = names.index(c)
-                    non_null, complete = 0, True
-                    for g in range(meta.num_row_groups):
-                        col = meta.row_group(g).column(idx)
-                        st = col.statistics
-                        if st is None or not st.has_null_count:
-                            complete = False
-                            break
-                        non_null += meta.row_group(g).num_rows - st.null_count
-                    out.append((path, c, meta.num_rows, non_null if complete else None, complete))
-            yield pd.DataFrame(out, columns=["path", "column_name", "rows", "non_null", "stats_complete"])
-
-    files = spark.createDataFrame([(p,) for p in paths], "path string")
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    per_file = files.repartition(n).mapInPandas(
-        read, "path string, column_name string, rows long, non_null long, stats_complete boolean")
-    return (per_file.groupBy("column_name")
-                    .agg(F.count(F.lit(1)).alias("files_with_column"),
-                         F.sum("rows").alias("rows_where_present"),
-                         F.sum("non_null").alias("non_null_rows"),
-                         F.bool_and("stats_complete").alias("stats_complete"))
-                    .withColumn("total_files", F.lit(len(paths)).cast("bigint"))
-                    .withColumn("non_null_pct",
-                                F.round(F.col("non_null_rows") * 100.0 / F.col("rows_where_present"), 1)))
+            for i, path in enumerate(named["path"]):
+                file = pq.ParquetFile(pa.BufferReader(named["content"][i])) if "content" in named else opener(path)
+                empty = {f.name for f in file.schema_arrow if pa.types.is_null(f.type)}
+                for g in range(file.metadata.num_row_groups):
+                    group = file.metadata.row_group(g)
+                    for k in range(group.num_columns):
+                        column = group.column(k)
+                        s, name = column.statistics, column.path_in_schema
+                        nulls = group.num_rows if name in empty else s.null_count if s is not None and s.has_null_count else None
+                        bounds = (str(s.min), str(s.max)) if s is not None and s.has_min_max else (None, None)
+                        out.append((path, g, name, group.num_rows, column.total_compressed_size, nulls, *bounds))
+            types = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            columns = list(zip(*out, strict=True)) or [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                             names=[c.split()[0] for c in ROW_GROUPS.split(", ")])
+
+    small = landed_files(spark, folder, pattern, small=True, content=True).mapInArrow(read, ROW_GROUPS)
+    return small.unionByName(landed_files(spark, folder, pattern, small=False).mapInArrow(read, ROW_GROUPS))
+
+
+def footer_column_profile(spark: SparkSession, folder: str, columns: Sequence[str], pattern: str = "*.parquet",
+                          stats: DataFrame | None = None) -> DataFrame:
+    """E16 from Parquet footers alone: per column, the files having it, the
+    rows of those files and their non-null rows (row-group null counts).
+
+    Where a writer left no null counts, ``stats_complete`` is false and the
+    non-null rows are NULL. ``stats`` is a written table of ``row_group_stats``.
+    """
+    stats = row_group_stats(spark, folder, pattern) if stats is None else stats
+    per_file = stats.groupBy("path", "column_name").agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("rows") - F.col("nulls")).alias("non_null"),
+        F.bool_and(F.col("nulls").isNotNull()).alias("complete"))
+    total = stats.agg(F.count_distinct("path").alias("total_files"))
+    out = (per_file.where(F.col("column_name").isin(*columns)).groupBy("column_name")
+           .agg(F.count(F.lit(1)).alias("files_with_column"), F.sum("rows").alias("rows_where_present"),
+                F.sum("non_null").alias("_non_null"), F.bool_and("complete").alias("stats_complete")))
+    return (out.crossJoin(total)      # one row, the number of files
+            .withColumn("non_null_rows", F.when(F.col("stats_complete"), F.col("_non_null")))
+            .withColumn("non_null_pct", F.round(F.col("non_null_rows") * 100.0 / F.col("rows_where_present"), 1)).drop("_non_null"))
+
+
+def partition_value(path: str = "path", column: str | None = None) -> Column:
+    """A partition column's value in a file's path (``column=value``); NULL for the folder of nulls."""
+    value = F.regexp_extract(path, rf"/{column}=([^/]+)/", 1)
+    return F.when(~value.isin("", "__HIVE_DEFAULT_PARTITION__"), value)
+
+
+def layout_summary(stats: DataFrame, partition: str, column: str, kind: str = "bigint") -> DataFrame:
+    """E10 from footers: per partition value its files, rows, and the clustering column's bounds, nulls and depth.
+
+    The depth is the largest number of files whose ranges of the column hold
+    one value, by a sweep over the ranges' ends: 1 where files of a partition
+    don't overlap. ``kind`` is the column's type.
+    """
+    files = (stats.where(F.col("column_name") == column).withColumn("partition_value", partition_value("path", partition))
+             .groupBy("partition_value", "path")
+             .agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"),
+                  F.min(F.col("min_value").try_cast(kind)).alias("lo"), F.max(F.col("max_value").try_cast(kind)).alias("hi")))
+    ends = files.where("lo is not null").select("partition_value", F.inline(F.array(
+        F.struct(F.col("lo").alias("at"), F.lit(0).alias("side"), F.lit(1).alias("step")),
+        F.struct(F.col("hi").alias("at"), F.lit(1).alias("side"), F.lit(-1).alias("step")))))
+    sweep = Window.partitionBy("partition_value").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    depth = (ends.withColumn("open", F.sum("step").over(sweep)).groupBy(F.col("partition_value").alias("_value"))
+             .agg(F.max("open").alias("depth")))
+    whole = files.groupBy("partition_value").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"),
+        F.min("lo").alias("min_value"), F.max("hi").alias("max_value"))
+    return whole.join(depth, F.col("partition_value").eqNullSafe(F.col("_value")), "left").drop("_value")

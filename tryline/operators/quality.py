@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tryline.functions.leagues import CATEGORICAL_LEAGUES, TIMESERIES_LEAGUES
@@ -33,6 +33,17 @@ def accepted_values(df: DataFrame, column: str, values: Iterable[str]) -> DataFr
     return df.where(F.col(column).isNotNull() & ~F.col(column).isin(*values))
 
 
+def repeated_hashes(df: DataFrame, column: str) -> DataFrame:
+    """One row with the number of 64-bit hashes that several non-null values of ``column`` share.
+
+    Eight bytes a row are shuffled, not the values. 0 proves the column
+    unique; otherwise ``unique`` tells which values repeat, if any.
+    """
+    keys = df.where(F.col(column).isNotNull()).select(F.xxhash64(column).alias("_h"))
+    twice = keys.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return twice.agg(F.count(F.lit(1)).alias("failures"))
+
+
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-null key has no parent (left anti join;
     AQE broadcasts the parent keys only when they measure small)."""
@@ -64,12 +75,6 @@ def inverse_violations(stg: DataFrame, tolerance: float = 1e-6) -> DataFrame:
                    F.count_if(F.abs(F.col("diff_sum")) > tolerance).alias("inverse_violations"))
 
 
-def one_sided_matches(stg: DataFrame) -> DataFrame:
-    """E17 companion: matches with a single team row."""
-    return (stg.groupBy("match_id").agg(F.count(F.lit(1)).alias("rows"))
-               .where(F.col("rows") == 1).agg(F.count(F.lit(1)).alias("one_sided_matches")))
-
-
 # --- declared tests and the gate (J6) -------------------------------------------
 
 
@@ -193,6 +198,67 @@ def quality_report(models: dict[str, DataFrame], tests: Sequence[Test] | None =
     return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
 
+REPORT_SCHEMA = "model string, column_name string, test string, failures bigint, status string"
+ROW_KINDS = ("not_null", "accepted_values")
+
+
+def observe_row_tests(df: DataFrame, tests: Sequence[Test]) -> tuple[DataFrame, Observation]:
+    """``df`` with the violations of row-level ``tests`` counted while it is next written or read to the end."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(_row_condition(t)).alias(f"r{i}") for i, t in enumerate(tests)]), seen
+
+
+def observed_failures(seen: Observation, tests: Sequence[Test]) -> dict[Test, int]:
+    """What ``observe_row_tests`` counted; call it after the action."""
+    got = seen.get
+    return {t: int(got.get(f"r{i}") or 0) for i, t in enumerate(tests)}
+
+
+def _failing_rows(models: dict[str, DataFrame], t: Test) -> DataFrame:
+    """One row with the number of failures of a test that needs a shuffle or a view."""
+    df = models[t.model]
+    if t.kind == "unique":
+        return repeated_hashes(df, t.column)
+    if t.kind == "relationships":
+        # counted per key first: what is joined is one row per key
+        parent, column = t.to
+        per_key = df.groupBy(t.column).agg(F.count(F.lit(1)).alias("_n"))
+        return relationships(per_key, t.column, models[parent], column).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+    return violations(models, t).agg(F.count(F.lit(1)).alias("failures"))
+
+
+def remaining_failures(models: dict[str, DataFrame], tests: Sequence[Test]) -> dict[Test, int]:
+    """Failures of tests that no write could count: one job over written models, one more if a hash repeats."""
+    row_wise: dict[str, list[Test]] = {}
+    parts = []
+    for i, t in enumerate(tests):
+        if t.kind in ROW_KINDS:
+            row_wise.setdefault(t.model, []).append(t)
+        else:
+            parts.append(_failing_rows(models, t).select(F.lit(i).alias("test"), F.col("failures").cast("bigint").alias("failures")))
+    for model, some in row_wise.items():
+        wide = models[model].agg(*[F.count_if(_row_condition(t)).alias(f"r{k}") for k, t in enumerate(some)])
+        pairs = F.array(*[F.struct(F.lit(tests.index(t)).alias("test"), F.col(f"r{k}").cast("bigint").alias("failures"))
+                          for k, t in enumerate(some)])
+        parts.append(wide.select(F.inline(pairs)))
+    if not parts:
+        return {}
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    out = {tests[r["test"]]: r["failures"] for r in every.collect()}
+    for t, n in out.items():
+        if t.kind == "unique" and n:
+            out[t] = violations(models, t).count()
+    return out
+
+
+def report_of(spark: SparkSession, failures: dict[Test, int]) -> DataFrame:
+    """The report: one row per test, in memory."""
+    rows = [(t.model, t.column, t.kind, n, "fail" if n else "pass") for t, n in failures.items()]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
 class QualityGateError(RuntimeError):
     pass
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 # --- fixture adapter: driver tables -> raw.* -------------------------------
 RAW_CTES = """
-lines AS (
+lines AS MATERIALIZED (
   SELECT CAST(l.l_suppkey AS VARCHAR) AS team_id, s.s_name AS team,
          CAST(l.l_orderkey AS VARCHAR) AS match_id, CAST(l.shipped AS DATE) AS game_date,
          l.l_quantity AS tries, CAST(l.l_linenumber AS DOUBLE) AS line_breaks,
@@ -19,20 +19,20 @@ lines AS (
         UNION ALL SELECT *, NULL FROM lineitem WHERE l_linenumber = 7) l
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
 ),
-lines_latest AS (
+lines_latest AS MATERIALIZED (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY team_id, match_id
               ORDER BY game_date DESC, l_linenumber, l_partkey, l_extendedprice) AS rn
     FROM lines) t WHERE rn = 1
 ),
 two_team AS (SELECT match_id FROM lines_latest GROUP BY match_id HAVING count(*) = 2),
-opp AS (
+opp AS MATERIALIZED (
   SELECT a.match_id, a.team_id, b.team_id AS team_vs_id, b.team AS team_vs, b.score AS team_vs_score
   FROM lines_latest a
   JOIN lines_latest b ON a.match_id = b.match_id AND a.team_id <> b.team_id
   WHERE a.match_id IN (SELECT match_id FROM two_team)
 ),
-raw_team_stats AS (
+raw_team_stats AS MATERIALIZED (
   SELECT l.*, o.team_vs_id, o.team_vs, o.team_vs_score
   FROM lines l LEFT JOIN opp o ON l.match_id = o.match_id AND l.team_id = o.team_id
 ),
@@ -118,8 +118,7 @@ int_team_game_metrics AS (
   LEFT JOIN stg_match_details md ON md.match_id = g.match_id
 ),
 fct_team_performance AS (
-  SELECT * REPLACE (team_game_key AS team_game_key),
-         avg(tries) OVER last_five AS tries_rolling_5, avg(line_breaks) OVER last_five AS line_breaks_rolling_5,
+  SELECT *, avg(tries) OVER last_five AS tries_rolling_5, avg(line_breaks) OVER last_five AS line_breaks_rolling_5,
          avg(territory) OVER last_five AS territory_rolling_5
   FROM int_team_game_metrics
   WINDOW last_five AS (PARTITION BY team_id ORDER BY game_date, match_id ROWS 4 PRECEDING)

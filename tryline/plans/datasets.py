@@ -7,6 +7,7 @@ and nested event records (A9).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from tryline.functions.leagues import tile_filter
 from tryline.operators import incremental
 from tryline.operators.staging import keep_first
+from tryline.session import shared_path
+from tryline.sinks.partitioned import write_bounded
 from tryline.sources.fixtures import RawTables, competition_columns, read_table
 
 TILE_COLUMNS = ("game_date", "team_name", "score_difference", "competition_id", "competition_name")
@@ -61,9 +64,10 @@ def detail_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
                        F.col("o_orderdate").cast("date").alias("game_date"),
                        F.year("o_orderdate").cast("bigint").alias("season"),
                        cid.alias("competition_id"), cname.alias("competition_name"))
+    # an order without a date is in the later snapshot
     a = (details.where(F.col("game_date") < F.lit("1997-01-01").cast("date"))
                 .withColumn("snapshot", F.lit("match_details_20240101")))
-    b = (details.where(F.col("game_date") >= F.lit("1996-01-01").cast("date"))
+    b = (details.where(F.coalesce(F.col("game_date") >= F.lit("1996-01-01").cast("date"), F.lit(True)))
                 .withColumn("competition_name", F.upper("competition_name"))
                 .withColumn("snapshot", F.lit("match_details_20240201")))
     return a, b
@@ -99,6 +103,28 @@ def drift_groups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return old, new
 
 
+def drift_files(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder with the two file groups of ``drift_groups``, in the shared folder; returns its path."""
+    root = shared_path(spark, f"landing/{uuid.uuid4().hex}")
+    for df in drift_groups(spark, sf_dir):
+        # the groups' files lie beside one another, as they land
+        df.write.mode("append").parquet(root)
+    return root
+
+
+#: Bytes per file of the laid-out copy of the lines, so that several files make a year.
+LAYOUT_BYTES = 4 << 20
+
+
+def laid_out_lines(spark: SparkSession, sf_dir: str) -> str:
+    """All lines in folders by ship year, ordered by supplier in size-bounded files; returns the path."""
+    root = shared_path(spark, f"layout/{uuid.uuid4().hex}")
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").alias("ship_year"), "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    write_bounded(lines, root, ["ship_year"], ["l_suppkey", "l_orderkey", "l_linenumber"], LAYOUT_BYTES)
+    return root
+
+
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested JSON record per event: ``{"name": ..., "types": [{"type": {"name": ...}}, ...]}``
     with the event type and the ``k`` value of its props as the two types."""

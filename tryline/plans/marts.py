@@ -12,11 +12,12 @@ executor only recomputes from the written table. ``close`` (or leaving the
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from tryline.operators import marts, metrics, staging
+from tryline.operators import marts, metrics, quality, staging
 from tryline.schemas import FCT_COLUMNS
 from tryline.session import ensure_checkpoint_dir
 from tryline.sinks.writers import MATERIALIZED, drop_materialized, materialize
@@ -109,22 +110,45 @@ class MartBuild:
             out["fct_team_performance"] = self.fct_core
         return out
 
-    def materialized_models(self) -> dict[str, DataFrame]:
-        """Build then test, as the reference does: the table-like models are
-        written once to the shared folder and re-read, and the views are
-        rebuilt lazily on the written fact core. Checks that each need their
-        own pass then scan small parquet files instead of recomputing the
-        staging chain once per check."""
-        spark = self.raw.spark
-        out: dict[str, DataFrame] = {}
-        for name in ("stg_teams", "stg_team_stats", "stg_match_details", "dim_teams"):
-            out[name] = materialize(spark, getattr(self, name), name)
-        # the core is built from the written staging tables, not from raw again
-        core_lazy = metrics.int_team_game_metrics(out["stg_team_stats"], out["stg_match_details"])
-        core = materialize(spark, core_lazy.select(*[c for c in FCT_COLUMNS if not c.endswith("_rolling_5")]),
-                           "fct_core")
-        out["int_team_game_metrics"] = core
-        out["fct_team_performance"] = core
-        out["vw_league_score_difference_timeseries"] = marts.vw_league_score_difference_timeseries(core)
-        out["vw_league_margin_categorical"] = marts.vw_league_margin_categorical(core)
-        return out
+    def build_and_test(self, write: Callable[[DataFrame, str], DataFrame] | None = None,
+                       rolling: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
+        """Every model built once, in the order of the DAG, and all declared tests; returns models and report.
+
+        Row-level tests are counted by the very writes that build the models
+        (an observation at the top of each). Uniqueness, references and
+        symmetry run over the written tables in one job, the views' row tests
+        in the same. Table models go through ``write(df, name)`` (say, into a
+        publication), all others to tables that ``close`` drops. Without
+        ``rolling`` the fact lacks its rolling means, which no test reads.
+        """
+        write = write or self.keep
+        tests = quality.declared_tests()
+        failures: dict[quality.Test, int | None] = dict.fromkeys(tests)
+        models: dict[str, DataFrame] = {}
+
+        def land(df: DataFrame, name: str, writer: Callable[[DataFrame, str], DataFrame], *also: str) -> DataFrame:
+            mine = [t for t in tests if t.model in (name, *also) and t.kind in quality.ROW_KINDS]
+            observed, seen = quality.observe_row_tests(df, mine)
+            models[name] = writer(observed, name)
+            failures.update(quality.observed_failures(seen, mine))
+            return models[name]
+
+        land(self.stg_teams, "stg_teams", self.keep)
+        land(marts.dim_teams(models["stg_teams"]), "dim_teams", write)
+        details = land(self.stg_match_details, "stg_match_details", self.keep)
+        # the enrichment join below fans out if details repeat a match id
+        repeats = [t for t in tests if t.model == "stg_match_details" and t.kind == "unique"]
+        failures.update(quality.remaining_failures(models, repeats))
+        quality.gate(quality.report_of(self.raw.spark, {t: failures[t] for t in repeats}))
+        core = metrics.int_team_game_metrics(land(self.stg_team_stats, "stg_team_stats", self.keep), details)
+        if rolling:
+            pieces = land(marts.range_pieces(core, pieces=self.pieces), "int_team_game_metrics", self.keep)
+            models["int_team_game_metrics"] = pieces.drop(marts.PIECE)
+            fact = land(marts.fct_team_performance(pieces), "fct_team_performance", write)
+        else:
+            fact = land(core, "fct_team_performance", self.keep, "int_team_game_metrics")
+            models["int_team_game_metrics"] = fact
+        models["vw_league_score_difference_timeseries"] = marts.vw_league_score_difference_timeseries(fact)
+        models["vw_league_margin_categorical"] = marts.vw_league_margin_categorical(fact)
+        failures.update(quality.remaining_failures(models, [t for t in tests if failures[t] is None]))
+        return models, quality.report_of(self.raw.spark, failures)

@@ -1,4 +1,4 @@
-"""Sinks: full-refresh tables, partitioned/clustered writes, exports.
+"""Sinks: full-refresh tables, snapshots, exports, materialisation.
 
 Writers act; everything upstream stays lazy.
 """
@@ -19,19 +19,6 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def partitioned_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: Sequence[str],
-                          mode: str = "overwrite") -> None:
-    """One directory per ``partition_by`` value, rows sorted by
-    ``cluster_by`` inside each file so parquet min/max stats skip row groups.
-
-    Repartitioning by the partition column first makes each value land in one
-    task, so each directory gets one file instead of one per task (X7).
-    """
-    (df.repartition(partition_by)
-       .sortWithinPartitions(partition_by, *cluster_by)
-       .write.mode(mode).partitionBy(partition_by).parquet(path))
-
-
 def dated_snapshot(df: DataFrame, root: str, name: str, run_date: str, mode: str = "overwrite") -> str:
     """Write ``{root}/{name}_{run_date}`` (a new snapshot per run)."""
     path = f"{root.rstrip('/')}/{name}_{run_date}"
@@ -39,51 +26,6 @@ def dated_snapshot(df: DataFrame, root: str, name: str, run_date: str, mode: str
     return path
 
 
-def per_entity_snapshots(df: DataFrame, root: str, labels: DataFrame, key: str = "team_id",
-                         label_col: str = "latest_date", mode: str = "overwrite") -> None:
-    """One output per entity under ``{key}={id}/{label_col}={label}``.
-
-    ``labels`` has one row per entity (E15); joining it back attaches each
-    entity's label to its rows, and entities without rows write nothing.
-    Repartitioning by the key first gives one file per entity.
-    """
-    (df.join(labels.select(key, label_col), key, "inner")
-       .repartition(key)
-       .write.mode(mode).partitionBy(key, label_col).parquet(root))
-
-
-def publish_version(df: DataFrame, root: str, version: str) -> str:
-    """B1 for readers that must never see a half-written table: write
-    ``{root}/v={version}``; the write's ``_SUCCESS`` marker makes it current.
-    A job that dies mid-write leaves an unmarked folder that readers skip,
-    and the previous version stays readable meanwhile."""
-    path = f"{root.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def latest_version_path(spark: SparkSession, root: str, marker: str = "_SUCCESS") -> str:
-    """Newest ``v=...`` folder under ``root`` that has ``marker``: ``_SUCCESS``
-    (written completely) or ``_PUBLISHED`` (written and passed the gate)."""
-    from tryline.sources.files import list_files
-    done = list_files(spark, root, f"v=*/{marker}")
-    if not done:
-        raise FileNotFoundError(f"no version with {marker} under {root}")
-    return done[-1].rsplit("/", 1)[0]
-
-
-def read_latest_version(spark: SparkSession, root: str, marker: str = "_SUCCESS") -> DataFrame:
-    return spark.read.parquet(latest_version_path(spark, root, marker))
-
-
-def mark_published(spark: SparkSession, version_path: str) -> None:
-    """Write the empty ``_PUBLISHED`` marker into a version folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{version_path.rstrip('/')}/_PUBLISHED")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.create(path, True).close()
-
-
 def export_json(df: DataFrame, path: str, order_by: Sequence[str] = (), limit: int | None = None) -> None:
     """Named query result as JSON lines, optionally the first ``limit`` rows
     of a total order (``limit`` is the feature here: a sample export)."""

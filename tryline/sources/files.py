@@ -117,27 +117,6 @@ def union_by_name(frames: Sequence[DataFrame], declared: T.StructType | None = N
     return out
 
 
-def footer_schemas(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``(path, schema)`` of each parquet file, footers read in parallel tasks.
-
-    Only the footer of each file is read (pyarrow), in ``mapInPandas`` over a
-    DataFrame of paths, so thousands of files are inspected by the executors
-    rather than one by one on the driver.
-    """
-    opener = parquet_opener()
-
-    def read(batches):
-        import pandas as pd
-        for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"],
-                                "schema": [opener(p).schema_arrow.to_string(show_schema_metadata=False)
-                                           for p in pdf["path"]]})
-
-    df = spark.createDataFrame([(p,) for p in paths], "path string")
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    return df.repartition(n).mapInPandas(read, "path string, schema string")
-
-
 def parquet_opener():
     """A function opening a pyarrow ParquetFile for a local path or any URI
     pyarrow's file systems resolve (only the footer is read until data is
@@ -159,24 +138,119 @@ def parquet_opener():
 
 #: Where a landed row came from: its file's name and its place in it.
 ORIGIN = ("_file", "_row")
+#: Files up to this size are read whole by the task that gets them; of larger ones only the footer is.
+SMALL_FILE = 64 << 20
+FOOTER = "path string, length long, rows long, schema string"
+
+
+def landed_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", small: bool | None = None,
+                 content: bool = False) -> DataFrame:
+    """``(path, length)`` of the files of ``folder``, listed by Spark; with ``content`` also their bytes.
+
+    ``small`` keeps those up to ``SMALL_FILE`` (or, if false, the others); the
+    size is checked before a file is opened.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    try:
+        found = files.load(folder.rstrip("/"))
+    except AnalysisException as e:
+        raise FileNotFoundError(f"No parquet files found in {folder}") from e
+    if small is not None:
+        found = found.where(F.col("length") <= SMALL_FILE if small else F.col("length") > SMALL_FILE)
+    return found.select("path", "length", *(["content"] if content else []))
+
+
+def footers(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+    """``(path, length, rows, schema)`` of each parquet file, read in tasks; no path reaches the driver.
+
+    Small files come as bytes through Spark's own file system, so any store
+    that Spark reads will do; of large ones the task opens the footer.
+    """
+    opener = parquet_opener()
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for batch in batches:
+            named = batch.to_pydict()
+            out = []
+            for i, path in enumerate(named["path"]):
+                file = pq.ParquetFile(pa.BufferReader(named["content"][i])) if "content" in named else opener(path)
+                out.append((path, named["length"][i], file.metadata.num_rows, file.schema_arrow.to_string(show_schema_metadata=False)))
+            columns = list(zip(*out, strict=True)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()),
+                                              pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.string())],
+                                             names=["path", "length", "rows", "schema"])
+
+    small = landed_files(spark, folder, pattern, small=True, content=True).mapInArrow(read, FOOTER)
+    return small.unionByName(landed_files(spark, folder, pattern, small=False).mapInArrow(read, FOOTER))
+
+
+def schema_groups(listing: DataFrame) -> list:
+    """One row per schema of a listing: ``schema, files, rows, bytes, sample, n_large``; all that reaches the driver."""
+    groups = (listing.groupBy("schema")
+              .agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("length").alias("bytes"),
+                   F.min("path").alias("sample"), F.count_if(F.col("length") > SMALL_FILE).alias("n_large")))
+    return sorted(groups.collect(), key=lambda g: g["sample"])
+
+
+def _read_small(spark: SparkSession, folder: str, pattern: str, listing: DataFrame, schema: str, shape: T.StructType) -> DataFrame:
+    """Rows of a schema group's small files, each file parsed in one task; rows carry their origin."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    fields = T.StructType([*shape.fields, T.StructField(ORIGIN[0], T.StringType()), T.StructField(ORIGIN[1], T.LongType())])
+    target = to_arrow_schema(shape, timestamp_utc=True)
+
+    def parse(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                at = 0
+                for rows in pq.ParquetFile(pa.BufferReader(content.as_buffer())).iter_batches():
+                    table = pa.Table.from_batches([rows]).select(target.names).cast(target, safe=False)
+                    n = len(table)
+                    table = table.append_column(ORIGIN[0], pa.array([path.rsplit("/", 1)[-1]] * n, pa.string()))
+                    table = table.append_column(ORIGIN[1], pa.array(range(at, at + n), pa.int64()))
+                    at += n
+                    yield from table.to_batches()
+
+    mine = listing.where((F.col("schema") == schema) & (F.col("length") <= SMALL_FILE)).select(F.col("path").alias("_path"))
+    files = landed_files(spark, folder, pattern, small=True, content=True)
+    # the listing decides which files belong to the group; contents are read where they are parsed
+    return files.join(mine, F.col("path") == F.col("_path"), "left_semi").select("path", "content").mapInArrow(parse, fields)
+
+
+def _read_large(spark: SparkSession, listing: DataFrame, schema: str, shape: T.StructType) -> DataFrame:
+    """Rows of a schema group's large files by Spark's reader (their paths: at most one per ``SMALL_FILE`` bytes of data)."""
+    paths = [r["path"] for r in listing.where((F.col("schema") == schema) & (F.col("length") > SMALL_FILE)).select("path").collect()]
+    return spark.read.schema(shape).parquet(*sorted(paths)).select(
+        "*", F.col("_metadata.file_name").alias(ORIGIN[0]), F.col("_metadata.row_index").alias(ORIGIN[1]))
 
 
 def read_drifting(spark: SparkSession, folder: str, declared: T.StructType,
-                  pattern: str = "*.parquet", origin: bool = False) -> DataFrame:
+                  pattern: str = "*.parquet", origin: bool = False, listing: DataFrame | None = None) -> DataFrame:
     """A3 for files whose schemas drift: group the files by footer schema, read
-    each group on its own (one consistent schema per read), conform it to the
-    declared types and union by name. The number of groups is the number of
-    schema versions, small even when the files are many. With ``origin``,
-    every row carries its file's name and its place in it."""
-    paths = list_files(spark, folder, pattern)
-    require_files(paths, folder)
-    groups = (footer_schemas(spark, paths).groupBy("schema")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
-    frames = [spark.read.parquet(*g["paths"]) for g in sorted(groups, key=lambda g: g["paths"][0])]
-    if origin:
-        frames = [f.select("*", F.col("_metadata.file_name").alias(ORIGIN[0]), F.col("_metadata.row_index").alias(ORIGIN[1]))
-                  for f in frames]
-    return union_by_name(frames, declared)
+    each group with its own schema, conform it to the declared types and union
+    by name. With ``origin``, every row carries its file's name and its place in it.
+
+    ``listing`` is a written table of ``footers``; without it one is written
+    to the shared folder. The driver sees one row per schema, and Spark's
+    reader gets paths of large files only.
+    """
+    if listing is None:
+        from tryline.sinks.writers import materialize
+        listing = materialize(spark, footers(spark, folder, pattern), "footers")
+    groups = schema_groups(listing)
+    require_files(groups, folder)
+    frames = []
+    for g in groups:
+        shape = spark.read.parquet(g["sample"]).schema
+        if g["files"] > g["n_large"]:
+            frames.append(_read_small(spark, folder, pattern, listing, g["schema"], shape))
+        if g["n_large"]:
+            frames.append(_read_large(spark, listing, g["schema"], shape))
+    out = union_by_name(frames, declared)
+    return out if origin else out.drop(*ORIGIN)
 
 
 # --- guards (A4) --------------------------------------------------------------

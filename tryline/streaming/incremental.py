@@ -5,8 +5,8 @@ missing, upsert, keep the first record". The same DataFrame operators run here
 through Structured Streaming with ``trigger(availableNow=True)``: each run
 processes only the files that arrived since the last run (tracked in the
 stream's checkpoint beside the table) and stops. ``foreachBatch`` applies
-the batch upsert and writes the table with a plain batch writer, so a lost
-executor re-runs the micro-batch from its recorded offsets.
+the batch upsert to a date-partitioned table, so a lost executor re-runs the
+micro-batch from its recorded offsets.
 """
 
 from __future__ import annotations
@@ -17,12 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tryline.operators.incremental import snapshot_upsert
-from tryline.sinks.writers import drop_materialized
-from tryline.sources.files import ORIGIN, list_files
-
-
-KEEP_VERSIONS = 2
+from tryline.sinks.partitioned import PartitionedTable
+from tryline.sources.files import ORIGIN
 
 
 def new_files_stream(spark: SparkSession, folder: str, schema: T.StructType,
@@ -44,44 +40,26 @@ def run_available(stream: DataFrame, process_batch: Callable[[DataFrame, int], N
     q.awaitTermination()
 
 
-def upsert_batches(spark: SparkSession, table_path: str, key: str, prefer: str = "existing") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: upsert each micro-batch into the parquet
-    table at ``table_path`` (H4 / M3 semantics).
+def upsert_batches(table: PartitionedTable) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: upsert each micro-batch into ``table`` (H4 / M3 semantics).
 
-    Every batch writes a new version, one above the last complete one,
-    whatever the stream's batch number; nothing that is read is overwritten.
-    A batch that runs again after its write upserts rows that are there
-    already, which changes nothing. Older versions than the last
-    ``KEEP_VERSIONS`` are removed.
+    Only the date partitions that a batch touches are read and replaced. A
+    batch that runs again after its write upserts rows that are there already,
+    which changes nothing; one that died while partitions were swapped is
+    finished first.
     """
     def process(batch: DataFrame, batch_id: int) -> None:
-        done = versions(spark, table_path)
-        rows = [c for c in batch.columns if c not in ORIGIN]
-        existing = spark.read.parquet(done[-1]).select(*rows) if done else batch.select(*rows).limit(0)
-        merged = snapshot_upsert(existing, batch, key=key, prefer=prefer if done else "new", order=ORIGIN)
-        number = int(done[-1].rsplit("v=", 1)[1]) + 1 if done else 0
-        merged.write.mode("overwrite").parquet(f"{table_path}/v={number:012d}")
-        drop_materialized(spark, done[:-(KEEP_VERSIONS - 1)])
+        table.upsert(batch)
     return process
 
 
-def versions(spark: SparkSession, table_path: str) -> list[str]:
-    """Complete versions (their write left a ``_SUCCESS`` marker), oldest first."""
-    return [p.rsplit("/", 1)[0] for p in list_files(spark, table_path, "v=*/_SUCCESS")]
-
-
-def latest_version(spark: SparkSession, table_path: str) -> str | None:
-    """Newest complete version."""
-    done = versions(spark, table_path)
-    return done[-1] if done else None
-
-
 def incremental_details_run(spark: SparkSession, landing: str, schema: T.StructType, table: str,
-                            key: str = "match_id", prefer: str = "existing") -> str | None:
-    """One scheduled run: upsert all newly landed files into ``table``; returns
-    the path of the current table version. The stream's checkpoint lies beside
+                            key: str = "match_id", prefer: str = "existing", date: str = "game_date") -> DataFrame:
+    """One scheduled run: upsert all newly landed files into ``table``, which is
+    partitioned by ``date``, and return it. The stream's checkpoint lies beside
     the table, so each table follows a folder for itself; should it get lost,
-    all files are upserted once more, into the next version."""
-    run_available(new_files_stream(spark, landing, schema), upsert_batches(spark, table, key, prefer),
-                  f"{table.rstrip('/')}_stream")
-    return latest_version(spark, table)
+    all files are upserted once more."""
+    target = PartitionedTable(spark, table, schema, key, date, prefer=prefer, order=ORIGIN)
+    target.recover()
+    run_available(new_files_stream(spark, landing, schema), upsert_batches(target), f"{table.rstrip('/')}_stream")
+    return target.read()
