@@ -1,7 +1,9 @@
-"""Planned analytics from the design notes (M1, M2, M4)."""
+"""Planned analytics from the design notes (M1, M2, M4, M5)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +31,16 @@ def freshness(df: DataFrame, run_date: str, max_age_days: int, min_rows: int,
     return (agg.withColumn("age_days", age)
                .withColumn("is_fresh", F.coalesce(F.col("age_days") <= max_age_days, F.lit(False)))
                .withColumn("has_min_rows", F.col("row_count") >= min_rows))
+
+
+def available_means(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """M5: per ``keys`` and metric, rows whose file lacks the column (``_absent``), rows where it is NULL
+    (``_null``), and the mean of the rest; NULL means that no file had a value, not zero.
+
+    ``df`` comes from ``read_drifting(..., available=metrics)``.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for m in metrics:
+        there = F.col(f"{m}_available")
+        aggs += [F.count_if(~there).alias(f"{m}_absent"), F.count_if(there & F.col(m).isNull()).alias(f"{m}_null"), F.avg(m).alias(f"{m}_mean")]
+    return df.groupBy(*keys).agg(*aggs)

@@ -511,6 +511,25 @@ def e16(spark, sf):
                       F.col("total_files").alias("total_sources"), "non_null_pct")
 
 
+@register("m5_available_means", f"""
+WITH {_GROUPS_SQL},
+landed AS (
+  SELECT l_suppkey, l_discount, l_tax, TRUE AS there FROM new_files
+  UNION ALL SELECT l_suppkey, NULL, NULL, FALSE FROM old_files)
+SELECT l_suppkey, count(*) AS rows,
+       count(*) FILTER (WHERE NOT there) AS l_discount_absent, count(*) FILTER (WHERE there AND l_discount IS NULL) AS l_discount_null,
+       round(avg(l_discount), 6) AS l_discount_mean,
+       count(*) FILTER (WHERE NOT there) AS l_tax_absent, count(*) FILTER (WHERE there AND l_tax IS NULL) AS l_tax_null,
+       round(avg(l_tax), 6) AS l_tax_mean
+FROM landed GROUP BY l_suppkey""")
+def m5(spark, sf):
+    from pyspark.sql.types import StructType
+    metrics = ["l_discount", "l_tax"]
+    rows = files.read_drifting(spark, DS.drift_files(spark, sf), StructType([]), available=metrics)
+    out = extras.available_means(rows, ["l_suppkey"], metrics)
+    return out.withColumns({f"{m}_mean": F.round(f"{m}_mean", 6) for m in metrics})
+
+
 @register("e10_layout_from_footers", """
 SELECT CAST(year(l_shipdate) AS VARCHAR) AS partition_value, count(*) AS rows, count(*) - count(l_suppkey) AS nulls,
        min(l_suppkey) AS min_value, max(l_suppkey) AS max_value, TRUE AS ordered

@@ -150,7 +150,7 @@ def landed_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", s
     ``small`` keeps those up to ``SMALL_FILE`` (or, if false, the others); the
     size is checked before a file is opened.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     try:
         found = files.load(folder.rstrip("/"))
     except AnalysisException as e:
@@ -228,14 +228,17 @@ def _read_large(spark: SparkSession, listing: DataFrame, schema: str, shape: T.S
 
 
 def read_drifting(spark: SparkSession, folder: str, declared: T.StructType,
-                  pattern: str = "*.parquet", origin: bool = False, listing: DataFrame | None = None) -> DataFrame:
+                  pattern: str = "*.parquet", origin: bool = False, listing: DataFrame | None = None,
+                  available: Sequence[str] = ()) -> DataFrame:
     """A3 for files whose schemas drift: group the files by footer schema, read
     each group with its own schema, conform it to the declared types and union
     by name. With ``origin``, every row carries its file's name and its place in it.
 
     ``listing`` is a written table of ``footers``; without it one is written
     to the shared folder. The driver sees one row per schema, and Spark's
-    reader gets paths of large files only.
+    reader gets paths of large files only. For each column of ``available``,
+    ``{column}_available`` tells whether the row's file has it: a value that
+    is NULL there and one that never was landed stay apart (M5).
     """
     if listing is None:
         from tryline.sinks.writers import materialize
@@ -249,6 +252,8 @@ def read_drifting(spark: SparkSession, folder: str, declared: T.StructType,
             frames.append(_read_small(spark, folder, pattern, listing, g["schema"], shape))
         if g["n_large"]:
             frames.append(_read_large(spark, listing, g["schema"], shape))
+        here = 1 if g["n_large"] in (0, g["files"]) else 2
+        frames[-here:] = [f.select("*", *[F.lit(c in shape.names).alias(f"{c}_available") for c in available]) for f in frames[-here:]]
     out = union_by_name(frames, declared)
     return out if origin else out.drop(*ORIGIN)
 
