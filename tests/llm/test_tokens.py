@@ -126,7 +126,7 @@ def test_expected_counts_equal_enumeration(pieces):
 def samples(texts, keys, k, pieces, logp):
     out = []
     for c in chunks(pa.array(texts, pa.string())):
-        out += list(G.sample_chunk(c, np.array(keys, U64), k, pieces, logp))
+        out += list(G.sample_chunk(c, np.array(keys, U64)[c.rows], k, G.UnitStore(pieces, logp)))
     return out
 
 
@@ -137,14 +137,65 @@ def test_samples_are_distinct_decodable_and_complete(pieces):
         assert len({s[0].tobytes() for s in found}) == len(found) >= 1
         assert all(G.decode(s[0], pieces) == t for s in found)
         assert [s[2] for s in found] == sorted((s[2] for s in found), reverse=True)
-    logp = G.piece_logp(pieces, 0.3)      # flat enough that no segmentation is beyond the arithmetic
-    few = paths(b" ab", pieces, logp, False)
-    [found] = samples(["ab"], [7], 50, pieces, logp)
+
+
+@pytest.mark.parametrize("word", ["ab", "of", "the"])
+def test_all_segmentations_of_a_word_at_production_sharpness(pieces, word):
+    """However small their shares (10^-19 for letters one by one), all are found, and only then are scores 1."""
+    logp = G.piece_logp(pieces, 1.0)
+    few = paths(b" " + word.encode(), pieces, logp, False)
+    [found] = samples([word], [7], len(few) + 5, pieces, logp)
     assert {tuple(s[0].tolist()) for s in found} == set(few) and all(s[3] == 1.0 for s in found)
+    [found] = samples([word], [7], len(few) - 1, pieces, logp)
+    assert len(found) == len(few) - 1 and all(0.0 < s[3] <= 1.0 for s in found)
     z = math.log(sum(map(math.exp, few.values())))
     assert all(abs(s[1] - (few[tuple(s[0].tolist())] - z)) < 1e-6 for s in found)
 
 
+def test_every_word_of_the_vocabulary_can_be_sampled(pieces):
+    """All one-word texts that are pieces themselves, at k = 2, 8 and 64: no error, distinct, exact."""
+    logp = G.piece_logp(pieces, 1.0)
+    words = sorted({pieces.bytes_of[i][1:].decode() for i in np.flatnonzero(pieces.normal) if pieces.bytes_of[i][:1] == b" " and len(pieces.bytes_of[i]) > 1})
+    assert len(words) > 10_000
+    for k, some in ((2, words), (8, words), (64, words[::20])):
+        for w, found in zip(some, samples(some, range(len(some)), k, pieces, logp), strict=True):
+            assert len({s[0].tobytes() for s in found}) == len(found) >= 1
+            assert all(G.decode(s[0], pieces) == w for s in found[:2])
+
+
+def test_samples_are_the_top_k_of_gumbel_keys(pieces):
+    """Ordered samples follow the law of the k largest perturbed values over all segmentations: drawn one after
+    another by probability among those left. Checked by frequency of ordered pairs."""
+    logp = G.piece_logp(pieces, 0.5)
+    every = paths(b" ano", pieces, logp, False)
+    z = sum(map(math.exp, every.values()))
+    p = {a: math.exp(w) / z for a, w in every.items()}
+    n, seen = 6000, {}
+    for found in samples(["ano"] * n, range(n), 2, pieces, logp):
+        pair = tuple(tuple(f[0].tolist()) for f in found)
+        seen[pair] = seen.get(pair, 0) + 1 / n
+    for a in p:
+        for b in p:
+            if a != b:
+                want = p[a] * p[b] / (1 - p[a])
+                assert abs(seen.get((a, b), 0) - want) < 5 * math.sqrt(want / n) + 1e-3
+
+
+def test_samples_do_not_depend_on_the_texts_beside_them(pieces):
+    """Alone, in one chunk with others, and with a store that has seen others: the same bits."""
+    logp = G.piece_logp(pieces, 1.0)
+    texts = ["the anonth of the work", "ab of common clubs", "x" * 3000 + " é中", "Mississippi work the"] * 3
+    alone = [samples([t], [i], 5, pieces, logp)[0] for i, t in enumerate(texts)]
+    beside = samples(texts, range(len(texts)), 5, pieces, logp)
+    store = G.UnitStore(pieces, logp)
+    again = []
+    for i in reversed(range(len(texts))):
+        [c] = chunks(pa.array([texts[i]], pa.string()))
+        again.insert(0, list(G.sample_chunk(c, np.array([i], U64), 5, store))[0])
+    plain = lambda found: [[(s[0].tolist(), *s[1:]) for s in f] for f in found]
+    assert plain(alone) == plain(beside) == plain(again)
+
+
 def test_sampling_follows_the_lattice(pieces):
     """First samples are drawn with their probabilities; the estimator by inclusion scores is unbiased."""
     logp = G.piece_logp(pieces, 1.0)

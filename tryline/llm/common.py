@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,32 @@ from tryline.sinks.writers import drop_materialized
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+def worker_cache() -> dict:
+    """Objects that outlive a task in a reused Python worker.
+
+    Task functions travel by value, so a module's own globals begin anew with
+    every task. What is kept here must be bounded and must not change results.
+    """
+    holder = sys.modules.setdefault("_tryline_worker", types.ModuleType("_tryline_worker"))
+    return holder.__dict__.setdefault("cache", {})
+
+
+def with_row_key(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with ``__file`` and ``__at``, the name of each row's file and its place in it.
+
+    Unlike a running number they are the same whenever the rows are read.
+    Rows that don't come straight from files are written first.
+    """
+    def keyed(df: DataFrame) -> DataFrame:
+        meta = df.metadataColumn("_metadata")
+        return df.select("*", meta["file_name"].alias("__file"), meta["row_index"].alias("__at"))
+
+    try:
+        return keyed(docs)
+    except AnalysisException:
+        return keyed(scratch.table(docs, "rows"))
+
+
 class Scratch:
     """Tables of one operator run, written below ``spark.checkpoint.dir``.
 

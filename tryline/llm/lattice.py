@@ -165,12 +165,15 @@ class _Substrings:
 
 
 def _log_sums(lat: Lattice, weight: np.ndarray, source: np.ndarray, target: np.ndarray, begin: np.ndarray,
-              offset: np.ndarray) -> np.ndarray:
-    """Log-space recursion over all units at once: nodes in order of their ``offset`` from ``begin``."""
+              offset: np.ndarray, stable: bool = False) -> np.ndarray:
+    """Log-space recursion over all units at once: nodes in order of their ``offset`` from ``begin``.
+
+    ``stable``: a unit's sums don't depend, in their last bits, on the units beside it.
+    """
     n_nodes = int(lat.last[-1]) + 1 if len(lat.last) else 0
     value = np.full(n_nodes, -np.inf)
     value[begin] = 0.0
-    order = np.argsort(offset[target] * n_nodes + target)
+    order = np.argsort(offset[target] * n_nodes + target, kind="stable" if stable else None)
     src, dst, w = source[order], target[order], weight[order]
     step = offset[dst]
     edges = np.flatnonzero(np.diff(step)) + 1 if len(step) else np.zeros(0, np.int64)
@@ -197,10 +200,10 @@ def forward(lat: Lattice, weight: np.ndarray) -> np.ndarray:
     return _log_sums(lat, weight, lat.tail, lat.head, lat.first, offsets_of(lat))
 
 
-def backward(lat: Lattice, weight: np.ndarray) -> np.ndarray:
+def backward(lat: Lattice, weight: np.ndarray, stable: bool = False) -> np.ndarray:
     """The same from each node to its unit's end."""
     size = lat.last - lat.first
-    return _log_sums(lat, weight, lat.head, lat.tail, lat.last, np.repeat(size, size + 1) - offsets_of(lat))
+    return _log_sums(lat, weight, lat.head, lat.tail, lat.last, np.repeat(size, size + 1) - offsets_of(lat), stable)
 
 
 def marginals(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces, logp: np.ndarray) -> np.ndarray:
