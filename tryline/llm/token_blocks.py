@@ -38,13 +38,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tryline.llm.common import Scratch
+from tryline.llm.common import Scratch, worker_cache
 from tryline.llm.lattice import HashIndex
 from tryline.llm.textops import U64, Chunk, chunks, span_hashes
 
 BLOCK = 128
 PERCENTILE = 0.9
 SHARD_TOKENS = 4 << 20
+#: Shards that a reading task takes one after another, where there are very many.
+SHARDS_PER_READ = 64
 #: Texts encoded together, in bytes.
 ENCODE_CHUNK = 4 << 20
 CACHE_PIECES = 1_000_000
@@ -313,7 +315,10 @@ def _write(folder: str, tokenizer: str, end_id: int):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         fs, root = _file_system(folder)
-        encoder = Encoder(tokenizer)
+        kept = worker_cache()
+        if kept.get("encoder_of") != tokenizer:
+            kept["encoder_of"], kept["encoder"] = tokenizer, Encoder(tokenizer)
+        encoder: Encoder = kept["encoder"]
         task = TaskContext.get().partitionId()
         end = np.array([end_id], np.uint32)
         docs: list[int | None] = []
@@ -358,9 +363,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_c
     ranged = texts.repartitionByRange("id").sortWithinPartitions("id")
     manifest = ranged.mapInArrow(_write(f"{folder}/shards", tokenizer, end_id), "task long, seq long, path string, docs long, tokens long")
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
-    # one row per shard, not per document
-    before = Window.orderBy("task", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    return spark.read.parquet(f"{folder}/manifest").withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    shards = spark.read.parquet(f"{folder}/manifest")
+    # offsets of tasks (one row each), then of a task's shards
+    tasks = shards.groupBy(F.col("task").alias("__task")).agg(F.sum("tokens").alias("__tokens"))
+    earlier = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select("__task", F.coalesce(F.sum("__tokens").over(earlier), F.lit(0)).alias("__start"))
+    before = Window.partitionBy("task").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    placed = shards.withColumn("__in", F.coalesce(F.sum("tokens").over(before), F.lit(0))).join(tasks, F.col("task") == F.col("__task"))
+    return placed.select(*shards.columns, (F.col("__start") + F.col("__in")).alias("start"))
 
 
 def _read(folder: str):
@@ -384,7 +394,9 @@ def _read(folder: str):
 
 def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     """``(id, start, n_tokens, ids)`` of every document in the shards; ``ids`` are little-endian uint32."""
-    shards = manifest.select("path", "start").repartition(max(1, manifest.count()))
+    n = manifest.count()
+    tasks = min(n, max(16 * manifest.sparkSession.sparkContext.defaultParallelism, n // SHARDS_PER_READ))
+    shards = manifest.select("path", "start").repartition(max(1, tasks))
     return shards.mapInArrow(_read(f"{folder}/shards"), "id long, start long, n_tokens long, ids binary")
 
 
