@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tryline.llm import fair_mix, rule_ledger, secret_scan
@@ -28,18 +28,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of every near-duplicate group (operator 1: five words, similarity 0.8).
+    """One row of every near-duplicate group (operator 1: five words, similarity 0.8): that of the smallest id.
 
-    Documents without words and rows with null id are groups of their own;
-    of rows that share an id the first by text stays.
+    Rows are told apart by a number of their own, whatever their ids: rows of
+    one id with different texts are different documents, and rows without id
+    link like all others (they are last in their groups). Rows without words
+    are groups of their own.
     """
-    comp = Scratch(spark, "near-duplicates").table(ngram_jaccard_components(docs, size=5, percent=80), "components")
-    gone = comp.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if comp.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        kept = kept.withColumn("__nth", nth).where("__nth = 1 or doc_id is null").drop("__nth")
-    return kept
+    scratch = Scratch(spark, "near-duplicates")
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.when(F.col("doc_id").isNull(), 2).otherwise(F.col("n")))).first()[0]
+    if (ids or 0) > 1:
+        # the ids name no row: a written running number does
+        rows = scratch.table(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    else:
+        rows = docs.withColumn("__row", F.col("doc_id"))
+    comp = scratch.table(ngram_jaccard_components(rows, id_col="__row", size=5, percent=80), "components")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))
+    kept = comp.select("__row", "component_id").join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(first.alias("k"))
+    kept = scratch.table(kept.select(F.col("k.__row").alias("__kept")), "kept")
+    return rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,5 +60,15 @@ def test_repeated_rows_leave_one(spark):
     assert sum(r.doc_id is None for r in got) == 2
 
 
+def test_ids_that_name_no_row(spark):
+    """Different texts under one id both stay; copies without an id go like others, and behind those with one."""
+    rng = random.Random(7)
+    a, b, c, d = (clean(rng) for _ in range(4))
+    rows = [(1, a), (1, b), (2, b), (None, c), (None, c), (None, a), (3, d), (3, d), (5, None), (5, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (None, c), (3, d), (5, None), (5, None), (None, "")], key=str)
+
+
 def test_policies_only_add_rules():
     assert all(p.mask & rule_ledger.BASE.mask == rule_ledger.BASE.mask for p in rule_ledger.POLICIES.values())

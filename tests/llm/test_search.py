@@ -167,3 +167,18 @@ def test_pages_table(spark):
     assert len(got) == len(PAGES) + 1 and all(r.n_chars == len(r.text) for r in got)
     assert {r.page_id: r.text for r in got if r.page_id is not None} == {i: w for i, (_, w) in enumerate(PAGES)}
     assert html_text.extract_main_text(df.limit(0)).collect() == []
+
+
+def test_large_components_are_exact_or_an_error(spark):
+    """Components above 2^40 keep their value and order; scores that could wrap raise."""
+    import pytest
+    rows = [(0, [1.0, 0.0]), (1, [2.0 ** 41, 0.0]), (2, [2.0 ** 43, 1.0]), (3, [5 * 2.0 ** 40, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in bsi_topk.bsi_topk(df, F.col("vec_id") == 0, k=3, scale=1).orderBy("rank").collect()]
+    assert got == [(2, 2 ** 43), (3, 5 * 2 ** 40), (1, 2 ** 41)]
+    wide = spark.createDataFrame([(0, [2.0 ** 40]), (1, [2.0 ** 41])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        bsi_topk.bsi_topk(wide, F.col("vec_id") == 0, k=3, scale=1).collect()
+    huge = spark.createDataFrame([(0, [1e300])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="doesn't fit"):
+        bsi_topk.bsi_topk(huge, F.col("vec_id") == 0, k=3, scale=64).collect()

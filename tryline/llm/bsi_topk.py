@@ -20,8 +20,9 @@ take no part, neither as rows nor as queries; vectors of different lengths
 are compared on their common components; ties go to the smaller id; a query
 has as many results as there are other rows, ``k`` at most. Rows of equal id
 are candidates each, and a query excludes every row of its own id; equal
-query rows are answered once. Rows with null id take no part. Quantised
-components are exact up to 2^40 in magnitude, larger ones saturate there.
+query rows are answered once. Rows with null id take no part. Nothing
+is cut or wrapped: components beyond 2^62 in magnitude, and blocks whose
+scores could pass 2^62, raise an error.
 """
 
 from __future__ import annotations
@@ -38,15 +39,16 @@ from tryline.llm.common import Scratch
 
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 128
-LIMIT = float(1 << 40)
+#: Magnitudes of components and scores stay below this, so that no sum wraps.
+LIMIT = float(1 << 62)
 
 
 def quantise(vec: Column, scale: int) -> Column:
     """``array<long>`` of floor(scale * x); null unless all components are finite numbers."""
     good = vec.isNotNull() & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    clip = F.transform(vec, lambda x: F.least(F.greatest(F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"), F.lit(-LIMIT)),
-                                              F.lit(LIMIT)).cast("long"))
-    return F.when(good, clip)
+    whole = F.transform(vec, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    too_large = F.exists(vec, lambda x: F.abs(F.lit(float(scale)) * x.cast("double")) >= LIMIT)
+    return F.when(good, F.when(too_large, F.raise_error(F.lit("a quantised component doesn't fit"))).otherwise(whole))
 
 
 def _add(sums: list, level: int, carry: np.ndarray) -> None:
@@ -165,6 +167,11 @@ def _search(k: int):
             for r in batch.to_pylist():
                 block = Block(*_unpack_block(r, "r_"))
                 ids, queries = _unpack_block(r, "q_")
+                m = min(queries.shape[1], block.values.shape[1])
+                # the largest sum any pair could reach, by magnitudes
+                most = np.abs(queries[:, :m].astype(float)).max(0, initial=0.0) @ np.abs(block.values[:, :m].astype(float)).max(0, initial=0.0)
+                if most >= LIMIT:
+                    raise OverflowError("inner products of these vectors can exceed 64 bits; use a smaller scale")
                 out: list[tuple] = []
                 for at, (qid, q) in enumerate(zip(ids.tolist(), queries, strict=True)):
                     hit = block.top(q, k, qid)

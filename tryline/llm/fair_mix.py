@@ -31,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tryline.llm.common import WORD_PATTERN, Scratch
+from tryline.llm.common import WORD_PATTERN, Scratch, with_row_key
 
 MAX_EPOCHS = 3
 ROWS_PER_BLOCK = 500
@@ -146,9 +146,9 @@ def occurrences(sized: DataFrame, scratch: Scratch, weight: Callable[[Column], C
     return out.where("position <= budget").select("uid", "id", "size", "epoch", "position")
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
-                       F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+                       F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *keep)
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -167,17 +167,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         weight: Callable[[Column], Column] = rank_weights, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mixed documents themselves: one row per taken occurrence, ranged by position, with ``docs``' columns."""
     scratch = Scratch(docs.sparkSession, "fair-mix")
-    sized = scratch.table(_sized(docs, id_col, text_col, source_col), "sized")
-    taken = occurrences(sized, scratch, weight, max_epochs)
-    # rows of one id are told apart by their rank, equal on both sides
-    by_id = Window.partitionBy("__id").orderBy("__size", "__source")
-    ranks = sized.select(F.col("id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__source"), "uid") \
-        .withColumn("__rank", F.row_number().over(Window.partitionBy("__id").orderBy("__size", "__source", "uid")))
-    plan = taken.select("uid", "position").join(ranks.select("uid", "__id", "__rank"), "uid").select(
-        F.col("__id").alias("__id2"), F.col("__rank").alias("__rank2"), F.col("position").alias("__position"))
-    named = docs.withColumns({"__id": F.col(id_col), "__size": word_count(F.col(text_col)), "__source": F.col(source_col)})
-    named = named.withColumn("__rank", F.row_number().over(by_id))
-    out = named.join(plan, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__rank") == F.col("__rank2")))
+    # texts are shuffled twice: beside the plan by their row, and into their order
+    keyed = with_row_key(docs, scratch)
+    sized = scratch.table(_sized(keyed, id_col, text_col, source_col, ("__file", "__at")), "sized")
+    taken = occurrences(sized.drop("__file", "__at"), scratch, weight, max_epochs)
+    plan = scratch.table(taken.select("uid", "position").join(sized.select("uid", "__file", "__at"), "uid").select(
+        F.col("__file").alias("__file2"), F.col("__at").alias("__at2"), F.col("position").alias("__position")), "plan")
+    scratch.drop(*[name for name in scratch.paths if name not in ("plan", "rows")])
+    out = keyed.join(plan, (F.col("__file") == F.col("__file2")) & (F.col("__at") == F.col("__at2")))
     return out.repartitionByRange("__position").sortWithinPartitions("__position").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
