@@ -6,8 +6,10 @@ length and commas to their ancestors, less with every level; a container's
 sum is discounted by its link density. The best container is kept, widened to
 the article element around it, together with siblings that score a tenth of
 it. Where no element or name tells the main text, every sibling of few links
-stays with it: lists, tables, sections, loose text. What is a menu, header, footer, sidebar, notice, advert, form or
-comment by its element, role, class or id is left out wherever it stands. A
+stays with it: lists, tables, sections, loose text. What is a menu, header,
+footer, sidebar, notice, advert, form or comment by its element, role, class or
+id is left out wherever it stands; only an article's own header, inside it and
+with a heading and few links, is text. A
 class, an id or a form alone does not take out a heading, what holds an
 article or main element, or a third of the page's unlinked text: these stay
 in the scoring, for a part of their points, and go only if the best container
@@ -22,13 +24,15 @@ empty text. Unclosed tags end with their parent, an unclosed comment or
 script with the page, a cut-off tag at the end is dropped. If leaving out
 by class or id leaves no text, only elements and roles count (a form without
 an article, main element or third of the text still goes). Nesting may be
-any depth. Equal pages give equal texts. Other columns are not read.
+any depth; the time is linear in the page (but for a logarithm in the nesting
+of lists and tables). Equal pages give equal texts. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -82,67 +86,70 @@ _ENDS = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "d
          "option": ("option", ("select",)), "tbody": ("tbody thead tfoot tr td th", ("table",)),
          "thead": ("tbody thead tfoot tr td th", ("table",)), "tfoot": ("tbody thead tfoot tr td th", ("table",))}
 _PARAGRAPH = frozenset("p pre blockquote td dd".split())
+COMMAS = ",،，、"
 LEAST_PARAGRAPH = 25
 LEVELS = 5
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "up", "kids", "chars", "linked", "score", "mark", "weight", "plain", "holds")
+    __slots__ = ("tag", "attrs", "up", "kids", "chars", "linked", "score", "mark", "weight", "plain", "holds", "commas", "lead")
 
     def __init__(self, tag: str, attrs: str, up: Node | None):
         self.tag, self.attrs, self.up, self.kids = tag, attrs, up, []
-        self.chars = self.linked = self.plain = 0
+        self.chars = self.linked = self.plain = self.commas = 0
+        self.lead = False
         self.score, self.weight = 0.0, 1.0
         self.mark, self.holds = "", ""
 
 
 def parse(page: str) -> Node:
-    """The page's tree; texts are kids of type str, decoded."""
+    """The page's tree; texts are kids of type str, decoded.
+
+    ``path`` holds the open elements and ``depths`` their places by tag, so
+    that each tag finds what it ends without walking the open elements.
+    """
     root = Node("#root", "", None)
-    at, pos, n = root, 0, len(page)
+    path: list[Node] = [root]
+    depths: dict[str, list[int]] = {}
+    pos, n = 0, len(page)
+
+    def close(depth: int) -> None:
+        while len(path) > depth:
+            depths[path.pop().tag].pop()
+
     while pos < n:
         m = _TOKEN.match(page, pos)
         pos = m.end()
         tag = m[2] or m[5]
         if tag is None:
             if page[m.start()] != "<" or m.end() - m.start() == 1:
-                at.kids.append(html.unescape(m[0]))
+                path[-1].kids.append(html.unescape(m[0]))
             continue
         tag = tag.lower()
         if m[1] or m[4]:
-            x = at
-            while x is not None and x.tag != tag:
-                x = x.up
-            if x is not None and x.up is not None:
-                at = x.up
+            if depths.get(tag):
+                close(depths[tag][-1])
             continue
-        if tag in BLOCK:
-            # a block element ends an open paragraph
-            x = at
-            while x is not None and x.tag != "p" and (x.tag not in BLOCK):
-                x = x.up
-            if x is not None and x.tag == "p":
-                at = x.up
+        if tag in BLOCK and depths.get("p"):
+            close(depths["p"][-1])  # a block element ends an open paragraph
         if tag in _ENDS:
             group, bounds = _ENDS[tag]
-            group, x, hit = group.split(), at, None
-            while x is not None and x.tag not in bounds:
-                if x.tag in group:
-                    hit = x
-                x = x.up
-            if hit is not None:
-                at = hit.up
+            bound = max((depths[t][-1] for t in bounds if depths.get(t)), default=0)
+            ended = [d[bisect_right(d, bound)] for d in map(depths.get, group.split()) if d and d[-1] > bound]
+            if ended:
+                close(min(ended))
         attrs = m[3] if m[2] else m[6]
-        node = Node(tag, attrs, at)
-        at.kids.append(node)
+        node = Node(tag, attrs, path[-1])
+        path[-1].kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, pos)
             pos = n if end is None else end.start()
             if end is not None:
-                close = page.find(">", pos)
-                pos = n if close < 0 else close + 1
+                shut = page.find(">", pos)
+                pos = n if shut < 0 else shut + 1
         elif tag not in VOID and not (attrs.endswith("/") and tag not in BLOCK and tag != "a"):
-            at = node
+            depths.setdefault(tag, []).append(len(path))
+            path.append(node)
     return root
 
 
@@ -156,7 +163,7 @@ def _parts(name: str) -> list[str]:
 
 def boilerplate(node: Node, by_name: bool) -> bool:
     """Whether an element goes with all it holds; sets ``mark`` where only its name (or being a form) speaks against it."""
-    if node.tag in DROP:
+    if node.tag in DROP and not node.lead:
         return True
     node.mark = "form" if node.tag == "form" else ""
     if not node.attrs or node.tag in ("html", "body", "main"):
@@ -184,7 +191,21 @@ def _titled(node: Node, name: str) -> bool:
         return False
     near = [k for k in node.kids if not isinstance(k, str)]
     near += [x for k in near[:2] for x in k.kids if not isinstance(x, str)]
-    return any(k.tag in HEADINGS and set(parts) <= set(_parts(" ".join(_blocks([k])))) for k in near)
+    return any(k.tag in HEADINGS and set(parts) <= set(_parts(_title(k))) for k in near)
+
+
+def _title(heading: Node) -> str:
+    """A heading's text without that of headings inside it, so that no text is read once per level."""
+    out, stack = [], [heading]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif x is heading or x.tag not in HEADINGS:
+            if x.tag == "br" or x.tag in BLOCK:
+                out.append(" ")
+            stack.extend(reversed(x.kids))
+    return "".join(out)
 
 
 def _walk(root: Node) -> list[Node]:
@@ -199,6 +220,7 @@ def _walk(root: Node) -> list[Node]:
 
 def _visible(root: Node, by_name: bool) -> list[Node]:
     """Nodes that stay, parents before kids; boilerplate kids are cut off."""
+    _find_leads(root)
     out, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -225,6 +247,28 @@ def _visible(root: Node, by_name: bool) -> list[Node]:
     return out
 
 
+def _find_leads(root: Node) -> None:
+    """Notes the headers that are an article's own: inside one, with a heading and few links."""
+    nodes = _walk(root)
+    inside, headers = set(), []
+    for node in nodes:
+        if node.tag == "article" or id(node.up) in inside:
+            inside.add(id(node))
+            if node.tag == "header":
+                headers.append(node)
+    if not headers:
+        return
+    _count(nodes)
+    titled = set()
+    for node in reversed(nodes):
+        if node.up is not None and (node.tag in HEADINGS or id(node) in titled):
+            titled.add(id(node.up))
+    for node in headers:
+        node.lead = id(node) in titled and node.linked < MOST_LINKED * node.chars
+    for node in nodes:
+        node.chars = node.linked = 0
+
+
 def _weigh(nodes: list[Node]) -> None:
     """Counts texts, unlinked ones without answers, and notes what holds an article or a first-level heading."""
     _count(nodes)
@@ -294,12 +338,17 @@ def _count(nodes: list[Node]) -> None:
 def _score(nodes: list[Node]) -> Node | None:
     """Adds up lengths, passes points to ancestors; the node of the best discounted score."""
     _count(nodes)
+    for node in reversed(nodes):
+        # commas up to the next paragraph below, which has its own
+        node.commas += sum(k.count(c) for k in node.kids if isinstance(k, str) for c in COMMAS)
+        if node.up is not None and node.tag not in _PARAGRAPH:
+            node.up.commas += node.commas
     for node in nodes:
         own = any(isinstance(k, str) and not k.isspace() for k in node.kids)
         if not node.chars or not (node.tag in _PARAGRAPH or own and (node.tag in BLOCK or node.tag == "#root")):
             continue
         density = node.linked / node.chars
-        points = (1.0 + _commas(node) + min(node.chars / 100.0, 3.0)) * (1.0 - density)
+        points = (1.0 + node.commas + min(node.chars / 100.0, 3.0)) * (1.0 - density)
         if node.chars < LEAST_PARAGRAPH:
             points *= 0.1
         points *= node.weight
@@ -316,17 +365,6 @@ def _score(nodes: list[Node]) -> Node | None:
     return best
 
 
-def _commas(node: Node) -> int:
-    total, stack = 0, [node]
-    while stack:
-        for k in stack.pop().kids:
-            if isinstance(k, str):
-                total += sum(map(k.count, ",،，、"))
-            elif k.tag not in _PARAGRAPH:
-                stack.append(k)
-    return total
-
-
 def _blocks(roots: list[Node]) -> list[str]:
     out: list[str] = []
     run: list[str] = []
