@@ -80,6 +80,53 @@ def test_language_of_long_rows_only(spark):
     assert all(got[i] == one for i in range(10))
 
 
+def test_sample_is_bounded_in_characters(spark, monkeypatch):
+    """Every language stays within its share of the characters, and none is left out."""
+    rng = random.Random(9)
+    monkeypatch.setattr(langid, "TOTAL_CHARS", 30_000)
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 400)
+    rows = [(i, speech(rng, lang, 100 if lang == "zz" else 30), lang) for i in range(900) for lang in [rng.choice(sorted(SYLLABLES))]]
+    rows += [(1000 + i, f"rare {i}", f"r{i:02}") for i in range(20)]
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda texts, labels: seen.extend(zip(texts.to_pylist(), labels, strict=True)))
+    langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    share = 30_000 // 23
+    chars = {lang: sum(len(t) for t, x in seen if x == lang) for lang in {x for _, _, x in rows}}
+    assert min(chars.values()) > 0 and chars["zz"] <= share  # zz has only texts above 400 characters
+    assert all(chars[lang] <= 1.5 * share for lang in ("xx", "yy"))
+
+
+def plain_logits(text, model):
+    """The method written out for one text: n-gram buckets of lower-cased bytes, their averaged rows, the linear layer."""
+    raw = [b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+    raw = [b if b >= 128 or 97 <= b <= 122 else 32 for b in raw]
+    total, n = [0.0] * len(model.languages), 0
+    for size in langid.ORDERS:
+        for i in range(len(raw) - size + 1):
+            gram = raw[i:i + size]
+            if any(b != 32 for b in gram):
+                h = int.from_bytes(bytes(gram), "little") ^ (size * 0x9E3779B1 & 0xFFFFFFFF)
+                h = h * 0x85EBCA6B & 0xFFFFFFFF
+                h = (h ^ h >> 15) * 0xC2B2AE35 & 0xFFFFFFFF
+                total = [t + float(x) for t, x in zip(total, model.table[h >> (32 - langid.BITS)], strict=True)]
+                n += 1
+    return [(t / max(1, n) + float(b)) / model.temperature for t, b in zip(total, model.bias, strict=True)]
+
+
+def test_predictions_equal_the_method_written_out(spark):
+    rng = random.Random(11)
+    texts = [speech(rng, rng.choice(sorted(SYLLABLES)), rng.randint(1, 60)) for _ in range(40)] + ["A", "Ñu, ba!", "x" * 500, "中文 the"]
+    labels = [rng.choice(sorted(SYLLABLES)) for _ in texts]
+    model = langid.fit(pa.array(texts), labels)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.predict(df, model, ["doc_id"]).collect():
+        x = plain_logits(texts[r.doc_id], model)
+        e = [math.exp(v - max(x)) for v in x]
+        p = [v / sum(e) for v in e]
+        assert abs(r.score - max(p)) < 1e-5 and p[model.languages.index(r.lang_pred)] > max(p) - 1e-5
+        assert r.accepted == (r.score >= model.threshold)
+
+
 def test_language_of_awkward_rows(spark):
     df = awkward(spark)
     model = langid.train(df, F.lit(True))
@@ -160,6 +207,73 @@ def test_marked_parts_stay_out():
     assert html_text.main_text(f"<body><article>{BODY * 3}{answers}<div class=sidebar><p>Side, text.</p></div></article></body>") == "\n".join([WHOLE] * 3)
 
 
+def test_an_articles_own_header_is_text():
+    head = "<header><h1>Title</h1><p>A lead, short.</p><nav><a href=x>Menu</a></nav></header>"
+    site = "<header><h1>Site name</h1><p>Motto, of the site.</p></header>"
+    links = "<header><h2><a href=a>Linked only</a></h2></header>"
+    assert html_text.main_text(f"<body>{site}<article>{head}{links}{BODY}</article></body>") == f"Title\nA lead, short.\n{WHOLE}"
+    assert html_text.main_text(f"<body>{site}<div>{BODY}</div></body>") == WHOLE
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    from time import perf_counter
+    n = 100_000
+    pages = {"blocks": "<div>a, b " * n, "in an article": "<article>" + "<div>a, b " * n, "end tags": "<b>" * n + "</i>" * n,
+             "items": "<ul>" + "<div>" * (n // 2) + "<li>x</li>" * (n // 2), "ids": "<div id=social-impact><h1>" * (n // 4),
+             "headers": "<article>" + "<header><h1>a" * (n // 4)}
+    for name, page in pages.items():
+        start = perf_counter()
+        html_text.main_text(page)
+        assert perf_counter() - start < 20, name  # about 1 s each; a walk per block or tag would take an hour
+
+
+def plain_scores(root):
+    """Points of every node by recursion over the tree as it stands."""
+    def size(x):
+        return (len(x) - x.count(" ") if len(x) < 4 else len(x.strip())) if isinstance(x, str) else sum(map(size, x.kids))
+
+    def linked(x):
+        return 0 if isinstance(x, str) else size(x) if x.tag == "a" else sum(map(linked, x.kids))
+
+    def commas(x):
+        if isinstance(x, str):
+            return sum(c in html_text.COMMAS for c in x)
+        return sum(commas(k) for k in x.kids if isinstance(k, str) or k.tag not in html_text._PARAGRAPH)
+
+    points = {}
+
+    def visit(x):
+        own = any(isinstance(k, str) and k.strip() for k in x.kids)
+        paragraph = x.tag in html_text._PARAGRAPH
+        if size(x) and (paragraph or own and (x.tag in html_text.BLOCK or x.tag == "#root")):
+            p = (1 + commas(x) + min(size(x) / 100, 3)) * (1 - linked(x) / size(x)) * (0.1 if size(x) < 25 else 1) * x.weight
+            up = x.up if paragraph else x
+            for part in (1, 2, 6, 9, 12):
+                if up is not None:
+                    points[id(up)] = points.get(id(up), 0.0) + p / part
+                    up = up.up
+        for k in x.kids:
+            if not isinstance(k, str):
+                visit(k)
+
+    visit(root)
+    return lambda x: points.get(id(x), 0.0) * (1 - linked(x) / max(1, size(x)))
+
+
+def test_scores_equal_a_plain_recursion():
+    rng = random.Random(4)
+    tags = "div p ul li b a table tr td h1 section span pre dl dd".split()
+    for _ in range(400):
+        page = "".join(rng.choice((f"<{rng.choice(tags)}>", f"</{rng.choice(tags)}>", rng.choice(("a, b", "word " * 9, " ", "x,y,z " * 12))))
+                       for _ in range(rng.randint(1, 40)))
+        root = html_text.parse(page)
+        nodes = html_text._visible(root, True)
+        best = html_text._score(nodes)
+        want = plain_scores(root)
+        assert all(math.isclose(node.score, want(node), abs_tol=1e-9) for node in nodes), page
+        assert (best.score if best else 0.0) == max(node.score for node in nodes)
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(i, f"u{i}", p, "clash", 3) for i, (p, _) in enumerate(PAGES)] + [(None, None, None, None, None)],
                                "page_id long, url string, html string, text string, n_chars long")

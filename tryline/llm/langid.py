@@ -4,10 +4,11 @@ A text's features are the hashed byte n-grams of its words (ASCII letters
 lower-cased, all other ASCII characters word boundaries). Their embeddings are
 averaged and a linear softmax gives the language. Embeddings and weights are
 learned together by stochastic gradient descent in numpy, on a bounded sample
-of labelled rows: at most ``SAMPLE_ROWS`` per language, ``MAX_LANGUAGES``
-languages and texts of at most ``SAMPLE_CHARS`` characters, chosen by a hash
-of the id; of a language that has only longer texts, the ``LONG_ROWS``
-shortest. A part of the sample is kept for calibration: a temperature is
+of labelled rows, whatever the number of languages: about ``SAMPLE_ROWS`` per
+language of at most ``SAMPLE_CHARS`` characters each, chosen by a hash of the
+id, and fewer where they have more than the language's equal share of
+``TOTAL_CHARS``; of a language that has only longer texts, the ``LONG_ROWS``
+shortest within its share, one at least. A part of the sample is kept for calibration: a temperature is
 fitted to it, and the least score whose acceptances reach ``PRECISION``
 becomes the rejection threshold.
 
@@ -35,7 +36,7 @@ from tryline.llm.textops import Chunk, chunks
 SAMPLE_ROWS = 600
 SAMPLE_CHARS = 20_000
 LONG_ROWS = 100
-MAX_LANGUAGES = 500
+TOTAL_CHARS = 100_000_000
 ORDERS = (1, 2, 3, 4)
 BITS = 15
 DIM = 16
@@ -195,21 +196,25 @@ def train(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     rows = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
         F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 40)).alias("h"))
-    rows = rows.where(F.length("text") > 0)
-    short = F.length("text") <= SAMPLE_CHARS
-    per = rows.groupBy("lang").agg(F.count_if(short).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = rows.where(F.length("text") > 0).withColumn("size", F.length("text"))
+    short = F.col("size") <= SAMPLE_CHARS
+    per = rows.groupBy("lang").agg(F.count_if(short).alias("n"), F.sum(F.when(short, F.col("size"))).alias("chars")).orderBy("lang").collect()
     if not per:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 1.0)
-    pick = F.lit(False)
-    long = [r["lang"] for r in per if not r["n"]]
-    for r in [r for r in per if r["n"]]:
-        pick = pick | ((F.col("lang") == r["lang"]) & (F.col("h") < int((1 << 40) * min(1.0, sample_rows / r["n"]))))
-    picked = rows.where(short & pick)
+    share = TOTAL_CHARS // len(per)
+    below = [(r["lang"], int((1 << 40) * min(1.0, sample_rows / r["n"], share / r["chars"]))) for r in per if r["n"]]
+    long = [(r["lang"],) for r in per if not r["n"]]
+    spark = docs.sparkSession
+    limits = spark.createDataFrame(below, "lang string, below long")
+    picked = rows.where(short).join(limits, "lang").where(F.col("h") < F.col("below")).select("text", "lang", "h")
     if long:
-        nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.length("text"), "h", "text"))
-        shortest = rows.where(F.col("lang").isin(long)).withColumn("nth", nth).where(F.col("nth") <= min(LONG_ROWS, sample_rows))
-        picked = picked.unionByName(shortest.drop("nth"))
-    sample = picked.orderBy("h", "lang", "text").limit(sample_rows * len(per)).toArrow()
+        order = Window.partitionBy("lang").orderBy("size", "h", "text")
+        few = (rows.join(spark.createDataFrame(long, "lang string"), "lang", "left_semi")
+               .withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= min(LONG_ROWS, sample_rows)))
+        upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+        shortest = few.withColumn("upto", upto).where((F.col("nth") == 1) | (F.col("upto") <= share))
+        picked = picked.unionByName(shortest.select("text", "lang", "h"))
+    sample = picked.orderBy("h", "lang", "text").toArrow()
     return fit(sample["text"].combine_chunks(), sample["lang"].to_pylist())
 
 
