@@ -65,6 +65,9 @@ POLICIES = {p.version: p for p in (
     Policy("strict", tuple(BIT)),
 )}
 
+#: Bytes of text measured at a time (a longer text is measured whole): what fits a core's cache.
+CHUNK = 512 << 10
+
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(SYMBOLS.encode())] = True
 _LETTER = np.zeros(256, dtype=bool)
@@ -122,10 +125,10 @@ def measure(c: Chunk) -> dict[str, np.ndarray]:
             "n_letter_words": np.bincount(w.row[has_letter], minlength=rows), "longest_word": longest}
 
 
-def _measure_batches(names: list[str], text_at: int):
+def _measure_batches(names: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [measure(c) for c in chunks(batch.column(text_at))]
+            parts = [measure(c) for c in chunks(batch.column(text), CHUNK)]
             new = [pa.array(np.concatenate([p[m] for p in parts]) if parts else np.zeros(0), pa.int64()) for m in MEASURES]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *new], names=[*names, *MEASURES])
     return run
@@ -139,10 +142,12 @@ def failed(mask: int) -> Column:
 def ledger(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all by default), the measurements and ``fail_bits``."""
     keep = [n for n in (docs.columns if keep is None else keep) if n not in (*MEASURES, "fail_bits")]
-    inner = docs.select(*keep, F.col(text_col).alias("__text"))
+    # the text goes to the tasks once, also where it is kept
+    text = text_col if text_col in keep else "__text"
+    inner = docs.select(*keep, *([] if text in keep else [F.col(text_col).alias(text)]))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
                        + [f"{m} long" for m in MEASURES])
-    out = inner.mapInArrow(_measure_batches(keep, len(keep)), schema)
+    out = inner.mapInArrow(_measure_batches(keep, text), schema)
     bits = " | ".join(f"if({rule}, {1 << k}L, 0L)" for k, (_, rule) in enumerate(RULES))
     return out.withColumn("fail_bits", F.expr(bits))
 
