@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,26 @@ def with_row_key(docs: DataFrame, scratch: Scratch) -> DataFrame:
         return keyed(scratch.table(docs, "rows"))
 
 
+@contextmanager
+def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
+    """Inside, a query's shuffle files go as soon as it ends.
+
+    Otherwise they stay until the driver's memory is next collected, so the
+    shuffles of all tables of a run pile up on the executors' disks. While the
+    query runs they are kept, so a lost task finds its input as ever.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables of one operator run, written below ``spark.checkpoint.dir``.
 
@@ -58,7 +80,8 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         self.paths[name] = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(self.paths[name])
+        with shuffles_end_with_query(self.spark):
+            df.write.mode("overwrite").parquet(self.paths[name])
         return self.spark.read.schema(df.schema).parquet(self.paths[name])
 
     def drop(self, *names: str) -> None:

@@ -28,8 +28,9 @@ Method
    documents meet again only under (``B``, token outside ``B``), by prefixes
    of what they hold beside ``B``, rare tokens first, and the few exceptions
    are verified one by one. After ``ROUNDS`` rounds all pairs that still meet,
-   are of different components, pass the other orders and may reach the
-   similarity by 16 bits of every token are verified. Nothing is capped, and no link between components is missed.
+   are of different components, may reach the similarity by sketches of
+   ``SKETCH`` bits and meet under all other orders are verified. Nothing is
+   capped, and no link between components is missed.
 
 Defined cases: null, empty or white-space texts have an empty set and link
 with nothing; a sequence shorter than a shingle is one shingle. Rows of equal
@@ -55,6 +56,8 @@ ORDERS = 3
 ROUNDS = 1
 #: Ids broadcast at most (8 bytes each); beyond it the same join is shuffled.
 BROADCAST_IDS = 2_000_000
+#: Bits of a set's sketch; it tells sets apart well up to about twice as many tokens.
+SKETCH = 2048
 
 
 def _need(n, percent: int):
@@ -191,6 +194,8 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     else:
         twins = member.where("rep <> id").select(F.col("id").alias("u"), F.col("rep").alias("v"))
         comp = components(spark, twins, scratch, "final")
+    # the components stand: only they and the signatures are read from here on
+    scratch.drop(*[t for t in scratch.paths if t != "signatures" and not t.startswith("final-")])
     out = sig.select("id", "n").join(comp, F.col("id") == F.col("node"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
@@ -233,39 +238,41 @@ def _beside(again: DataFrame) -> DataFrame:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets as the distinct low 16 bits of their tokens, and how many tokens that loses."""
+    """Per set ``SKETCH`` bits: whether an odd number of its tokens falls on each place."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            sets = [np.frombuffer(x, U64) for x in part.column("whole").to_pylist()]
-            low = [np.unique(x.astype(np.uint16)) for x in sets]
-            off = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("uid"), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(low).view(np.int16))),
-                 pa.array([len(x) - len(y) for x, y in zip(sets, low, strict=True)], pa.int32())], names=["uid", "low", "lost"])
+        bits = np.zeros((batch.num_rows, SKETCH), np.uint8)
+        for row, x in enumerate(batch.column("whole")):
+            at = np.frombuffer(x.as_buffer(), U64) & np.uint64(SKETCH - 1)
+            bits[row] = np.bincount(at.astype(np.int64), minlength=SKETCH) & 1
+        words = np.packbits(bits, axis=1).view(np.int64).ravel()
+        off = np.arange(batch.num_rows + 1, dtype=np.int32) * (SKETCH // 64)
+        yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.ListArray.from_arrays(pa.array(off), pa.array(words))], names=["uid", "bits"])
 
 
 def _meeting(rows: DataFrame, prefixes: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of sets of one key and different components that may be linked.
 
-    A pair is looked at under its smallest common key alone; it must be near
-    in size, meet under all other orders, and 16 bits of every token must
-    leave room for the similarity (they bound the overlap from above). All of
-    this is the join's condition, so little more than links comes out.
+    A pair must be near in size, and the places where its sketches differ,
+    which are no more than the tokens that only one of the sets has, must
+    leave room for the similarity. Both are the join's condition, so little
+    more than links comes out, and a row's size doesn't grow with its set.
+    What comes out must meet under all other orders too.
     """
     near = (F.col("l.n") * percent <= F.col("r.n") * 100) & (F.col("r.n") * percent <= F.col("l.n") * 100)
-    # a set has as many keys as its prefixes have places
-    keys = rows.groupBy("uid").agg(F.collect_set("key").alias("keys"))
-    sets = whole.join(keys.select("uid"), "uid", "left_semi").mapInArrow(
-        _sketches, "uid long, low array<short>, lost int").dropDuplicates(["uid"])
-    full = rows.join(keys.join(prefixes, "uid").join(sets, "uid"), "uid")
-    most = F.size(F.array_intersect("l.low", "r.low")) + F.least("l.lost", "r.lost")
+    uids = rows.select("uid").distinct()
+    uids = F.broadcast(uids) if uids.count() <= BROADCAST_IDS else uids
+    sets = whole.join(uids, "uid", "left_semi").mapInArrow(_sketches, "uid long, bits array<long>").dropDuplicates(["uid"])
+    full = rows.select("key", "uid", "n", "comp").join(sets, "uid")
+    differ = F.aggregate(F.zip_with("l.bits", "r.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     cond = (F.col("l.key") == F.col("r.key")) & (F.col("l.uid") < F.col("r.uid")) & (F.col("l.comp") != F.col("r.comp")) & near
-    cond = cond & (F.array_min(F.array_intersect("l.keys", "r.keys")) == F.col("l.key"))
+    cond = cond & (differ * (100 + percent) <= (F.col("l.n") + F.col("r.n")) * (100 - percent))
+    met = full.alias("l").join(full.alias("r"), cond).select(F.col("l.uid").alias("a"), F.col("r.uid").alias("b")).distinct()
+    wanted = prefixes.join(uids, "uid", "left_semi")
+    for side in ("a", "b"):
+        met = met.join(wanted.select(F.col("uid").alias(side), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]), side)
     for k in range(1, ORDERS):
-        cond = cond & F.arrays_overlap(f"l.p{k}", f"r.p{k}")
-    cond = cond & (most * (100 + percent) >= (F.col("l.n") + F.col("r.n")) * percent)
-    return full.alias("l").join(full.alias("r"), cond).select(F.col("l.uid").alias("a"), F.col("r.uid").alias("b"))
+        met = met.where(F.arrays_overlap(f"a{k}", f"b{k}"))
+    return met.select("a", "b")
 
 
 def _links(spark: SparkSession, scratch: Scratch, index: DataFrame, whole: DataFrame, percent: int) -> DataFrame | None:
@@ -326,4 +333,6 @@ def _links(spark: SparkSession, scratch: Scratch, index: DataFrame, whole: DataF
         links.append(scratch.table(verify(odd, False).where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(),
                                    f"links{step}"))
         rows = unfinished(_beside(again), f"open{step + 1}")
+        done = tuple(f"{t}{step}" for t in ("open", "pivots", "rest", "again", "odd"))
+        scratch.drop(*[t for t in scratch.paths if t.startswith(done)])
     return all_links() if links else None
