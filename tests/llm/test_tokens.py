@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.edge import awkward, empty
 from tryline.llm import gumbel_pieces as G
@@ -222,6 +223,42 @@ def test_samples_depend_on_key_and_text_alone(spark, pieces):
     assert G.sample_segmentations(empty(spark), MODEL).collect() == []
 
 
+def test_pieces_of_several_spaces_are_sampled():
+    """All segmentations of texts with runs of spaces, pieces of several spaces among them."""
+    pieces = lattice.Pieces(MODEL, space_runs=True)
+    logp = G.piece_logp(pieces, 1.0)
+    double = next(i for i in np.flatnonzero(pieces.normal) if pieces.bytes_of[i] == b"  ")
+    for text in ("   a", "a   ", "a   b", "  ", "   "):
+        few = paths(b" " + text.encode(), pieces, logp, False)
+        [found] = samples([text], [7], len(few) + 5, pieces, logp)
+        assert {tuple(s[0].tolist()) for s in found} == set(few) and all(G.decode(s[0], pieces) == text for s in found)
+        assert any(double in s[0] for s in found)
+    beside = samples(["a  ", "  b", "", " ", "c"], range(5), 3, pieces, logp)
+    assert [G.decode(found[0][0], pieces) for found in beside] == ["a  ", "  b", "", " ", "c"]
+
+
+def test_digests_are_of_ids_and_of_decoded_texts(spark, monkeypatch):
+    """The query decodes what the operator returned: other ids are noticed."""
+    from tryline.llm import queries
+    df = awkward(spark)
+    monkeypatch.setattr(queries, "read_table", lambda *_: df)
+    encoded = G.sample_segmentations(df, MODEL, k=2, keep=["doc_id", "text"])
+    want = sorted((str(r.doc_id), r["sample"], r.n_pieces, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in encoded.collect())
+    got = queries.op3_gumbel_pieces(spark, "").collect()
+    assert sorted((str(r.doc_id), r["sample"], r.n_pieces, r.ids_crc32) for r in got) == want and all(r.round_trip for r in got)
+    twice = lambda *a, **b: G.sample_segmentations(*a, **b).withColumn("ids", F.concat("ids", "ids"))
+    monkeypatch.setattr(queries, "sample_segmentations", twice)
+    assert all(r.round_trip == (r.n_pieces == 0) for r in queries.op3_gumbel_pieces(spark, "").collect())
+
+
+def test_decoding_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(G, "DECODE_CHUNK", 3)
+    one = G.sample_segmentations(awkward(spark).limit(6), MODEL, k=1, keep=["doc_id", "text"])
+    df = one.unionByName(one.limit(1).withColumn("ids", F.lit(None).cast("array<int>")))
+    back = G.decode_pieces(df, MODEL).collect()
+    assert sum(r.decoded is None for r in back) == 1 and all(r.decoded == (r.text or "") for r in back if r.decoded is not None)
+
+
 def test_scores_equal_plain_python(spark, pieces, monkeypatch):
     import collections
     import re

@@ -1,8 +1,10 @@
 """SentencePiece encoding by Gumbel top-k sampling without replacement, and decoding (operator 3).
 
-A text's segmentations form a lattice: the lattices of its units (a space or
-the text's start, with what follows up to the next space) one after another.
-Its piece weights come from the vocabulary's own order of scores: piece of
+A text's segmentations form a lattice: the lattices of its units (a run of
+spaces or the text's start, with what follows up to the next space) one after
+another. Pieces of several spaces are arcs like all others; no piece goes on
+from a word into the next one's space (a vocabulary with such a piece is an
+error), so no segmentation is left out by the cut. Its piece weights come from the vocabulary's own order of scores: piece of
 rank r has weight ``1 / (r + RANK_SHIFT)``, raised to ``sharpness``. Given
 the text, a segmentation's probability is its weight over that of all.
 
@@ -27,9 +29,9 @@ spelled in byte pieces.
 
 Defined cases: null and empty texts have one sample without pieces; a text
 with fewer than k segmentations has them all. Rows of equal key and text get
-equal samples; a null key counts as a key of its own. Segmentations whose
-share of a unit's remaining mass is below 1e-12 are beyond the arithmetic
-and count as absent.
+equal samples; a null key counts as a key of its own. Masses are sums of
+doubles, so only a segmentation whose share vanishes there (some 1e-308 of its
+unit) counts as absent. A unit's lattice is held whole by a task.
 """
 
 from __future__ import annotations
@@ -42,15 +44,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tryline.llm.lattice import Lattice, Pieces, backward, build
+from tryline.llm.lattice import Lattice, Pieces, Spelling, backward, build
 from tryline.llm.textops import U64, Chunk, chunks, distinct, span_hashes, splitmix
 
 RANK_SHIFT = 10.0
 #: Arcs that a task keeps (some 36 bytes each).
-MOST_ARCS = 1_000_000
+MOST_ARCS = 3_000_000
+_SEEN = U64((1 << 22) - 1)
 _M = (1 << 64) - 1
 
 
@@ -108,12 +112,15 @@ class UnitStore:
     """Lattices of distinct units with conditional arc probabilities, kept from chunk to chunk by one task.
 
     Nothing of a unit depends on the units beside it. Units are told apart by
-    their 64-bit hashes. Units that a chunk has several times are kept, the
-    others only until the next chunk; above ``MOST_ARCS`` the store begins anew.
+    their 64-bit hashes. Units that come a second time, in one chunk or a later
+    one, are kept, the others only until the next chunk; above ``MOST_ARCS``
+    the store begins anew.
     """
 
     def __init__(self, pieces: Pieces, logp: np.ndarray):
         self.pieces, self.logp = pieces, logp
+        #: By the low bits of their hashes the units that came before (others of the same bits are kept a little early).
+        self._seen = np.zeros(int(_SEEN) + 1, bool)
         self.reset()
 
     def reset(self) -> None:
@@ -139,11 +146,13 @@ class UnitStore:
         known[known] = self.keys[place[known]] == keys[known]
         kind = np.empty(len(keys), np.int64)
         kind[known] = self.kinds[place[known]]
-        often = np.flatnonzero(~known & (count > 1))
+        again = self._seen[(keys & _SEEN).astype(np.int64)]
+        self._seen[(keys & _SEEN).astype(np.int64)] = True
+        often = np.flatnonzero(~known & (again | (count > 1)))
         kind[often] = self._add(data, start[at[often]], end[at[often]])
         self.keys, self.kinds = np.insert(self.keys, place[often], keys[often]), np.insert(self.kinds, place[often], kind[often])
         self._kept = [column.n for column in self._all]
-        once = np.flatnonzero(~known & (count == 1))
+        once = np.flatnonzero(~known & ~again & (count == 1))
         kind[once] = self._add(data, start[at[once]], end[at[once]])
         self.start, self.stop, self.begin, self.end, self.head, self.piece, self.logq, self.upto, self.others = (c.all for c in self._all)
         return kind[number]
@@ -309,7 +318,11 @@ class Units:
         size = np.diff(c.offsets)
         data = np.insert(c.data, c.offsets[:-1], 32)
         edge = c.offsets + np.arange(rows + 1)
-        start = np.flatnonzero(data == 32)
+        # a unit begins with a run of spaces, of which the text's first is the inserted one
+        space = data == 32
+        space[1:] &= data[:-1] != 32
+        space[edge[:-1]] = True
+        start = np.flatnonzero(space)
         end = np.append(start[1:], len(data))
         row = np.searchsorted(edge, start, side="right") - 1
         full = size[row] > 0
@@ -433,31 +446,31 @@ def sample_chunk(c: Chunk, keys: np.ndarray, k: int, store: UnitStore):
         yield [(s.ids(units, draws, a), s.total, g, inc) for s, g, inc in _search(units, row, k, key, draws)]
 
 
-def spelled(ids: np.ndarray, pieces: Pieces) -> np.ndarray:
+def spelled(ids: np.ndarray, pieces: Spelling) -> np.ndarray:
     """The bytes a segmentation spells, without the leading space."""
     size = pieces.spell_size[ids]
     end = np.cumsum(size)
     return pieces.spell[np.repeat(pieces.spell_at[ids] - (end - size), size) + np.arange(end[-1] if len(end) else 0)][1:]
 
 
-def decode(ids: np.ndarray, pieces: Pieces) -> str:
+def decode(ids: np.ndarray, pieces: Spelling) -> str:
     """The text a segmentation spells."""
     return spelled(ids, pieces).tobytes().decode()
 
 
 _SCORES = [("sample", pa.int32()), ("n_pieces", pa.int64()), ("log_prob", pa.float64()), ("perturbed", pa.float64()),
            ("inclusion", pa.float64())]
-#: Texts sampled together, in bytes.
-SAMPLE_CHUNK = 512 << 10
+#: Texts sampled together, in bytes; ids decoded together.
+SAMPLE_CHUNK, DECODE_CHUNK = 512 << 10, 128 << 10
 
 
-def _run(model: str, k: int, sharpness: float, names: list[str], digest: bool):
+def _run(model: str, k: int, sharpness: float, names: list[str], text_col: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # not kept beyond the task: a worker that goes on to other work would hold it
-        pieces = Pieces(model)
+        pieces = Pieces(model, space_runs=True)
         store = UnitStore(pieces, piece_logp(pieces, sharpness))
         for batch in batches:
-            for c in chunks(batch.column("__text"), SAMPLE_CHUNK):
+            for c in chunks(batch.column(text_col), SAMPLE_CHUNK):
                 rows = len(c.offsets) - 1
                 part = batch.slice(c.rows.start, rows)
                 keys = part.column("__key").to_numpy().view(U64)
@@ -492,19 +505,54 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, sharpness: flo
     ``ids_crc32`` (of little-endian 32-bit ids) and ``round_trip`` (whether decoding gave the text back)."""
     keep = [id_col] if keep is None else keep
     seed = F.xxhash64(F.col(id_col).cast("string")) if key is None else key
-    inner = docs.select(*[F.col(f"`{x}`") for x in keep], F.col(text_col).alias("__text"), seed.alias("__key"))
+    text = [] if text_col in keep else [F.col(text_col).alias("__text")]
+    inner = docs.select(*[F.col(f"`{x}`") for x in keep], *text, seed.alias("__key"))
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema if f.name in keep]
     schema += ["sample int", "n_pieces long", "log_prob double", "perturbed double", "inclusion double"]
     schema += ["ids_crc32 long", "round_trip boolean"] if digest else ["ids array<int>"]
-    return inner.mapInArrow(_run(model, k, sharpness, keep, digest), ", ".join(schema))
+    return inner.mapInArrow(_run(model, k, sharpness, keep, "__text" if text else text_col, digest), ", ".join(schema))
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a list column one after another, and where each row's begin."""
+    edge = column.offsets.to_numpy().astype(np.int64)
+    return column.values.to_numpy()[edge[0]:edge[-1]], edge - edge[0]
+
+
+class _Decoder:
+    """Texts of many segmentations at once: a piece's bytes are taken by its number, a text's first ones without their space."""
+
+    def __init__(self, model: str):
+        pieces = Spelling(model)
+        self.bytes = pa.array([*pieces.bytes_of, *(x[1:] for x in pieces.bytes_of)], pa.large_binary())
+        self.size = pieces.size
+
+    def __call__(self, column: pa.ListArray) -> Iterator[tuple[slice, pa.StringArray]]:
+        """Texts of a column of ids, some rows after others; null for null."""
+        ids, edge = _lists(column)
+        first = 0
+        while first < len(column):
+            last = max(first + 1, int(np.searchsorted(edge, edge[first] + DECODE_CHUNK, side="right")) - 1)
+            at = edge[first:last + 1] - edge[first]
+            take = ids[edge[first]:edge[last]].astype(np.int64)
+            take[at[:-1][at[1:] > at[:-1]]] += self.size
+            _, offsets, data = self.bytes.take(pa.array(take)).buffers()
+            at = np.frombuffer(offsets, np.int64)[at].astype(np.int32)
+            text = pa.Array.from_buffers(pa.string(), last - first, [None, pa.py_buffer(at), data])
+            text.validate(full=True)
+            if column.null_count:
+                text = pc.if_else(column.slice(first, last - first).is_valid(), text, None)
+            yield slice(first, last), text
+            first = last
 
 
 def _join_pieces(model: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        decoder = _Decoder(model)
         for batch in batches:
-            text = [None if x is None else decode(np.array(x, np.int64), pieces) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(text, pa.string())], names=[*names, "decoded"])
+            for rows, text in decoder(batch.column("ids")):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                yield pa.RecordBatch.from_arrays([*(part.column(x) for x in names), text], names=[*names, "decoded"])
     return run
 
 
@@ -514,3 +562,26 @@ def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
     inner = encoded.select(*names)
     return inner.mapInArrow(_join_pieces(model, names), ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema] + ["decoded string"]))
+
+
+def _check_pieces(model: str, names: list[str], text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = _Decoder(model)
+        for batch in batches:
+            for rows, text in decoder(batch.column("ids")):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                ids, edge = _lists(part.column("ids"))
+                raw = np.ascontiguousarray(ids, "<u4")
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+                same = pc.equal(text, part.column(text_col).fill_null(""))
+                yield pa.RecordBatch.from_arrays([*(part.column(x) for x in names), pa.array(crc, pa.int64()), same],
+                                                 names=[*names, "ids_crc32", "round_trip"])
+    return run
+
+
+def digest_pieces(encoded: DataFrame, model: str, text_col: str = "text") -> DataFrame:
+    """``encoded`` decoded and compared: in place of texts and ids ``ids_crc32`` (of little-endian 32-bit ids) and
+    ``round_trip``, whether the ids spell the text that was encoded (null: empty)."""
+    names = [c for c in encoded.columns if c not in (text_col, "ids")]
+    return encoded.mapInArrow(_check_pieces(model, names, text_col), ", ".join(
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name in names] + ["ids_crc32 long", "round_trip boolean"]))

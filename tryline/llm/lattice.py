@@ -1,7 +1,7 @@
 """Subword lattices of many short units at once (numpy).
 
-A unit is a byte span that starts with a space (SentencePiece's word mark) and
-holds no other one. Its lattice has a node before every byte and after the
+A unit is a byte span that starts with a space (SentencePiece's word mark), or
+with several, and holds no other one behind them. Its lattice has a node before every byte and after the
 last, and an arc for every vocabulary piece that stands there; single bytes
 are arcs through the vocabulary's byte pieces, so every unit has a path. The
 arcs of all units are found together: substrings grow byte by byte and only
@@ -38,11 +38,13 @@ class HashIndex:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Index of each key, -1 if absent."""
-        out = np.full(len(keys), -1, np.int64)
-        todo = np.arange(len(keys))
-        slot = (keys & self.mask).astype(np.int64)
         mask = int(self.mask)
-        want = keys
+        slot = (keys & self.mask).astype(np.int64)
+        out = self.at[slot]
+        hit = self.key[slot] == keys
+        todo = np.flatnonzero((out >= 0) & ~hit)
+        out[todo] = -1
+        slot, want = (slot[todo] + 1) & mask, keys[todo]
         while len(todo):
             at = self.at[slot]
             hit = (at >= 0) & (self.key[slot] == want)
@@ -52,36 +54,47 @@ class HashIndex:
         return out
 
 
-class Pieces:
-    """A SentencePiece vocabulary as byte strings.
-
-    ``ids`` are the vocabulary's own; pieces with an inner word mark, control
-    and unknown pieces have no arcs.
-    """
+class Spelling:
+    """The bytes and scores of a SentencePiece vocabulary's pieces; ``ids`` are the vocabulary's own."""
 
     def __init__(self, model_path: str):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
         self.size = sp.get_piece_size()
-        text, ids = [], []
         self.byte_id = np.zeros(256, np.int64)
         self.bytes_of: list[bytes] = [b""] * self.size
         self.score = np.array([sp.get_score(i) for i in range(self.size)])
-        self.normal = np.zeros(self.size, bool)
+        self.words: dict[int, str] = {}      # pieces that are text, as the vocabulary writes them
         for i in range(self.size):
             if sp.is_byte(i):
                 value = int(sp.id_to_piece(i)[3:-1], 16)
                 self.byte_id[value], self.bytes_of[i] = i, bytes([value])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                p = sp.id_to_piece(i)
-                self.bytes_of[i] = p.replace(MARK, " ").encode()
-                if MARK not in p[1:]:
-                    self.normal[i] = True
-                    text.append(self.bytes_of[i])
-                    ids.append(i)
+                self.words[i] = sp.id_to_piece(i)
+                self.bytes_of[i] = self.words[i].replace(MARK, " ").encode()
         self.spell = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.spell_size = np.array([len(x) for x in self.bytes_of], np.int64)
         self.spell_at = np.cumsum(self.spell_size) - self.spell_size
+
+
+class Pieces(Spelling):
+    """A vocabulary whose pieces are found by the hashes of their bytes.
+
+    Control and unknown pieces have no arcs. Nor have pieces with an inner
+    word mark, which no single word holds; with ``space_runs`` those that only
+    begin with several marks have, and a piece that runs from one word into
+    the next is an error.
+    """
+
+    def __init__(self, model_path: str, space_runs: bool = False):
+        super().__init__(model_path)
+        self.normal = np.zeros(self.size, bool)
+        for i, p in self.words.items():
+            self.normal[i] = MARK not in (p.lstrip(MARK) if space_runs else p[1:])
+            if space_runs and not self.normal[i]:
+                raise ValueError(f"the piece {p!r} runs across words")
+        ids = np.flatnonzero(self.normal).tolist()
+        text = [self.bytes_of[i] for i in ids]
         self.usable = self.normal.copy()
         self.usable[self.byte_id] = True
         # all beginnings of pieces, each once, with the piece that ends there
@@ -97,6 +110,11 @@ class Pieces:
         self.longest = int(size.max())
         self.index = HashIndex(span_hashes(joined, end - size, end, lower=False))
         self.piece = np.array(list(trie.values()), np.int64)
+        # beginnings of one and two bytes by their bytes alone: the piece, -1 for none, -2 if nothing begins so
+        self.short = {n: np.full(1 << 8 * n, -2, np.int64) for n in (1, 2)}
+        for p, i in trie.items():
+            if len(p) in self.short:
+                self.short[len(p)][int.from_bytes(p, "big")] = i
 
 
 @dataclass
@@ -130,9 +148,14 @@ def build(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces,
         alive = alive[left[alive] >= n]
         if not len(alive):
             break
-        at = pieces.index.find(hashes.of(byte[alive], n))
-        alive, at = alive[at >= 0], at[at >= 0]
-        p = pieces.piece[at]
+        if n in pieces.short:
+            code = data[byte[alive]].astype(np.int64)
+            p = pieces.short[n][code if n == 1 else code << 8 | data[byte[alive] + 1]]
+            alive, p = alive[p > -2], p[p > -2]
+        else:
+            at = pieces.index.find(hashes.of(byte[alive], n))
+            alive, at = alive[at >= 0], at[at >= 0]
+            p = pieces.piece[at]
         hit = p >= 0
         a = alive[hit]
         tails.append(node[a])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tryline.llm import bsi_topk, fair_mix, fim, rule_ledger, secret_scan
 from tryline.llm.common import doc_bucket, read_table
-from tryline.llm.gumbel_pieces import sample_segmentations
+from tryline.llm.gumbel_pieces import digest_pieces, sample_segmentations
 from tryline.llm.html_text import extract_main_text
 from tryline.llm.importance import importance_resample
 from tryline.llm.langid import predict, train
@@ -36,8 +36,9 @@ def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two distinct sampled segmentations of every document, as digests."""
-    return sample_segmentations(read_table(spark, sf_dir, "documents"), PIECE_MODEL, k=2, digest=True)
+    """Two distinct sampled segmentations of every document, decoded again, as digests of the ids and of the texts."""
+    encoded = sample_segmentations(read_table(spark, sf_dir, "documents"), PIECE_MODEL, k=2, keep=["doc_id", "text"])
+    return digest_pieces(encoded, PIECE_MODEL)
 
 
 def op4_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
