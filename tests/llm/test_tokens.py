@@ -74,6 +74,23 @@ def test_digest_reads_the_files_back(spark):
     assert B.token_digest(empty(spark), BPE, 2).collect() == []
 
 
+def test_encoding_holds_little_memory():
+    """What a task holds while it encodes doesn't grow with its texts; pieces learned in parts are those of the library."""
+    import random
+    import tracemalloc
+    pick = random.Random(4)
+    texts = [" ".join(f"{pick.choice('abcde')}{pick.randrange(50_000)}" for _ in range(700)) for _ in range(1500)]
+    e = B.Encoder(BPE)
+    e.encode(["warm up"])
+    tracemalloc.start()
+    for c in chunks(pa.array(texts, pa.string()), B.ENCODE_CHUNK):
+        found = e.encode_chunk(c)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    assert found[-1].tolist() == e.tok.encode(texts[-1], add_special_tokens=False).ids
+
+
 def paths(unit: bytes, pieces, logp, always):
     """All segmentations of a unit with their log weights, by recursion."""
     by = {}

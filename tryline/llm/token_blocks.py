@@ -47,8 +47,8 @@ PERCENTILE = 0.9
 SHARD_TOKENS = 4 << 20
 #: Shards that a reading task takes one after another, where there are very many.
 SHARDS_PER_READ = 64
-#: Texts encoded together, in bytes.
-ENCODE_CHUNK = 4 << 20
+#: Texts encoded together, in bytes (a task holds some 90 bytes for each); new pieces encoded together.
+ENCODE_CHUNK, LEARN_PIECES = 1 << 20, 1 << 14
 CACHE_PIECES = 1_000_000
 MAGIC = b"TLB1"
 _HEADER = "<4sIQQQQQ"   # magic, block, docs, tokens, blocks, packed bytes, exceptions
@@ -196,14 +196,19 @@ class Encoder:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def learn(self, fresh: list[str]) -> list[np.ndarray]:
-        """Ids of pieces without white space behind their first character, encoded as lines of one text."""
+        """Ids of pieces without white space behind their first character, encoded as lines of a text."""
         lines = [p for p in fresh if p not in (" ", "\n")]
-        ids = np.array(self.tok.encode_batch_fast(["\n".join(["", *lines, ""])], add_special_tokens=False)[0].ids, np.uint32)
-        edge = np.flatnonzero(ids == self.direct("\n")[0])
-        if lines and len(edge) != len(lines) + 1:
-            raise ValueError("a line break is not a token of its own")
-        found = (ids[a:b] for a, b in zip((edge[:-1] + 1).tolist(), edge[1:].tolist(), strict=True))
-        return [self.direct(p) if p in (" ", "\n") else next(found) for p in fresh]
+        line_break = self.direct("\n")[0]
+        found: list[np.ndarray] = []
+        for k in range(0, len(lines), LEARN_PIECES):
+            some = lines[k:k + LEARN_PIECES]
+            ids = np.array(self.tok.encode_batch_fast(["\n".join(["", *some, ""])], add_special_tokens=False)[0].ids, np.uint32)
+            edge = np.flatnonzero(ids == line_break)
+            if len(edge) != len(some) + 1:
+                raise ValueError("a line break is not a token of its own")
+            found += [ids[a:b] for a, b in zip((edge[:-1] + 1).tolist(), edge[1:].tolist(), strict=True)]
+        learned = iter(found)
+        return [self.direct(p) if p in (" ", "\n") else next(learned) for p in fresh]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         at = self.main.find(keys)
