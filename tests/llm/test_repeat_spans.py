@@ -101,6 +101,37 @@ def test_hot_anchors_leave_a_full_bucket():
     assert not out[R.SPANS]
 
 
+def test_fetching_and_sorting_hold_little_memory():
+    """What a task holds doesn't grow with a batch's open segments or a share's bytes; nothing is lost on the way."""
+    import tracemalloc
+    text = "".join(random.Random(3).choices("abcdefgh ", k=60_000))
+    rows = np.zeros(1500, R.SEGMENT)
+    rows["anchor"], rows["contents"], rows["windows"] = np.arange(1500) % 300, 1 + np.arange(1500) % 2, 41
+    rows["contents"][::10] = 0
+    rows["start"] = np.arange(1500) * 39
+    batch = pa.RecordBatch.from_pydict({"text": [text] * 150, "rows": [R.pack(rows)] * 150})
+    tracemalloc.start()
+    seen = {R.SEGMENTS: 0, R.HOT_SEGMENTS: 0}
+    for out in R._fetch_task(100, 64, 64, R.FETCH_BYTES)(iter([batch])):
+        for kind, n, blob in zip(*[out.column(k).to_pylist() for k in ("kind", "n", "bytes")], strict=True):
+            seen[kind] += n
+            assert kind == R.HOT_SEGMENTS or len(blob) == n * 140
+    assert tracemalloc.get_traced_memory()[1] < 90 << 20
+    assert seen == {R.SEGMENTS: 150 * 1350, R.HOT_SEGMENTS: 150 * 150 * 41}
+    many = np.zeros(40_000, R.SEGMENT)
+    many["anchor"], many["windows"], many["id"] = np.arange(40_000) // 20, 41, np.arange(40_000)
+    bytes_ = np.random.default_rng(1).integers(97, 105, 140 * 40_000).astype(np.uint8)
+    bytes_[-140:] = bytes_[-280:-140]
+    share = R._pieces(R.SEGMENTS, np.zeros(40_000, np.int64), many, [bytes(x) for x in bytes_.reshape(-1, 140)])
+    tracemalloc.reset_peak()
+    base = tracemalloc.get_traced_memory()[0]
+    [out] = R._sort_task(100, 1, R.SORT_BYTES)(iter([share]))
+    peak = tracemalloc.get_traced_memory()[1] - base
+    tracemalloc.stop()
+    assert R.unpack(out.column("piece")[0].as_py(), R.SPAN).tolist() == [(39_999, 0, 0, 140)]
+    assert peak < 120 << 20
+
+
 def test_pieces_of_long_texts_overlap():
     text = " ".join(random.Random(1).choices(WORDS, k=3000))
     batch = pa.RecordBatch.from_pydict({"id": [5], "key": [0], "text": [text]})

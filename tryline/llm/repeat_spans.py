@@ -53,11 +53,13 @@ LENGTH, KMER = 100, 24
 #: Different segments of one anchor above which they are cut into single windows.
 HOT = 20_000
 #: Bytes scanned at a time; bytes of text whose segments a map task collapses before it sends them.
-PIECE_BYTES, FLUSH_BYTES = 1 << 20, 64 << 20
-#: Bytes of segments that are suffix-sorted at a time, and that go into one share.
-SORT_BYTES, SHARE_BYTES = 4 << 20, 8 << 20
+PIECE_BYTES, FLUSH_BYTES = 512 << 10, 16 << 20
+#: Bytes of segments that are suffix-sorted at a time (some 60 bytes are held for each), that go into one share, and that are fetched at a time.
+SORT_BYTES, SHARE_BYTES, FETCH_BYTES = 1 << 20, 2 << 20, 8 << 20
 #: Text bytes whose segments make one bucket: small for small corpora, bounded by memory for large ones.
-BUCKET_BYTES, MOST_SMALL_BUCKETS, LARGE_BUCKET_BYTES = 2 << 20, 4096, 256 << 20
+BUCKET_BYTES, MOST_SMALL_BUCKETS, LARGE_BUCKET_BYTES = 2 << 20, 4096, 32 << 20
+#: Single windows that make one bucket (some 200 bytes are held for each).
+BUCKET_WINDOWS = 1 << 18
 BUCKETS_PER_TASK = 4
 _SEPARATOR = np.uint8(0xFF)      # in no UTF-8 text
 _LAST = np.iinfo(np.int64).max
@@ -230,17 +232,17 @@ def _scan_task(length: int, kmer: int, buckets: int, flush: int) -> Task:
     return run
 
 
-def _by_bucket(batches: Batches) -> Iterator[tuple[int, list[tuple[int, bytes, bytes | None]]]]:
-    """The pieces of one bucket after another, from rows sorted by bucket."""
+def _by_bucket(batches: Batches) -> Iterator[tuple[int, list[tuple[int, pa.Buffer, pa.Buffer | None]]]]:
+    """The pieces of one bucket after another, from rows sorted by bucket; pieces stay in their batch's memory."""
     now, held = None, []
     for batch in batches:
-        columns = [batch.column(k).to_pylist() for k in ("bucket", "kind", "piece", "bytes")]
-        for bucket, kind, piece, blob in zip(*columns, strict=True):
+        numbers = [batch.column(k).to_pylist() for k in ("bucket", "kind")]
+        for bucket, kind, piece, blob in zip(*numbers, batch.column("piece"), batch.column("bytes"), strict=True):
             if bucket != now:
                 if held:
                     yield now, held
                 now, held = bucket, []
-            held.append((kind, piece, blob))
+            held.append((kind, piece.as_buffer(), blob.as_buffer()))
     if held:
         yield now, held
 
@@ -318,26 +320,44 @@ def merge_spans(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fetch_task(length: int, share_buckets: int, hot_buckets: int) -> Task:
+def _fetch_task(length: int, share_buckets: int, hot_buckets: int, flush: int) -> Task:
     """Documents beside their open segments to the segments' bytes; hot ones to single windows."""
     def run(batches: Batches) -> Batches:
+        held, blobs, single = [], [], []
+        size = 0
+
+        def out() -> Batches:
+            if single:
+                rows = np.concatenate(single)
+                yield _pieces(HOT_SEGMENTS, _anchor_bucket(rows, hot_buckets), rows)
+            if blobs:
+                rows = np.concatenate(held)
+                yield _pieces(SEGMENTS, _anchor_bucket(rows, share_buckets), rows, blobs)
+            for some in (held, blobs, single):
+                some.clear()
+
         for batch in batches:
-            held, blobs = [], []
             for text, packed in zip(batch.column("text"), batch.column("rows"), strict=True):
-                rows = unpack(packed.as_py(), SEGMENT)
+                every = unpack(packed.as_buffer(), SEGMENT)
                 body = text.as_buffer()
                 data = np.frombuffer(body, np.uint8)
-                hot = rows[rows["contents"] == 0]
-                if len(hot):
-                    single = _single_windows(hot, data, length)
-                    yield _pieces(HOT_SEGMENTS, _anchor_bucket(single, hot_buckets), single)
-                rows = rows[rows["contents"] != 0]
-                held.append(rows)
                 view = memoryview(body)
-                blobs.extend(bytes(view[a:a + w + length - 1]) for a, w in zip(rows["start"].tolist(), rows["windows"].tolist(), strict=True))
-            if blobs:
-                rows = np.concatenate(held)
-                yield _pieces(SEGMENTS, _anchor_bucket(rows, share_buckets), rows, blobs)
+                # a long document's segments some after others
+                for k in range(0, len(every), flush // (2 * length)):
+                    rows = every[k:k + flush // (2 * length)]
+                    hot = rows[rows["contents"] == 0]
+                    rows = rows[rows["contents"] != 0]
+                    if len(hot):
+                        single.append(_single_windows(hot, data, length))
+                        size += single[-1].nbytes
+                    if len(rows):
+                        held.append(rows)
+                        blobs.extend(bytes(view[a:a + w + length - 1]) for a, w in zip(rows["start"].tolist(), rows["windows"].tolist(), strict=True))
+                        size += int(rows["windows"].sum(dtype=np.int64)) + (length - 1) * len(rows)
+                    if size >= flush:
+                        yield from out()
+                        size = 0
+        yield from out()
 
     return run
 
@@ -481,14 +501,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = [found.where(F.col("kind") == SPANS)]
     if open_rows.get(SEGMENTS) or open_rows.get(HOT_SEGMENTS):
         shares = max(open_rows.get(SEGMENTS, 0) * 2 * length // SHARE_BYTES, 8 * BUCKETS_PER_TASK)
+        hot_buckets = max(open_rows.get(HOT_SEGMENTS, 0) * (length - kmer) // BUCKET_WINDOWS, buckets)
         marked = found.where(F.col("kind") != SPANS).mapInArrow(_mark_hot, PIECES)
         per_doc = _dealt(marked, tasks).mapInArrow(_join_by_doc(SEGMENT, None), "id2 long, key2 long, rows binary")
         beside = keyed.join(per_doc, (F.col("id") == F.col("id2")) & (F.col("key") == F.col("key2"))).select("text", "rows")
-        fetched = scratch.table(beside.mapInArrow(_fetch_task(length, shares, buckets), PIECES), "fetched")
+        fetched = scratch.table(beside.mapInArrow(_fetch_task(length, shares, hot_buckets, FETCH_BYTES), PIECES), "fetched")
         sorted_ = _dealt(fetched.where(F.col("kind") == SEGMENTS), shares // BUCKETS_PER_TASK)
         spans.append(sorted_.mapInArrow(_sort_task(length, buckets, SORT_BYTES), PIECES))
         if open_rows.get(HOT_SEGMENTS):
-            again = _dealt(fetched.where(F.col("kind") == HOT_SEGMENTS), tasks).mapInArrow(_collapse_task(length, buckets, hot, most), PIECES)
+            again = _dealt(fetched.where(F.col("kind") == HOT_SEGMENTS), hot_buckets // BUCKETS_PER_TASK).mapInArrow(_collapse_task(length, buckets, hot, most), PIECES)
             spans.append(again.where(F.col("kind") == SPANS))
     every = spans[0]
     for more in spans[1:]:
